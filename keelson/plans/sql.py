@@ -211,18 +211,18 @@ edges AS (
   FROM base WHERE x IS NOT NULL AND NOT isnan(x) GROUP BY feature
 ),
 bins AS (
-  SELECT feature, unnest(range(0, len(edges) - 1)) AS bin FROM edges
+  SELECT feature, CAST(unnest(range(0, len(edges) - 1)) AS INTEGER) AS bin FROM edges
 ),
 base_binned AS (
   SELECT b.feature,
          CASE WHEN b.x IS NOT NULL AND NOT isnan(b.x) AND e.edges IS NOT NULL THEN
-           greatest(0, least(len(list_filter(e.edges, lambda t: t <= b.x)) - 1, len(e.edges) - 2)) END AS bin
+           CAST(greatest(0, least(len(list_filter(e.edges, lambda t: t <= b.x)) - 1, len(e.edges) - 2)) AS INTEGER) END AS bin
   FROM base b LEFT JOIN edges e ON b.feature = e.feature
 ),
 cur_binned AS (
   SELECT c.feature,
          CASE WHEN c.x IS NOT NULL AND NOT isnan(c.x) AND e.edges IS NOT NULL THEN
-           greatest(0, least(len(list_filter(e.edges, lambda t: t <= c.x)) - 1, len(e.edges) - 2)) END AS bin
+           CAST(greatest(0, least(len(list_filter(e.edges, lambda t: t <= c.x)) - 1, len(e.edges) - 2)) AS INTEGER) END AS bin
   FROM cur c LEFT JOIN edges e ON c.feature = e.feature
 ),
 base_counts AS (SELECT feature, bin, count(*) AS n FROM base_binned GROUP BY feature, bin),

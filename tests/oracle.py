@@ -39,11 +39,31 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "float": "FLOAT", "timestamp": "TIMESTAMP", "smallint": "SMALLINT",
+}
+
+
+def type_mismatches(spark_df, rel) -> list[str]:
+    duck = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in spark_df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs sql {duck.get(f.name)}")
+    return out
+
+
 def compare(spark_df, sql: str, con: duckdb.DuckDBPyConnection) -> tuple[bool, str]:
+    rel = con.sql(sql)
+    bad_types = type_mismatches(spark_df, rel)
     s = spark_df.toPandas()
-    d = con.sql(sql).df()
+    d = rel.df()
     if sorted(s.columns) != sorted(d.columns):
         return False, f"columns differ: spark={sorted(s.columns)} sql={sorted(d.columns)}"
+    if bad_types:
+        return False, "types differ: " + "; ".join(bad_types)
     if len(s) != len(d):
         return False, f"row count differs: spark={len(s)} sql={len(d)}"
     rs, rd = _rows(s), _rows(d)

@@ -51,5 +51,21 @@ def bin_index(x: Column, edges: Column) -> Column:
     return F.greatest(F.lit(0), F.least(n_le - 1, F.size(edges) - 2))
 
 
+def bin_of(x: Column, edges: list[float]) -> Column:
+    """Same bin as ``bin_index`` for edges known on the driver: a chain of
+    literal comparisons (whole-stage codegen) instead of a lambda over an
+    array per row. A single edge defines no bin; like the clipped array
+    form, every value then maps to 0."""
+    n_bins = len(edges) - 1
+    if n_bins < 1:
+        return F.lit(0)
+    expr = None
+    for i in range(n_bins - 1):
+        cond = x < F.lit(float(edges[i + 1]))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    last = F.lit(n_bins - 1)
+    return last if expr is None else expr.otherwise(last)
+
+
 def logistic(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))

@@ -5,10 +5,10 @@ one plan — one pass per side, no loop of jobs per column:
 
 1. bin edges: exact quantiles of the **baseline** at ``0, 1/bins, …, 1``
    (de-duplicated, sorted), from the bounded two-pass order statistic;
-2. every value is binned with a native array expression against its
-   feature's edges (right-open bins, last edge included, values outside the
-   range clipped into the end bins) — edges reach the rows by a broadcast
-   join whose size is bounded by features × (bins + 1);
+2. every value is binned against its feature's edges (right-open bins, last
+   edge included, values outside the range clipped into the end bins). The
+   edges are a bounded summary (features × (bins + 1) numbers), so they are
+   inlined as literal comparisons — codegen'd, no join, no per-row arrays;
 3. ``groupBy(feature, bin).count()`` per side (map-side combined, so a
    value holding a third of the rows costs nothing extra);
 4. shares floored at 1e-6, PSI = Σ (a − e) · ln(a / e) over the baseline's
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions import bin_index
+from keelson.functions import bin_of
 from keelson.operators.aggregate import long_form
 from keelson.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
 
@@ -52,43 +52,57 @@ def _valid(x) -> F.Column:
     return x.isNotNull() & ~F.isnan(x)
 
 
+def edge_lists(base_long: DataFrame, bins: int = DEFAULT_BINS,
+               accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
+    """{feature: sorted distinct quantile edges of the baseline} — a bounded
+    summary (features x (bins + 1) numbers)."""
+    probs = [i / bins for i in range(bins + 1)]
+    q = exact_quantiles(base_long, probs, accuracy=accuracy)
+    return {f: sorted(set(v for v in qs if v is not None)) for f, (n, qs) in q.items() if n > 0}
+
+
 def quantile_edges(base_long: DataFrame, bins: int = DEFAULT_BINS,
                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """``(feature, edges)``: the baseline's de-duplicated quantile edges."""
-    spark = base_long.sparkSession
-    probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(base_long, probs, accuracy=accuracy)
-    rows = [(f, sorted(set(v for v in qs if v is not None))) for f, (n, qs) in q.items() if n > 0]
-    return spark.createDataFrame(rows, "feature string, edges array<double>")
+    edges = edge_lists(base_long, bins, accuracy)
+    return base_long.sparkSession.createDataFrame(list(edges.items()), EDGE_SCHEMA)
 
 
-def bucketize(long_df: DataFrame, edges: DataFrame) -> DataFrame:
-    """Attach the bin of every value (null for null/NaN or a feature without edges)."""
-    x = F.col("x")
-    j = long_df.join(F.broadcast(edges), "feature", "left")
-    return j.select("feature", "x", F.when(_valid(x) & F.col("edges").isNotNull(),
-                                           bin_index(x, F.col("edges"))).alias("bin"))
+def _bin_column(edges: dict[str, list[float]]) -> F.Column:
+    x, feature = F.col("x"), F.col("feature")
+    expr = None
+    for f, e in edges.items():
+        b = bin_of(x, e)
+        expr = F.when(feature == F.lit(f), b) if expr is None else expr.when(feature == F.lit(f), b)
+    if expr is None:
+        return F.lit(None).cast("int")
+    return F.when(_valid(x), expr)
 
 
-def bin_counts(long_df: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+def bucketize(long_df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """Attach the bin of every value (null for null/NaN or a feature without
+    bins). The edges are literals in the plan, so binning is codegen'd."""
+    return long_df.select("feature", "x", _bin_column(edges).alias("bin"))
+
+
+def bin_counts(long_df: DataFrame, edges: dict[str, list[float]], name: str) -> DataFrame:
     return bucketize(long_df, edges).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
 
 
-def bin_shares(long_df: DataFrame, edges: DataFrame) -> DataFrame:
+def _all_bins(spark, edges: dict[str, list[float]]) -> DataFrame:
+    rows = [(f, b) for f, e in edges.items() for b in range(len(e) - 1)]
+    return spark.createDataFrame(rows, "feature string, bin int")
+
+
+def bin_shares(long_df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     """``(feature, bin, share)`` for every bin of the edges, floored at 1e-6."""
     counts = bin_counts(long_df, edges, "c").where(F.col("bin").isNotNull())
     # The window runs over (features x bins) rows, after the aggregation.
     total = F.sum(F.coalesce("c", F.lit(0))).over(Window.partitionBy("feature"))
-    return (_all_bins(edges).join(counts, ["feature", "bin"], "left")
+    return (_all_bins(long_df.sparkSession, edges).join(counts, ["feature", "bin"], "left")
             .select("feature", "bin", _share(F.col("c"), total).alias("share")))
 
 
-def _all_bins(edges: DataFrame) -> DataFrame:
-    n_bins = F.size("edges") - 1
-    seq = F.when(n_bins >= 1, F.sequence(F.lit(0), n_bins - 1)).otherwise(F.array().cast("array<int>"))
-    return edges.select("feature", F.explode(seq).alias("bin"))
-
-
 def _share(c, total) -> F.Column:
     raw = F.when(total > 0, F.coalesce(c, F.lit(0)).cast("double") / total.cast("double")).otherwise(F.lit(0.0))
     return F.greatest(raw, F.lit(SHARE_FLOOR))
@@ -98,7 +112,7 @@ def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS
              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """``(feature, psi, null_share_baseline, null_share_current)`` per feature."""
     spark = base_long.sparkSession
-    edges = quantile_edges(base_long, bins, accuracy)
+    edges = edge_lists(base_long, bins, accuracy)
     counts = (bin_counts(base_long, edges, "e_n")
               .join(bin_counts(cur_long, edges, "a_n"), ["feature", "bin"], "full"))
     has_bin = F.col("bin").isNotNull()
@@ -108,13 +122,13 @@ def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS
         F.sum(F.when(has_bin, F.col("a_n"))).alias("a_tot"),
         F.sum(F.coalesce("a_n", F.lit(0))).alias("a_all"),
     )
-    per_bin = (_all_bins(edges)
+    per_bin = (_all_bins(spark, edges)
                .join(counts.where(has_bin), ["feature", "bin"], "left")
                .join(totals, "feature"))
     e = _share(F.col("e_n"), F.coalesce("e_tot", F.lit(0)))
     a = _share(F.col("a_n"), F.coalesce("a_tot", F.lit(0)))
     psi = per_bin.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
-    null_share = lambda tot, all_: F.when(all_ > 0, (all_ - F.coalesce(tot, F.lit(0))).cast("double") / all_)
+    null_share = lambda tot, all_: F.when(all_ > 0, (all_ - F.coalesce(tot, F.lit(0))).cast("double") / all_)
     return (totals.join(psi, "feature", "left")
             .select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"),
                     null_share(F.col("e_tot"), F.col("e_all")).alias("null_share_baseline"),

@@ -9,11 +9,13 @@ scans, neither of which holds more than a narrow slice of the data:
    ``percentile_approx`` sketch at ``p ± 3/accuracy`` for every requested
    probability. The sketch's rank error is at most ``n/accuracy``, so the
    two sketch values bracket the wanted order statistic.
-2. one scan counting, per key, how many rows fall below each bracket
-   (a histogram over the bracket lower bounds, pre-aggregated map side), and
-   the distinct values inside each bracket with their counts. A window
-   partitioned by (key, target) walks the bracket in value order and picks
-   the value whose cumulative rank reaches the target.
+2. one scan that classifies every value by a chain of literal comparisons
+   against the merged brackets of its key (left of / inside / right of
+   each bracket — whole-stage codegen, no per-row arrays) and counts
+   ``(key, region, value-if-inside)`` with a map-side combine. Rows left of
+   a bracket come from the region totals; a window partitioned by
+   (key, bracket) walks the values inside in order and picks the one whose
+   cumulative rank reaches the target.
 
 Each bracket holds about ``6·n/accuracy`` rows (fewer distinct values after
 map-side combine), so the window groups stay bounded even when one value
@@ -33,20 +35,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 DEFAULT_ACCURACY = 20_000
 
-_PLAN_SCHEMA = T.StructType([
-    T.StructField("_k", T.StringType()),
-    T.StructField("lows", T.ArrayType(T.DoubleType())),
-    T.StructField("targets", T.ArrayType(T.StructType([
-        T.StructField("tid", T.IntegerType()),
-        T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()),
-    ]))),
-])
-
 
 def _clean(long_df: DataFrame, key: str, value: str) -> DataFrame:
     x = F.col(value).cast("double")
@@ -54,6 +44,30 @@ def _clean(long_df: DataFrame, key: str, value: str) -> DataFrame:
             .where(F.col("_x").isNotNull() & ~F.isnan("_x")))
 
 
+def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Disjoint intervals covering the brackets (touching ones merged, so a
+    value never belongs to two intervals)."""
+    out: list[list[float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out]
+
+
+def _region(x, intervals: list[tuple[float, float]]):
+    """Region of ``x`` among sorted disjoint intervals: 0 left of the first,
+    ``2i + 1`` inside interval ``i``, ``2i + 2`` right of it. A chain of
+    literal comparisons: compiled by whole-stage codegen, no per-row arrays."""
+    expr = F.when(x < F.lit(intervals[0][0]), F.lit(0))
+    for i, (lo, hi) in enumerate(intervals):
+        if i > 0:
+            expr = expr.when(x < F.lit(lo), F.lit(2 * i))
+        expr = expr.when(x <= F.lit(hi), F.lit(2 * i + 1))
+    return expr.otherwise(F.lit(2 * len(intervals)))
+
+
 def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, float]]
              ) -> dict[tuple[str, int], float]:
     """Exact order statistics for ``targets`` = {(key, tid): (rank, lo, hi)}.
@@ -61,58 +75,43 @@ def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, f
     Returns {(key, tid): value} for every target whose bracket verified.
     """
     spark = data.sparkSession
-    by_key: dict[str, list[tuple[int, int, float, float]]] = {}
+    intervals: dict[str, list[tuple[float, float]]] = {}
+    for (k, _), (_, lo, hi) in targets.items():
+        intervals.setdefault(k, []).append((lo, hi))
+    intervals = {k: _merge(v) for k, v in intervals.items()}
+
+    x, key = F.col("_x"), F.col("_k")
+    region = None
+    for k, ivs in intervals.items():
+        branch = _region(x, ivs)
+        region = F.when(key == F.lit(k), branch) if region is None else region.when(key == F.lit(k), branch)
+    inside = (region % 2) == 1
+    counted = (data.where(key.isin(list(intervals)))
+               .select("_k", region.alias("region"), F.when(inside, x).alias("v"))
+               .groupBy("_k", "region", "v").agg(F.count(F.lit(1)).alias("c")))
+
+    # Rows left of each region (tiny: keys x regions rows).
+    totals = counted.groupBy("_k", "region").agg(F.sum("c").alias("tot"))
+    left = Window.partitionBy("_k").orderBy("region").rowsBetween(Window.unboundedPreceding, -1)
+    below = totals.withColumn("below", F.coalesce(F.sum("tot").over(left), F.lit(0)))
+
+    rows = []
     for (k, tid), (rank, lo, hi) in targets.items():
-        by_key.setdefault(k, []).append((tid, rank, lo, hi))
-    plan_rows = []
-    lows_of: dict[str, list[float]] = {}
-    for k, ts in by_key.items():
-        lows = sorted({lo for _, _, lo, _ in ts})
-        lows_of[k] = lows
-        plan_rows.append((k, lows, [(tid, lo, hi) for tid, _, lo, hi in ts]))
-    # One row per key: size is bounded by (#keys x #targets), not by the data.
-    plan = spark.createDataFrame(plan_rows, _PLAN_SCHEMA)
-
-    x = F.col("_x")
-    pos = F.size(F.filter("lows", lambda lo: lo <= x))
-    hits = F.filter("targets", lambda t: (t["lo"] <= x) & (x <= t["hi"]))
-    marks = F.concat(
-        F.array(F.struct(F.lit(0).alias("kind"), pos.alias("a"), F.lit(None).cast("double").alias("v"))),
-        F.transform(hits, lambda t: F.struct(F.lit(1).alias("kind"), t["tid"].alias("a"), x.alias("v"))),
-    )
-    agg = (data.join(F.broadcast(plan), "_k")
-           .select("_k", F.explode(marks).alias("m"))
-           .groupBy("_k", F.col("m.kind").alias("kind"), F.col("m.a").alias("a"), F.col("m.v").alias("v"))
-           .agg(F.count(F.lit(1)).alias("c"))
-           .persist())
-    try:
-        # Histogram of "number of lower bounds <= x": rows below lows[j] are those with pos <= j.
-        hist: dict[str, dict[int, int]] = {}
-        for r in agg.where("kind = 0").select("_k", "a", "c").collect():
-            hist.setdefault(r["_k"], {})[r["a"]] = r["c"]
-        below: dict[tuple[str, int], int] = {}
-        for k, ts in by_key.items():
-            lows = lows_of[k]
-            h = hist.get(k, {})
-            for tid, _, lo, _ in ts:
-                j = lows.index(lo)
-                below[(k, tid)] = sum(c for p, c in h.items() if p <= j)
-
-        rank_rows = [(k, tid, rank, below[(k, tid)]) for (k, tid), (rank, _, _) in targets.items()
-                     if below[(k, tid)] <= rank]
-        if not rank_rows:
-            return {}
-        ranks = spark.createDataFrame(rank_rows, "_k string, a int, rank long, below long")
-        w = Window.partitionBy("_k", "a").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        found = (agg.where("kind = 1")
-                 .withColumn("cum", F.sum("c").over(w))
-                 .join(F.broadcast(ranks), ["_k", "a"])
-                 .where(F.col("below") + F.col("cum") > F.col("rank"))
-                 .groupBy("_k", "a").agg(F.min("v").alias("v"))
-                 .collect())
-        return {(r["_k"], r["a"]): r["v"] for r in found}
-    finally:
-        agg.unpersist()
+        i = next(j for j, (a, b) in enumerate(intervals[k]) if a <= lo and hi <= b)
+        rows.append((k, tid, rank, 2 * i + 1))
+    wanted = spark.createDataFrame(rows, "_k string, tid int, rank long, region int")
+
+    # Within one interval (bounded by the bracket width) walk values in order.
+    upto = Window.partitionBy("_k", "region").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    walked = (counted.where(F.col("region") % 2 == 1)
+              .withColumn("cum", F.sum("c").over(upto))
+              .join(below, ["_k", "region"])
+              .join(F.broadcast(wanted), ["_k", "region"])
+              .where(F.col("below") + F.col("cum") > F.col("rank"))
+              .groupBy("_k", "tid")
+              .agg(F.min("v").alias("v"), F.max("below").alias("below"), F.max("rank").alias("rank"))
+              .collect())
+    return {(r["_k"], r["tid"]): r["v"] for r in walked if r["below"] <= r["rank"]}
 
 
 def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feature",

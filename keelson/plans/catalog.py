@@ -542,13 +542,13 @@ def q_quantile_edges(spark, sf):
 @query("bucketize")
 def q_bucketize(spark, sf):
     base, cur = drift_long(spark, sf)
-    return drift.bin_counts(cur, drift.quantile_edges(base), "n")
+    return drift.bin_counts(cur, drift.edge_lists(base), "n")
 
 
 @query("bin_shares")
 def q_bin_shares(spark, sf):
     base, cur = drift_long(spark, sf)
-    edges = drift.quantile_edges(base)
+    edges = drift.edge_lists(base)
     b = drift.bin_shares(base, edges).withColumn("side", F.lit("baseline"))
     c = drift.bin_shares(cur, edges).withColumn("side", F.lit("current"))
     return _rounded(b.unionByName(c), ["share"], 8)

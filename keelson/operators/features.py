@@ -1,11 +1,14 @@
 """Imputation, categorical encoding and feature assembly as Spark ML stages.
 
-The whole preprocessing is one ``Pipeline`` so the statistics fitted on the
-training split travel with the model and raw rows can be scored later:
+The whole preprocessing is part of the fitted model, so the statistics
+fitted on the training split travel with it and raw rows can be scored later:
 
     FillMissing(mean|median) -> FillMissing(mode) -> StringIndexer
         -> [OneHotEncoder] -> VectorAssembler -> classifier
 
+``TablePrep`` fits the first four in one scan and returns them as a
+``PipelineModel``; ``separate_stages`` gives the same as standard stages.
+
 ``FillMissing`` is a small Spark ML estimator: its fit is one aggregation
 (mean: one ``agg`` for all columns; median: the bounded exact order
 statistic; mode: one grouped count for all columns) and its model is a
@@ -19,8 +22,8 @@ import json
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -157,14 +160,117 @@ def vector_slots(df: DataFrame, vector_col: str, names: Sequence[str], keep: Seq
     return df.select(*keep, *[arr[i].alias(n) for i, n in enumerate(names)])
 
 
-def prep_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
-                numeric_strategy: str = "mean", one_hot_max: int | None = None,
-                categorical_fallback: str | None = None, output: str = "features") -> list:
-    """Stages that turn raw rows into a feature vector.
+class _PrepParams(Params):
+    numericCols = Param(Params._dummy(), "numericCols", "numeric inputs", typeConverter=TypeConverters.toListString)
+    categoricalCols = Param(Params._dummy(), "categoricalCols", "categorical inputs",
+                            typeConverter=TypeConverters.toListString)
+    featureCols = Param(Params._dummy(), "featureCols", "vector slot order", typeConverter=TypeConverters.toListString)
+    numericStrategy = Param(Params._dummy(), "numericStrategy", "mean or median",
+                            typeConverter=TypeConverters.toString)
+    categoricalFallback = Param(Params._dummy(), "categoricalFallback",
+                                "fill for an all-null categorical column (JSON)", typeConverter=TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column", typeConverter=TypeConverters.toString)
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self._setDefault(numericStrategy="mean", categoricalFallback="null", outputCol="features")
+
 
-    ``one_hot_max`` switches the categorical slots from index values to
-    one-hot vectors (for linear models).
+class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Impute, index and assemble, fitted in one scan.
+
+    One unpivot + grouped count gives, per numeric column, the count and sum
+    of its values and, per categorical column, the count of every value
+    (nulls included). From that small table come the means, the modes
+    (count desc, then smallest value) and the index labels of the mode-filled
+    columns (frequency desc, ties alphabetical) — what separate imputer and
+    ``StringIndexer`` fits compute in three scans. ``median`` adds the two
+    bounded passes of the exact order statistic.
     """
+
+    @keyword_only
+    def __init__(self, *, numericCols=None, categoricalCols=None, featureCols=None,
+                 numericStrategy="mean", categoricalFallback=None, outputCol="features"):
+        super().__init__()
+        kwargs = dict(self._input_kwargs)
+        if kwargs.get("categoricalFallback") is None:
+            kwargs.pop("categoricalFallback", None)
+        else:
+            kwargs["categoricalFallback"] = json.dumps(kwargs["categoricalFallback"])
+        self._set(**kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        numeric = self.getOrDefault(self.numericCols)
+        categorical = self.getOrDefault(self.categoricalCols)
+        strategy = self.getOrDefault(self.numericStrategy)
+        fallback = json.loads(self.getOrDefault(self.categoricalFallback))
+        stats = _table_stats(dataset, numeric, categorical)
+        if strategy == "mean":
+            fills = {c: (stats["sum"][c] / stats["count"][c] if stats["count"].get(c) else 0.0) for c in numeric}
+        elif strategy == "median":
+            fills = median_values(dataset, numeric, default=0.0)
+        else:
+            raise ValueError(f"unknown numeric strategy {strategy!r}")
+        modes, labels = {}, []
+        for c in categorical:
+            counts = stats["values"].get(c, {})
+            nulls = counts.pop(None, 0)
+            mode = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0] if counts else fallback
+            modes[c] = mode
+            if mode is not None and nulls:
+                counts[mode] = counts.get(mode, 0) + nulls
+            labels.append([v for v, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))])
+        stages = [
+            FillMissingModel(inputCols=list(numeric), strategy=strategy, fillValues=json.dumps(fills)),
+            FillMissingModel(inputCols=list(categorical), strategy="mode", fillValues=json.dumps(modes)),
+        ]
+        if categorical:
+            stages.append(StringIndexerModel.from_arrays_of_labels(
+                labels, inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical],
+                handleInvalid="keep"))
+        stages.append(assembler(self.getOrDefault(self.featureCols), self.getOrDefault(self.outputCol)))
+        return PipelineModel(stages=stages)
+
+
+def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
+    """One scan: per numeric column (count, sum); per categorical column the
+    count of every value. Output rows = numeric columns + categories."""
+    cols = {c: F.struct(F.lit(None).cast("string").alias("v"), F.col(c).cast("double").alias("x"))
+            for c in numeric}
+    cols.update({c: F.struct(F.col(c).cast("string").alias("v"), F.lit(None).cast("double").alias("x"))
+                 for c in categorical})
+    if not cols:
+        return {"count": {}, "sum": {}, "values": {}}
+    long = df.select(*[e.alias(c) for c, e in cols.items()]).unpivot([], list(cols), "feature", "val")
+    rows = (long.groupBy("feature", F.col("val.v").alias("v"))
+            .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n"))
+            .collect())
+    out = {"count": {}, "sum": {}, "values": {}}
+    num = set(numeric)
+    for r in rows:
+        if r["feature"] in num:
+            out["count"][r["feature"]] = r["nx"]
+            out["sum"][r["feature"]] = r["sx"]
+        else:
+            out["values"].setdefault(r["feature"], {})[r["v"]] = r["n"]
+    return out
+
+
+def prep_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
+                numeric_strategy: str = "mean", categorical_fallback: str | None = None,
+                output: str = "features") -> list:
+    """The single-pass preprocessing estimator as a pipeline stage list."""
+    return [TablePrep(numericCols=list(numeric), categoricalCols=list(categorical), featureCols=list(features),
+                      numericStrategy=numeric_strategy, categoricalFallback=categorical_fallback,
+                      outputCol=output)]
+
+
+def separate_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
+                    numeric_strategy: str = "mean", one_hot_max: int | None = None,
+                    categorical_fallback: str | None = None, output: str = "features") -> list:
+    """The same preprocessing as separate standard stages (one scan per
+    fitted stage); ``one_hot_max`` switches the categorical slots from index
+    values to one-hot vectors (for linear models)."""
     fb = None if categorical_fallback is None else json.dumps(categorical_fallback)
     stages = [
         FillMissing(inputCols=list(numeric), strategy=numeric_strategy),

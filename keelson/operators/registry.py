@@ -85,16 +85,22 @@ def register_versions(runs: DataFrame, model_name: str) -> DataFrame:
                        F.col("run_id"))
 
 
-def promote_version(versions: DataFrame, model_name: str, run_id_value: str) -> DataFrame:
+def promote_version(versions: DataFrame, model_name: str, run: str | DataFrame) -> DataFrame:
     """New snapshot: the run becomes version ``max + 1`` in Production and
-    every other Production version of that model is Archived."""
+    every other Production version of that model is Archived.
+
+    ``run`` is a run id, or a one-row DataFrame with a ``run_id`` column
+    (e.g. ``best_run(...)``); then the id stays inside the plan as a scalar
+    subquery and never passes through the driver.
+    """
     same = F.col("name") == model_name
     updated = versions.withColumn(
         "stage", F.when(same & (F.col("stage") == PRODUCTION), F.lit(ARCHIVED)).otherwise(F.col("stage")))
+    run_col = F.lit(run) if isinstance(run, str) else run.select("run_id").scalar()
     new = (versions.where(same)
            .agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("int").alias("version"))
            .select(F.lit(model_name).alias("name"), "version", F.lit(PRODUCTION).alias("stage"),
-                   F.lit(run_id_value).alias("run_id")))
+                   run_col.alias("run_id")))
     return updated.unionByName(new)
 
 

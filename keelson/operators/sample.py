@@ -9,7 +9,6 @@ the partition layout of the input.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +32,20 @@ def filter_split(df: DataFrame, draw_col: str, threshold: float, side: str) -> D
     return df.where(cond).drop(draw_col)
 
 
-def split_rand(df: DataFrame, test_size: float = 0.2, seed: int = 42
-               ) -> tuple[DataFrame, DataFrame]:
+def split_rand(df: DataFrame, test_size: float = 0.2, seed: int = 42,
+               stabilize: bool = False) -> tuple[DataFrame, DataFrame]:
     """(train, test) from a seeded ``rand`` column.
 
-    Both sides filter one persisted frame so every row gets exactly one draw
-    and lands on exactly one side (the draw is per partition, so the frame is
-    persisted to disk as well, which keeps it across executor loss better than
-    recomputation from a changed layout).
+    ``rand(seed)`` is a function of the partition index and the row position
+    within the partition, so both filters of the same deterministic plan
+    (a file scan) see the same draws — also when a lost task is recomputed —
+    and every row lands on exactly one side without caching the input.
+    ``stabilize`` sorts within partitions first, for inputs whose row order
+    is not deterministic (e.g. after a shuffle), as ``randomSplit`` does.
     """
-    drawn = df.withColumn("_draw", F.rand(seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    if stabilize:
+        df = df.sortWithinPartitions(*[c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))])
+    drawn = df.withColumn("_draw", F.rand(seed))
     return (filter_split(drawn, "_draw", test_size, "train"),
             filter_split(drawn, "_draw", test_size, "test"))
 

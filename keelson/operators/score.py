@@ -26,6 +26,20 @@ def score_batch(model, raw: DataFrame, id_col: str = "id", keep: tuple[str, ...]
                       vector_to_array(F.col("probability"))[1].alias("probability"))
 
 
+def score_pair(model_a, model_b, raw: DataFrame, id_col: str = "id",
+               names: tuple[str, str] = ("p_a", "p_b")) -> DataFrame:
+    """Probabilities of two fitted pipelines for the same rows in one narrow
+    pass (no join): the raw columns are carried through the first model
+    under private names and restored for the second."""
+    cols = raw.columns
+    carried = raw.select(*cols, *[F.col(c).alias(f"__raw_{c}") for c in cols])
+    first = model_a.transform(carried).select(
+        *[F.col(f"__raw_{c}").alias(c) for c in cols],
+        vector_to_array(F.col("probability"))[1].alias(names[0]))
+    return model_b.transform(first).select(
+        id_col, names[0], vector_to_array(F.col("probability"))[1].alias(names[1]))
+
+
 def score_linear(df: DataFrame, coefficients: Mapping[str, float], intercept: float,
                  threshold: float = THRESHOLD, id_col: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Logistic scoring rule ``p = 1 / (1 + e^-(b0 + b·x))``, class 1 when

@@ -87,29 +87,32 @@ def fitted_prep(spark: SparkSession, sf: str, numeric_strategy: str = "mean"):
     return features.feature_pipeline(NUMERIC, CATEGORICAL, FEATURES, numeric_strategy).fit(train_rows)
 
 
-def feature_table(spark: SparkSession, sf: str) -> DataFrame:
+def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``id, split, <7 feature slots>, label`` — preprocessing fitted on train,
-    applied to every row."""
+    applied to every row. ``carry`` keeps raw columns (as ``raw_<name>``)."""
     prep = fitted_prep(spark, sf)
-    out = prep.transform(split_tagged(spark, sf))
-    return features.vector_slots(out, "features", FEATURES, keep=["id", "split", "label"])
+    tagged = split_tagged(spark, sf)
+    tagged = tagged.select(*tagged.columns, *[F.col(c).alias(f"raw_{c}") for c in carry])
+    out = prep.transform(tagged)
+    return features.vector_slots(out, "features", FEATURES,
+                                 keep=["id", "split", "label", *[f"raw_{c}" for c in carry]])
 
 
-def linear_scored(spark: SparkSession, sf: str) -> DataFrame:
-    ft = feature_table(spark, sf)
-    return score.score_linear(ft, LINEAR_COEFFICIENTS, LINEAR_INTERCEPT, keep=("split", "label"))
+def linear_scored(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    ft = feature_table(spark, sf, carry)
+    return score.score_linear(ft, LINEAR_COEFFICIENTS, LINEAR_INTERCEPT,
+                              keep=("split", "label", *[f"raw_{c}" for c in carry]))
 
 
-def test_scored(spark: SparkSession, sf: str) -> DataFrame:
-    return linear_scored(spark, sf).where(F.col("split") == "test")
+def test_scored(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return linear_scored(spark, sf, carry).where(F.col("split") == "test")
 
 
 def scorer_grid(spark: SparkSession, sf: str) -> DataFrame:
     """``(scorer, seq, id, label, prediction)`` for a list of deterministic
     scorers over the test rows: one scan, each row exploded into one entry per
     scorer and folded straight into the per-scorer confusion counts."""
-    t = test_scored(spark, sf).join(
-        model_rows(spark, sf).select("id", "flag"), "id")
+    t = test_scored(spark, sf, carry=("flag",)).withColumnRenamed("raw_flag", "flag")
     entries = [("linear", F.col("prediction"))]
     entries += [(f"mod_{k}", (F.pmod("id", F.lit(k)) == 0).cast("double")) for k in RUN_MODS]
     entries += [("constant_0", F.lit(0.0)), ("constant_1", F.lit(1.0)),
@@ -200,9 +203,8 @@ def q_save_model(spark, sf):
     model, _, test_rows = fitted_classifier(spark, sf, maxIter=50, regParam=0.01)
     path = files.save_model(model, scratch_path(spark, "model"))
     loaded = files.load_model(path)
-    before = score.score_batch(model, test_rows).select("id", F.col("probability").alias("p_before"))
-    after = score.score_batch(loaded, test_rows).select("id", F.col("probability").alias("p_after"))
-    return before.join(after, "id").withColumn("same", F.col("p_before") == F.col("p_after"))
+    both = score.score_pair(model, loaded, test_rows, names=("p_before", "p_after"))
+    return both.withColumn("same", F.col("p_before") == F.col("p_after"))
 
 
 # ---------------------------------------------------------------- 2.2 projection, filter, schema
@@ -597,9 +599,8 @@ def q_best_run(spark, sf):
 def q_promote_version(spark, sf):
     runs = runs_table(spark, sf)
     versions = registry.register_versions(runs, MODEL_NAME)
-    best = registry.best_runs_per_experiment(runs, "f1")
-    snapshot = registry.promote_version(versions, MODEL_NAME, best.first()["run_id"])
-    return snapshot
+    best = registry.best_run(runs, EXPERIMENT, "f1")
+    return registry.promote_version(versions, MODEL_NAME, best)
 
 
 @query("retrain_gate")

@@ -5,8 +5,9 @@
   scans it again.
 * Folds come from a keyed hash column (``foldCol``), so they do not depend on
   the partition layout and survive recomputation after executor loss.
-* Grid points are fitted concurrently (``parallelism``); each fit is itself a
-  distributed job (gradient or split statistics are tree-aggregated).
+* Grid points are fitted concurrently (``parallelism``) and algorithms are
+  searched side by side; each fit is itself a distributed job (gradient or
+  split statistics are tree-aggregated).
 * The model is chosen on the cross-validated mean metric; the test split only
   reports. Ties keep the earlier algorithm and the earlier grid point.
 """
@@ -119,10 +120,22 @@ def select_best(trials: DataFrame) -> DataFrame:
 
 def search(prepared: DataFrame, grids: Mapping[str, Mapping[str, object]], folds: int = FOLDS,
            parallelism: int = 4, label_col: str = "label"):
-    """Cross-validate every algorithm; returns ``(trials, {algorithm: cv_model})``."""
+    """Cross-validate every algorithm; returns ``(trials, {algorithm: cv_model})``.
+
+    Algorithms are searched concurrently from driver threads (Spark runs
+    jobs from several threads side by side), each with ``parallelism``
+    concurrent grid-point fits, so a one-point grid does not leave the
+    cluster idle while another algorithm waits.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    items = list(grids.items())
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        futures = [pool.submit(cross_validate, prepared, algo, grid, folds, "fold", SEED, parallelism, label_col)
+                   for algo, grid in items]
+        fitted = [f.result() for f in futures]
     trials, models = None, {}
-    for order, (algo, grid) in enumerate(grids.items()):
-        cvm = cross_validate(prepared, algo, grid, folds=folds, parallelism=parallelism, label_col=label_col)
+    for order, ((algo, _), cvm) in enumerate(zip(items, fitted)):
         models[algo] = cvm
         t = cv_trials(cvm, algo, order)
         trials = t if trials is None else trials.unionByName(t)

@@ -9,8 +9,11 @@ one plan — one pass per side, no loop of jobs per column:
    edge included, values outside the range clipped into the end bins). The
    edges are a bounded summary (features × (bins + 1) numbers), so they are
    inlined as literal comparisons — codegen'd, no join, no per-row arrays;
-3. ``groupBy(feature, bin).count()`` per side (map-side combined, so a
-   value holding a third of the rows costs nothing extra);
+3. the baseline's bin counts come out of the quantile summary (it knows
+   how many values lie below every edge), so the baseline is scanned twice
+   in all; the current side is binned and counted with
+   ``groupBy(feature, bin).count()`` (map-side combined, so a value holding
+   a third of the rows costs nothing extra);
 4. shares floored at 1e-6, PSI = Σ (a − e) · ln(a / e) over the baseline's
    bins; a constant baseline has a single edge, no bins, PSI 0.
 
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 
 from keelson.functions import bin_of
 from keelson.operators.aggregate import long_form
-from keelson.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles
+from keelson.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles, quantile_summary
 
 # PSI share floor, default bin count and drift threshold.
 SHARE_FLOOR = 1e-6
@@ -108,22 +111,48 @@ def _share(c, total) -> F.Column:
     return F.greatest(raw, F.lit(SHARE_FLOOR))
 
 
+def _summary_edges(summary) -> dict[str, list[float]]:
+    return {f: sorted(set(s.values)) for f, s in summary.items() if s.n > 0}
+
+
+def _baseline_bins(summary, edges: dict[str, list[float]]) -> list[tuple[str, int, int]]:
+    """Baseline count per bin from the quantile summary alone: bin j holds
+    ``#(x < e_j+1) - #(x < e_j)``, the last bin everything from its lower edge
+    up — the summary already knows how many values lie below every edge."""
+    rows = []
+    for f, e in edges.items():
+        s = summary[f]
+        below = dict(zip(s.values, s.count_below))
+        m = len(e) - 1
+        for j in range(m):
+            upper = below[e[j + 1]] if j < m - 1 else s.n
+            rows.append((f, j, upper - below[e[j]]))
+    return rows
+
+
 def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS,
              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """``(feature, psi, null_share_baseline, null_share_current)`` per feature."""
+    """``(feature, psi, null_share_baseline, null_share_current)`` per feature.
+
+    The baseline is scanned twice (sketch, exact brackets): its bin counts
+    and null count come out of the quantile summary. The current side is
+    scanned once and binned against the literal edges.
+    """
     spark = base_long.sparkSession
-    edges = edge_lists(base_long, bins, accuracy)
-    counts = (bin_counts(base_long, edges, "e_n")
-              .join(bin_counts(cur_long, edges, "a_n"), ["feature", "bin"], "full"))
+    probs = [i / bins for i in range(bins + 1)]
+    summary = quantile_summary(base_long, probs, accuracy=accuracy)
+    edges = _summary_edges(summary)
+    base_counts = spark.createDataFrame(_baseline_bins(summary, edges), "feature string, bin int, e_n long")
+    base_tot = spark.createDataFrame([(f, s.n, s.n_all) for f, s in summary.items()],
+                                     "feature string, e_tot long, e_all long")
+    cur_counts = bin_counts(cur_long, edges, "a_n")
     has_bin = F.col("bin").isNotNull()
-    totals = counts.groupBy("feature").agg(
-        F.sum(F.when(has_bin, F.col("e_n"))).alias("e_tot"),
-        F.sum(F.coalesce("e_n", F.lit(0))).alias("e_all"),
-        F.sum(F.when(has_bin, F.col("a_n"))).alias("a_tot"),
-        F.sum(F.coalesce("a_n", F.lit(0))).alias("a_all"),
-    )
+    cur_tot = cur_counts.groupBy("feature").agg(
+        F.sum(F.when(has_bin, F.col("a_n"))).alias("a_tot"), F.sum("a_n").alias("a_all"))
+    totals = base_tot.join(cur_tot, "feature", "full")
     per_bin = (_all_bins(spark, edges)
-               .join(counts.where(has_bin), ["feature", "bin"], "left")
+               .join(base_counts, ["feature", "bin"], "left")
+               .join(cur_counts.where(has_bin), ["feature", "bin"], "left")
                .join(totals, "feature"))
     e = _share(F.col("e_n"), F.coalesce("e_tot", F.lit(0)))
     a = _share(F.col("a_n"), F.coalesce("a_tot", F.lit(0)))

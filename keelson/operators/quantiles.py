@@ -32,18 +32,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 20_000
 
 
-def _clean(long_df: DataFrame, key: str, value: str) -> DataFrame:
-    x = F.col(value).cast("double")
-    return (long_df.select(F.col(key).cast("string").alias("_k"), x.alias("_x"))
-            .where(F.col("_x").isNotNull() & ~F.isnan("_x")))
-
-
 def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
     """Disjoint intervals covering the brackets (touching ones merged, so a
     value never belongs to two intervals)."""
@@ -69,10 +64,11 @@ def _region(x, intervals: list[tuple[float, float]]):
 
 
 def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, float]]
-             ) -> dict[tuple[str, int], float]:
+             ) -> dict[tuple[str, int], tuple[float, int, int]]:
     """Exact order statistics for ``targets`` = {(key, tid): (rank, lo, hi)}.
 
-    Returns {(key, tid): value} for every target whose bracket verified.
+    Returns {(key, tid): (value, #values < value, #values <= value)} for
+    every target whose bracket verified.
     """
     spark = data.sparkSession
     intervals: dict[str, list[tuple[float, float]]] = {}
@@ -109,40 +105,55 @@ def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, f
               .join(F.broadcast(wanted), ["_k", "region"])
               .where(F.col("below") + F.col("cum") > F.col("rank"))
               .groupBy("_k", "tid")
-              .agg(F.min("v").alias("v"), F.max("below").alias("below"), F.max("rank").alias("rank"))
+              .agg(F.min_by(F.struct("v", "cum", "c"), "v").alias("m"),
+                   F.max("below").alias("below"), F.max("rank").alias("rank"))
               .collect())
-    return {(r["_k"], r["tid"]): r["v"] for r in walked if r["below"] <= r["rank"]}
+    out = {}
+    for r in walked:
+        if r["below"] <= r["rank"]:
+            le = r["below"] + r["m"]["cum"]
+            out[(r["_k"], r["tid"])] = (r["m"]["v"], le - r["m"]["c"], le)
+    return out
 
 
-def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
-                    value: str = "x", accuracy: int = DEFAULT_ACCURACY
-                    ) -> dict[str, tuple[int, list[float | None]]]:
-    """Exact linear-interpolated quantiles of ``value`` per ``key``.
+@dataclass(frozen=True)
+class QuantileSummary:
+    """Per key: ``n`` values (null/NaN excluded), ``n_all`` rows, the
+    quantiles and, for each, how many values are strictly below it."""
+    n: int
+    n_all: int
+    values: list[float | None]
+    count_below: list[int | None]
 
-    Nulls and NaN are ignored. Returns {key: (n, [q(p) for p in probs])};
-    a key without values has n = 0 and null quantiles. The result is a
-    bounded summary (keys x probabilities) and is returned to the caller,
-    like the surrogate values of a fitted imputer.
-    """
+
+def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
+                     value: str = "x", accuracy: int = DEFAULT_ACCURACY) -> dict[str, QuantileSummary]:
+    """Exact linear-interpolated quantiles of ``value`` per ``key`` with
+    the number of values below each one (enough to count any bin between
+    quantiles without another scan). A bounded summary: keys x probs."""
     probs = [float(p) for p in probs]
     if any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must be in [0, 1]")
-    data = _clean(long_df, key, value)
+    raw = long_df.select(F.col(key).cast("string").alias("_k"), F.col(value).cast("double").alias("_x"))
+    valid = F.col("_x").isNotNull() & ~F.isnan("_x")
+    xv = F.when(valid, F.col("_x"))
     delta = 3.0 / accuracy
     side = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
-    stats = (data.groupBy("_k")
-             .agg(F.count("_x").alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"),
-                  F.percentile_approx("_x", side, accuracy).alias("approx"))
+    stats = (raw.groupBy("_k")
+             .agg(F.count(xv).alias("n"), F.count(F.lit(1)).alias("n_all"), F.min(xv).alias("mn"),
+                  F.max(xv).alias("mx"), F.percentile_approx(xv, side, accuracy).alias("approx"))
              .collect())
 
     targets: dict[tuple[str, int], tuple[int, float, float]] = {}
     wide: dict[tuple[str, int], tuple[int, float, float]] = {}
-    layout: dict[str, tuple[int, list[tuple[int, int, float]]]] = {}
+    layout: dict[str, tuple[int, int, list[tuple[int, int, float]]]] = {}
     for r in stats:
         k, n, mn, mx = r["_k"], r["n"], r["mn"], r["mx"]
+        layout[k] = (n, r["n_all"], [])
+        if n == 0:
+            continue
         approx = dict(zip(side, r["approx"]))
         rank_tid: dict[int, int] = {}
-        per_prob = []
         for p in probs:
             h = (n - 1) * p
             r0 = int(math.floor(h))
@@ -158,24 +169,44 @@ def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feat
                     lo, hi = min(lo, old[1]), max(hi, old[2])
                 targets[(k, tid)] = (rank, lo, hi)
                 wide[(k, tid)] = (rank, mn, mx)
-            per_prob.append((rank_tid[r0], rank_tid[r1], h - r0))
-        layout[k] = (n, per_prob)
+            layout[k][2].append((rank_tid[r0], rank_tid[r1], h - r0))
 
-    values = _resolve(data, targets) if targets else {}
-    missing = {t: wide[t] for t in targets if t not in values}
+    data = raw.where(valid)
+    found = _resolve(data, targets) if targets else {}
+    missing = {t: wide[t] for t in targets if t not in found}
     if missing:
-        values.update(_resolve(data, missing))
-
-    out: dict[str, tuple[int, list[float | None]]] = {}
-    for k, (n, per_prob) in layout.items():
-        qs = []
+        found.update(_resolve(data, missing))
+
+    out: dict[str, QuantileSummary] = {}
+    for k, (n, n_all, per_prob) in layout.items():
+        if n == 0:
+            out[k] = QuantileSummary(0, n_all, [None] * len(probs), [None] * len(probs))
+            continue
+        qs, below = [], []
         for t0, t1, frac in per_prob:
-            a, b = values[(k, t0)], values[(k, t1)]
-            qs.append(a if frac == 0 or a == b else a + (b - a) * frac)
-        out[k] = (n, qs)
+            (a, a_lt, a_le), (b, b_lt, _) = found[(k, t0)], found[(k, t1)]
+            q = a if frac == 0 or a == b else a + (b - a) * frac
+            qs.append(q)
+            # a and b are adjacent order statistics: nothing lies strictly between them.
+            below.append(a_lt if q == a else b_lt if q == b else a_le)
+        out[k] = QuantileSummary(n, n_all, qs, below)
     return out
 
 
+def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
+                    value: str = "x", accuracy: int = DEFAULT_ACCURACY
+                    ) -> dict[str, tuple[int, list[float | None]]]:
+    """Exact linear-interpolated quantiles of ``value`` per ``key``.
+
+    Nulls and NaN are ignored. Returns {key: (n, [q(p) for p in probs])};
+    a key without values has n = 0 and null quantiles. The result is a
+    bounded summary (keys x probabilities) and is returned to the caller,
+    like the surrogate values of a fitted imputer.
+    """
+    summary = quantile_summary(long_df, probs, key, value, accuracy)
+    return {k: (s.n, s.values) for k, s in summary.items()}
+
+
 def quantiles_frame(spark, result: dict[str, tuple[int, list[float | None]]],
                     probs: Sequence[float], key: str = "feature") -> DataFrame:
     """The quantile summary as a small DataFrame ``(key, prob, value)``."""

@@ -5,6 +5,7 @@ name; floats compared after rounding to 6 decimals)."""
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pandas as pd
@@ -19,13 +20,16 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+DIGITS = int(os.environ.get("KEELSON_ORACLE_DIGITS", "6"))
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return (round(v, DIGITS) if DIGITS >= 0 else v) + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

@@ -30,7 +30,7 @@ from keelson.plans.fixtures import (
     RAW_CONTRACT,
     SPLIT_SEED,
     dirty_events,
-    drift_pairs,
+    drift_long_sides,
     model_rows,
 )
 from keelson.session import scratch_path
@@ -144,14 +144,9 @@ def runs_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drift_long(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Baseline and current sides of every drift pair as ``(feature, x)``."""
-    base = cur = None
-    for name, b, c, col in drift_pairs(spark, sf):
-        bl = b.select(F.lit(name).alias("feature"), F.col(col).cast("double").alias("x"))
-        cl = c.select(F.lit(name).alias("feature"), F.col(col).cast("double").alias("x"))
-        base = bl if base is None else base.unionByName(bl)
-        cur = cl if cur is None else cur.unionByName(cl)
-    return base, cur
+    """Baseline and current sides of every drift pair as ``(feature, x)``,
+    one scan per table and side."""
+    return drift_long_sides(spark, sf)
 
 
 def fitted_classifier(spark: SparkSession, sf: str, algorithm: str = "logreg", **params):

@@ -94,16 +94,48 @@ EVENTS_CONTRACT = T.StructType([
 ])
 
 
+# (pair name, table, baseline predicate, current predicate, column): drift
+# pairs with known behaviour — a seasonal split, a shifted range, two event
+# types, two return flags over tied values, and a constant baseline.
+DRIFT_PAIRS = [
+    ("orders_half_year", "orders", "month(o_orderdate) <= 6", "month(o_orderdate) > 6", "o_totalprice"),
+    ("lineitem_quantity_shift", "lineitem", "l_quantity < 30", "l_quantity >= 15", "l_quantity"),
+    ("events_click_view", "events", "event_type = 'click'", "event_type = 'view'", "value"),
+    ("lineitem_discount_flag", "lineitem", "l_returnflag = 'A'", "l_returnflag = 'N'", "l_discount"),
+    ("lineitem_constant", "lineitem", "l_quantity = 7", "l_quantity = 8", "l_quantity"),
+]
+
+
 def drift_pairs(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame, DataFrame, str]]:
-    """(name, baseline, current, column) pairs with known drift behaviour."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
-    li = read_table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_returnflag")
-    ev = read_table(spark, sf_dir, "events").select("event_type", "value")
-    month = F.month("o_orderdate")
-    return [
-        ("orders_half_year", o.where(month <= 6), o.where(month > 6), "o_totalprice"),
-        ("lineitem_quantity_shift", li.where("l_quantity < 30"), li.where("l_quantity >= 15"), "l_quantity"),
-        ("events_click_view", ev.where("event_type = 'click'"), ev.where("event_type = 'view'"), "value"),
-        ("lineitem_discount_flag", li.where("l_returnflag = 'A'"), li.where("l_returnflag = 'N'"), "l_discount"),
-        ("lineitem_constant", li.where("l_quantity = 7"), li.where("l_quantity = 8"), "l_quantity"),
-    ]
+    """(name, baseline, current, column) per pair, as separate DataFrames."""
+    out = []
+    for name, table, base, cur, col in DRIFT_PAIRS:
+        t = read_table(spark, sf_dir, table)
+        out.append((name, t.where(base), t.where(cur), col))
+    return out
+
+
+def drift_long_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Baseline and current sides of every pair as ``(feature, x)`` rows with
+    ONE scan per table and side: each row emits one ``(pair, value)`` entry
+    per pair whose predicate it satisfies (``stack``), the rest are dropped.
+    Several pairs over the same large table never rescan it."""
+    sides = []
+    for which in (2, 3):
+        parts = None
+        for table in dict.fromkeys(p[1] for p in DRIFT_PAIRS):
+            pairs = [p for p in DRIFT_PAIRS if p[1] == table]
+            t = read_table(spark, sf_dir, table)
+            args, any_pair = [], None
+            for p in pairs:
+                cond = F.expr(p[which])
+                args += [F.when(cond, F.lit(p[0])), F.col(p[4]).cast("double")]
+                any_pair = cond if any_pair is None else any_pair | cond
+            # The OR of the pair predicates is pushed into the Parquet scan
+            # (row-group skipping); the stack then routes rows to their pairs.
+            long = (t.where(any_pair)
+                    .select(F.stack(F.lit(len(pairs)), *args).alias("feature", "x"))
+                    .where(F.col("feature").isNotNull()))
+            parts = long if parts is None else parts.unionByName(long)
+        sides.append(parts)
+    return sides[0], sides[1]

@@ -170,10 +170,14 @@ class _PrepParams(Params):
     categoricalFallback = Param(Params._dummy(), "categoricalFallback",
                                 "fill for an all-null categorical column (JSON)", typeConverter=TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", typeConverter=TypeConverters.toString)
+    maxCategories = Param(Params._dummy(), "maxCategories",
+                          "keep the k most frequent values per categorical column (0 = all)",
+                          typeConverter=TypeConverters.toInt)
 
     def __init__(self, *args):
         super().__init__(*args)
-        self._setDefault(numericStrategy="mean", categoricalFallback="null", outputCol="features")
+        self._setDefault(numericStrategy="mean", categoricalFallback="null", outputCol="features",
+                         maxCategories=0)
 
 
 class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -190,7 +194,8 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
 
     @keyword_only
     def __init__(self, *, numericCols=None, categoricalCols=None, featureCols=None,
-                 numericStrategy="mean", categoricalFallback=None, outputCol="features"):
+                 numericStrategy="mean", categoricalFallback=None, outputCol="features",
+                 maxCategories=0):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         if kwargs.get("categoricalFallback") is None:
@@ -204,7 +209,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         categorical = self.getOrDefault(self.categoricalCols)
         strategy = self.getOrDefault(self.numericStrategy)
         fallback = json.loads(self.getOrDefault(self.categoricalFallback))
-        stats = _table_stats(dataset, numeric, categorical)
+        stats = _table_stats(dataset, numeric, categorical, self.getOrDefault(self.maxCategories))
         if strategy == "mean":
             fills = {c: (stats["sum"][c] / stats["count"][c] if stats["count"].get(c) else 0.0) for c in numeric}
         elif strategy == "median":
@@ -232,21 +237,36 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         return PipelineModel(stages=stages)
 
 
-def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
+def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                 max_categories: int = 0) -> dict:
     """One scan: per numeric column (count, sum); per categorical column the
-    count of every value. Output rows = numeric columns + categories."""
+    count of every value. Without a cap the result holds numeric columns +
+    categories (what a fitted ``StringIndexer`` keeps on the driver anyway).
+    With ``max_categories = k`` the grouped counts stay distributed and only
+    the null counts and each column's k most frequent values are collected
+    (a top-k per column), so the driver never holds more than k per column."""
     cols = {c: F.struct(F.lit(None).cast("string").alias("v"), F.col(c).cast("double").alias("x"))
             for c in numeric}
     cols.update({c: F.struct(F.col(c).cast("string").alias("v"), F.lit(None).cast("double").alias("x"))
                  for c in categorical})
+    out = {"count": {}, "sum": {}, "values": {}}
     if not cols:
-        return {"count": {}, "sum": {}, "values": {}}
+        return out
     long = df.select(*[e.alias(c) for c, e in cols.items()]).unpivot([], list(cols), "feature", "val")
-    rows = (long.groupBy("feature", F.col("val.v").alias("v"))
-            .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n"))
-            .collect())
-    out = {"count": {}, "sum": {}, "values": {}}
+    grouped = (long.groupBy("feature", F.col("val.v").alias("v"))
+               .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n")))
     num = set(numeric)
+    if max_categories and categorical:
+        grouped = grouped.persist()
+        try:
+            rows = grouped.where(F.col("feature").isin(list(num)) | F.col("v").isNull()).collect()
+            for c in categorical:
+                rows += (grouped.where((F.col("feature") == c) & F.col("v").isNotNull())
+                         .orderBy(F.desc("n"), F.asc("v")).limit(max_categories).collect())
+        finally:
+            grouped.unpersist()
+    else:
+        rows = grouped.collect()
     for r in rows:
         if r["feature"] in num:
             out["count"][r["feature"]] = r["nx"]
@@ -258,11 +278,11 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
 
 def prep_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
                 numeric_strategy: str = "mean", categorical_fallback: str | None = None,
-                output: str = "features") -> list:
+                output: str = "features", max_categories: int = 0) -> list:
     """The single-pass preprocessing estimator as a pipeline stage list."""
     return [TablePrep(numericCols=list(numeric), categoricalCols=list(categorical), featureCols=list(features),
                       numericStrategy=numeric_strategy, categoricalFallback=categorical_fallback,
-                      outputCol=output)]
+                      outputCol=output, maxCategories=max_categories)]
 
 
 def separate_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],

@@ -13,6 +13,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the library's plans are designed around on a large cluster. The
+# scratch area comes from the cluster's own spark.checkpoint.dir.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Start high and let AQE coalesce: shuffles here are mostly small
+    # partial aggregates, but model preparation and global sorts are not.
+    "spark.sql.shuffle.partitions": "4000",
+    # 100 TB / 256 MB = ~400k scan tasks: large enough splits to keep task
+    # overhead low, small enough to stream through codegen'd stages.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``CLUSTER_CONF`` (runtime SQL settings only) to a session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "keelson") -> SparkSession:
     builder = (

@@ -21,8 +21,9 @@ Each bracket holds about ``6·n/accuracy`` rows (fewer distinct values after
 map-side combine), so the window groups stay bounded even when one value
 holds a third of all rows — ties collapse into one ``(value, count)`` row.
 Brackets are verified (rows below ≤ rank < rows below + rows inside); a
-failing target is retried with the bracket widened to ``[min, max]``, which
-is exact regardless of the sketch.
+failing target is retried with a 10x and a 100x wider bracket from the same
+sketch, and only as a last resort with ``[min, max]``, which is exact
+regardless of the sketch.
 
 Linear interpolation between order statistics ``(n-1)·p`` matches numpy's
 default and SQL ``quantile_cont``.
@@ -137,15 +138,16 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
     raw = long_df.select(F.col(key).cast("string").alias("_k"), F.col(value).cast("double").alias("_x"))
     valid = F.col("_x").isNotNull() & ~F.isnan("_x")
     xv = F.when(valid, F.col("_x"))
-    delta = 3.0 / accuracy
-    side = sorted({min(1.0, max(0.0, p + s * delta)) for p in probs for s in (-1.0, 1.0)})
+    # Bracket levels, narrowest first: p ± 3/acc, ± 30/acc, ± 300/acc, then [min, max].
+    # All sketch probabilities come from the same pass-1 aggregate.
+    deltas = [3.0 / accuracy, 30.0 / accuracy, 300.0 / accuracy]
+    side = sorted({min(1.0, max(0.0, p + s * d)) for p in probs for d in deltas for s in (-1.0, 1.0)})
     stats = (raw.groupBy("_k")
              .agg(F.count(xv).alias("n"), F.count(F.lit(1)).alias("n_all"), F.min(xv).alias("mn"),
                   F.max(xv).alias("mx"), F.percentile_approx(xv, side, accuracy).alias("approx"))
              .collect())
 
-    targets: dict[tuple[str, int], tuple[int, float, float]] = {}
-    wide: dict[tuple[str, int], tuple[int, float, float]] = {}
+    levels: list[dict[tuple[str, int], tuple[int, float, float]]] = [{} for _ in range(len(deltas) + 1)]
     layout: dict[str, tuple[int, int, list[tuple[int, int, float]]]] = {}
     for r in stats:
         k, n, mn, mx = r["_k"], r["n"], r["mn"], r["mx"]
@@ -158,24 +160,29 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
             h = (n - 1) * p
             r0 = int(math.floor(h))
             r1 = min(r0 + 1, n - 1)
-            lo = mn if p - delta <= 0 else min(approx[max(0.0, p - delta)], approx[min(1.0, p + delta)])
-            hi = mx if p + delta >= 1 else max(approx[max(0.0, p - delta)], approx[min(1.0, p + delta)])
+            brackets = []
+            for d in deltas:
+                a, b = approx[max(0.0, p - d)], approx[min(1.0, p + d)]
+                brackets.append((mn if p - d <= 0 else min(a, b), mx if p + d >= 1 else max(a, b)))
+            brackets.append((mn, mx))
             for rank in (r0, r1):
                 if rank not in rank_tid:
                     rank_tid[rank] = len(rank_tid)
                 tid = rank_tid[rank]
-                old = targets.get((k, tid))
-                if old is not None:
-                    lo, hi = min(lo, old[1]), max(hi, old[2])
-                targets[(k, tid)] = (rank, lo, hi)
-                wide[(k, tid)] = (rank, mn, mx)
+                for level, (lo, hi) in zip(levels, brackets):
+                    old = level.get((k, tid))
+                    if old is not None:
+                        lo, hi = min(lo, old[1]), max(hi, old[2])
+                    level[(k, tid)] = (rank, lo, hi)
             layout[k][2].append((rank_tid[r0], rank_tid[r1], h - r0))
 
     data = raw.where(valid)
-    found = _resolve(data, targets) if targets else {}
-    missing = {t: wide[t] for t in targets if t not in found}
-    if missing:
-        found.update(_resolve(data, missing))
+    found: dict[tuple[str, int], tuple[float, int, int]] = {}
+    for level in levels:
+        pending = {t: b for t, b in level.items() if t not in found}
+        if not pending:
+            break
+        found.update(_resolve(data, pending))
 
     out: dict[str, QuantileSummary] = {}
     for k, (n, n_all, per_prob) in layout.items():

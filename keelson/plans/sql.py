@@ -307,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
     q["scan_parquet"] = mr(f"SELECT {MR_COLS} FROM model_rows")
     q["write_parquet"] = q["scan_parquet"]
     q["scan_csv"] = q["scan_parquet"]
+    q["save_model"] = _w(f"{MODEL_ROWS},\n{TAGGED}", "SELECT id, true AS same FROM tagged WHERE split = 'test'")
     q["write_csv_predictions"] = mr(f"SELECT id, CAST(id % {cat.MOD_K} = 0 AS INTEGER) AS prediction FROM model_rows")
     q["write_report_json"] = _w(f"{LINEAR_CTES},\n{_metrics_ctes('(SELECT 1 AS g, * FROM test_scored)', 'g')}",
                                 "SELECT 'linear' AS algorithm, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy FROM met")

@@ -18,8 +18,12 @@ scans, neither of which holds more than a narrow slice of the data:
    cumulative rank reaches the target.
 
 Each bracket holds about ``6·n/accuracy`` rows (fewer distinct values after
-map-side combine), so the window groups stay bounded even when one value
-holds a third of all rows — ties collapse into one ``(value, count)`` row.
+map-side combine); ties collapse into one ``(value, count)`` row, so a value
+holding a third of all rows costs one row. When ``n`` is so large that a
+bracket could exceed ``max_walk`` rows, refinement scans first narrow it with
+an equal-width histogram of 1,024 buckets per bracket (count, min and max per
+bucket; the bucket holding the rank becomes the bracket), so no window
+partition ever holds more than ``max_walk`` rows, whatever the table size.
 Brackets are verified (rows below ≤ rank < rows below + rows inside); a
 failing target is retried with a 10x and a 100x wider bracket from the same
 sketch, and only as a last resort with ``[min, max]``, which is exact
@@ -38,6 +42,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 20_000
+# Most rows one exact walk may hold in a single window partition; larger
+# brackets are narrowed first by histogram refinement.
+MAX_WALK = 1_000_000
+REFINE_BUCKETS = 1024
+MAX_REFINE_ROUNDS = 6
 
 
 def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -64,6 +73,87 @@ def _region(x, intervals: list[tuple[float, float]]):
     return expr.otherwise(F.lit(2 * len(intervals)))
 
 
+def _by_key(per_key: dict[str, F.Column]) -> F.Column:
+    key, expr = F.col("_k"), None
+    for k, e in per_key.items():
+        expr = F.when(key == F.lit(k), e) if expr is None else expr.when(key == F.lit(k), e)
+    return expr
+
+
+def _sub_bucket(x, intervals: list[tuple[float, float]], buckets: int):
+    """Equal-width bucket of ``x`` inside its interval (null outside any).
+    ``floor((x - lo) * scale)`` is monotone in ``x``, so equal values share a
+    bucket and buckets are ordered like their values."""
+    expr = None
+    for lo, hi in intervals:
+        scale = buckets / (hi - lo) if hi > lo else 0.0
+        b = F.least(F.lit(buckets - 1), F.floor((x - F.lit(lo)) * F.lit(scale)).cast("int"))
+        cond = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        expr = F.when(cond, b) if expr is None else expr.when(cond, b)
+    return expr
+
+
+def _refine(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, float]],
+            max_walk: int = MAX_WALK, buckets: int = REFINE_BUCKETS, rounds: int = MAX_REFINE_ROUNDS):
+    """Narrow brackets holding more than ``max_walk`` rows.
+
+    Each round is one scan: every value inside a bracket gets an equal-width
+    sub-bucket and ``(key, region, bucket)`` is aggregated to count, min and
+    max (output bounded by keys x brackets x buckets). The bucket holding the
+    target rank becomes the new bracket ``[min, max]`` — tight, because
+    buckets are monotone in the value — holding exactly its count of rows. A
+    bucket of one distinct value resolves the target outright.
+
+    Returns ``(resolved, remaining)``: resolved as in ``_resolve``, the rest
+    with brackets of at most ``max_walk`` rows where the data allow it.
+    """
+    x = F.col("_x")
+    resolved: dict[tuple[str, int], tuple[float, int, int]] = {}
+    cur = dict(targets)
+    for _ in range(rounds):
+        intervals: dict[str, list[tuple[float, float]]] = {}
+        for (k, _t), (_r, lo, hi) in cur.items():
+            intervals.setdefault(k, []).append((lo, hi))
+        intervals = {k: _merge(v) for k, v in intervals.items()}
+        region = _by_key({k: _region(x, ivs) for k, ivs in intervals.items()})
+        sub = _by_key({k: _sub_bucket(x, ivs, buckets) for k, ivs in intervals.items()})
+        hist = (data.where(F.col("_k").isin(list(intervals)))
+                .select("_k", region.alias("region"), F.when(region % 2 == 1, sub).alias("sub"), "_x")
+                .groupBy("_k", "region", "sub")
+                .agg(F.count(F.lit(1)).alias("c"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
+                .collect())
+        totals: dict[tuple[str, int], int] = {}
+        cells: dict[tuple[str, int], dict[int, tuple[int, float, float]]] = {}
+        for r in hist:
+            totals[(r["_k"], r["region"])] = totals.get((r["_k"], r["region"]), 0) + r["c"]
+            if r["sub"] is not None:
+                cells.setdefault((r["_k"], r["region"]), {})[r["sub"]] = (r["c"], r["mn"], r["mx"])
+        nxt, progressed = {}, False
+        for (k, tid), (rank, lo, hi) in cur.items():
+            i = next(j for j, (a, b) in enumerate(intervals[k]) if a <= lo and hi <= b)
+            reg = 2 * i + 1
+            below = sum(c for (kk, g), c in totals.items() if kk == k and g < reg)
+            inside = totals.get((k, reg), 0)
+            if inside <= max_walk or not (below <= rank < below + inside):
+                nxt[(k, tid)] = (rank, lo, hi)  # small enough, or left for verification to reject
+                continue
+            acc = below
+            for j in sorted(cells.get((k, reg), {})):
+                c, mn, mx = cells[(k, reg)][j]
+                if acc + c > rank:
+                    if mn == mx:
+                        resolved[(k, tid)] = (mn, acc, acc + c)
+                    else:
+                        nxt[(k, tid)] = (rank, mn, mx)
+                        progressed = progressed or c < inside
+                    break
+                acc += c
+        cur = nxt
+        if not progressed:
+            break
+    return resolved, cur
+
+
 def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, float]]
              ) -> dict[tuple[str, int], tuple[float, int, int]]:
     """Exact order statistics for ``targets`` = {(key, tid): (rank, lo, hi)}.
@@ -78,10 +168,7 @@ def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, f
     intervals = {k: _merge(v) for k, v in intervals.items()}
 
     x, key = F.col("_x"), F.col("_k")
-    region = None
-    for k, ivs in intervals.items():
-        branch = _region(x, ivs)
-        region = F.when(key == F.lit(k), branch) if region is None else region.when(key == F.lit(k), branch)
+    region = _by_key({k: _region(x, ivs) for k, ivs in intervals.items()})
     inside = (region % 2) == 1
     counted = (data.where(key.isin(list(intervals)))
                .select("_k", region.alias("region"), F.when(inside, x).alias("v"))
@@ -128,7 +215,8 @@ class QuantileSummary:
 
 
 def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
-                     value: str = "x", accuracy: int = DEFAULT_ACCURACY) -> dict[str, QuantileSummary]:
+                     value: str = "x", accuracy: int = DEFAULT_ACCURACY,
+                     max_walk: int = MAX_WALK) -> dict[str, QuantileSummary]:
     """Exact linear-interpolated quantiles of ``value`` per ``key`` with
     the number of values below each one (enough to count any bin between
     quantiles without another scan). A bounded summary: keys x probs."""
@@ -148,6 +236,8 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
              .collect())
 
     levels: list[dict[tuple[str, int], tuple[int, float, float]]] = [{} for _ in range(len(deltas) + 1)]
+    level_widths = [2 * d + 2.0 / accuracy for d in deltas] + [1.0]
+    n_of = {r["_k"]: r["n"] for r in stats}
     layout: dict[str, tuple[int, int, list[tuple[int, int, float]]]] = {}
     for r in stats:
         k, n, mn, mx = r["_k"], r["n"], r["mn"], r["mx"]
@@ -178,11 +268,17 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
 
     data = raw.where(valid)
     found: dict[tuple[str, int], tuple[float, int, int]] = {}
-    for level in levels:
+    for width, level in zip(level_widths, levels):
         pending = {t: b for t, b in level.items() if t not in found}
         if not pending:
             break
-        found.update(_resolve(data, pending))
+        # Expected rows per bracket from the sketch's probability width; only
+        # when that may exceed ``max_walk`` is a refinement scan spent.
+        if any(width * n_of[k] > max_walk for (k, _) in pending):
+            direct, pending = _refine(data, pending, max_walk)
+            found.update(direct)
+        if pending:
+            found.update(_resolve(data, pending))
 
     out: dict[str, QuantileSummary] = {}
     for k, (n, n_all, per_prob) in layout.items():
@@ -201,7 +297,7 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
 
 
 def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
-                    value: str = "x", accuracy: int = DEFAULT_ACCURACY
+                    value: str = "x", accuracy: int = DEFAULT_ACCURACY, max_walk: int = MAX_WALK
                     ) -> dict[str, tuple[int, list[float | None]]]:
     """Exact linear-interpolated quantiles of ``value`` per ``key``.
 
@@ -210,7 +306,7 @@ def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feat
     bounded summary (keys x probabilities) and is returned to the caller,
     like the surrogate values of a fitted imputer.
     """
-    summary = quantile_summary(long_df, probs, key, value, accuracy)
+    summary = quantile_summary(long_df, probs, key, value, accuracy, max_walk)
     return {k: (s.n, s.values) for k, s in summary.items()}
 
 

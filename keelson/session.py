@@ -62,17 +62,22 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem every
-    executor can reach). Only when the session has none — local tests — a
-    fresh directory under the system temp folder is created and registered
-    as the checkpoint dir, so ``DataFrame.checkpoint()`` works as well.
+    executor can reach), read from the session. Only when the session has
+    none — local tests — a fresh directory under the system temp folder is
+    created and registered as the checkpoint dir, so ``DataFrame.checkpoint()``
+    works as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext._jsc.sc().getCheckpointDir()
-        configured = configured.get() if configured.isDefined() else None
+    try:
+        jsc = spark.sparkContext._jsc.sc()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        jsc = None
+    if not configured and jsc is not None:
+        current = jsc.getCheckpointDir()
+        configured = current.get() if current.isDefined() else None
     if not configured:
         configured = tempfile.mkdtemp(prefix="keelson-ckpt-")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if jsc is not None and jsc.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 

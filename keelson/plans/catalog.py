@@ -87,25 +87,35 @@ def fitted_prep(spark: SparkSession, sf: str, numeric_strategy: str = "mean"):
     return features.feature_pipeline(NUMERIC, CATEGORICAL, FEATURES, numeric_strategy).fit(train_rows)
 
 
-def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
+def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = (),
+                  only_split: str | None = None) -> DataFrame:
     """``id, split, <7 feature slots>, label`` — preprocessing fitted on train,
-    applied to every row. ``carry`` keeps raw columns (as ``raw_<name>``)."""
+    applied to every row (or only to the rows of ``only_split``). ``carry``
+    keeps raw columns (as ``raw_<name>``).
+
+    A split filter must be applied before the fitted transform: the vector
+    assembler's UDF is non-deterministic to Catalyst, which therefore does
+    not push predicates below it.
+    """
     prep = fitted_prep(spark, sf)
     tagged = split_tagged(spark, sf)
+    if only_split is not None:
+        tagged = tagged.where(F.col("split") == only_split)
     tagged = tagged.select(*tagged.columns, *[F.col(c).alias(f"raw_{c}") for c in carry])
     out = prep.transform(tagged)
     return features.vector_slots(out, "features", FEATURES,
                                  keep=["id", "split", "label", *[f"raw_{c}" for c in carry]])
 
 
-def linear_scored(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    ft = feature_table(spark, sf, carry)
+def linear_scored(spark: SparkSession, sf: str, carry: tuple[str, ...] = (),
+                  only_split: str | None = None) -> DataFrame:
+    ft = feature_table(spark, sf, carry, only_split)
     return score.score_linear(ft, LINEAR_COEFFICIENTS, LINEAR_INTERCEPT,
                               keep=("split", "label", *[f"raw_{c}" for c in carry]))
 
 
 def test_scored(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    return linear_scored(spark, sf, carry).where(F.col("split") == "test")
+    return linear_scored(spark, sf, carry, only_split="test")
 
 
 def scorer_grid(spark: SparkSession, sf: str) -> DataFrame:

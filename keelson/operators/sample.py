@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from keelson.functions import hash_bucket, hash_unit
 
 
-def split_column(key: str | Column, test_size: float, seed: int, name: str = "split") -> Column:
-    return F.when(hash_unit(key, seed) < F.lit(float(test_size)), F.lit("test")).otherwise(F.lit("train")).alias(name)
+def split_column(key: str | Column, test_size: float, seed: int, name: str = "split",
+                 method: str = "md5") -> Column:
+    return (F.when(hash_unit(key, seed, method) < F.lit(float(test_size)), F.lit("test"))
+            .otherwise(F.lit("train")).alias(name))
 
 
-def split_hash(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42
+def split_hash(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, method: str = "md5"
                ) -> tuple[DataFrame, DataFrame]:
     """(train, test): test holds rows whose uniform hash draw is < ``test_size``."""
-    u = hash_unit(key, seed)
+    u = hash_unit(key, seed, method)
     return df.where(u >= F.lit(float(test_size))), df.where(u < F.lit(float(test_size)))
 
 
@@ -57,10 +59,11 @@ def split_random(df: DataFrame, test_size: float = 0.2, seed: int = 42
     return train, test
 
 
-def kfold_assign(df: DataFrame, key: str, k: int = 3, seed: int = 43, fold_col: str = "fold") -> DataFrame:
+def kfold_assign(df: DataFrame, key: str, k: int = 3, seed: int = 43, fold_col: str = "fold",
+                 method: str = "md5") -> DataFrame:
     """Add an integer fold id in ``[0, k)`` from the keyed hash (usable as
     ``CrossValidator(foldCol=...)``)."""
-    return df.withColumn(fold_col, hash_bucket(key, seed, k))
+    return df.withColumn(fold_col, hash_bucket(key, seed, k, method))
 
 
 def limit_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:

@@ -86,8 +86,10 @@ def _sub_bucket(x, intervals: list[tuple[float, float]], buckets: int):
     bucket and buckets are ordered like their values."""
     expr = None
     for lo, hi in intervals:
-        scale = buckets / (hi - lo) if hi > lo else 0.0
-        b = F.least(F.lit(buckets - 1), F.floor((x - F.lit(lo)) * F.lit(scale)).cast("int"))
+        if hi > lo and math.isfinite(lo) and math.isfinite(hi) and math.isfinite(buckets / (hi - lo)):
+            b = F.least(F.lit(buckets - 1), F.floor((x - F.lit(lo)) * F.lit(buckets / (hi - lo))).cast("int"))
+        else:  # a point, or an unbounded bracket: one bucket (no NaN arithmetic under ANSI casts)
+            b = F.lit(0)
         cond = (x >= F.lit(lo)) & (x <= F.lit(hi))
         expr = F.when(cond, b) if expr is None else expr.when(cond, b)
     return expr

@@ -32,10 +32,11 @@ from keelson.plans.fixtures import (
     dirty_events,
     drift_long_sides,
     model_rows,
+    request_rows,
 )
 from keelson.session import scratch_path
 from keelson.sources import files
-from keelson.streaming import score_stream
+from keelson.streaming import score_requests, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -509,6 +510,19 @@ def q_score_stream(spark, sf):
     return spark.read.parquet(sink)
 
 
+@query("score_requests")
+def q_score_requests(spark, sf):
+    model, _, _ = fitted_classifier(spark, sf, maxIter=50, regParam=0.01)
+    source = scratch_path(spark, "requests-in")
+    request_rows(spark, sf).write.mode("overwrite").json(source)
+    sink, ckpt = scratch_path(spark, "requests-out"), scratch_path(spark, "requests-ckpt")
+    q = score_requests(spark, model, source, RAW_CONTRACT, sink, ckpt)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink)
+
+
 @query("baseline_mod")
 def q_baseline_mod(spark, sf):
     return score.baseline_mod(model_rows(spark, sf), MOD_K)

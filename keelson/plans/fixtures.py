@@ -86,6 +86,18 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model_rows`` as incoming request records (every field as text, no
+    label) with defects made by formula: every 11th id sends a non-numeric
+    ``tier``, every 19th omits the required ``flag``."""
+    raw = model_rows(spark, sf_dir, with_label=False)
+    k = F.col("id")
+    texts = {c: F.col(c).cast("string") for c in raw.columns}
+    texts["tier"] = F.when(F.pmod(k, F.lit(11)) == 0, F.lit("first")).otherwise(texts["tier"])
+    texts["flag"] = F.when(F.pmod(k, F.lit(19)) != 0, texts["flag"])
+    return raw.select(*[e.alias(c) for c, e in texts.items()])
+
+
 EVENTS_CONTRACT = T.StructType([
     T.StructField("event_id", T.LongType(), False),
     T.StructField("event_type", T.StringType(), False),

@@ -1 +1 @@
-from keelson.streaming.scoring import score_stream, scored_stream  # noqa: F401
+from keelson.streaming.scoring import score_requests, score_stream, scored_stream  # noqa: F401

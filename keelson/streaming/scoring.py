@@ -13,7 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from keelson.operators.clean import contract_errors
 
 
 def scored_stream(spark: SparkSession, model, source_dir: str, schema: StructType,
@@ -40,3 +42,33 @@ def score_stream(spark: SparkSession, model, source_dir: str, schema: StructType
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def score_requests(spark: SparkSession, model, source_dir: str, contract: StructType, sink_dir: str,
+                   checkpoint_dir: str, id_col: str = "id", available_now: bool = True) -> StreamingQuery:
+    """Validate request records against ``contract`` and score the valid ones.
+
+    Records arrive as JSON lines and are read as text, so a malformed value
+    is a contract error rather than a read failure. Valid rows are cast to
+    the contract's types and scored by the fitted pipeline; rejected rows
+    keep their list of errors. Both branches of the same stream are unioned
+    into one Parquet sink partitioned by ``status`` — one checkpointed,
+    exactly-once query, no per-batch side effects.
+    """
+    text_schema = StructType([StructField(f.name, StringType(), True) for f in contract.fields])
+    raw = spark.readStream.schema(text_schema).json(source_dir)
+    checked = raw.withColumn("errors", contract_errors(raw, contract))
+    ok = F.size("errors") == 0
+    typed = checked.where(ok).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields])
+    scored = model.transform(typed).select(
+        F.col(id_col).cast("long").alias(id_col), F.lit("scored").alias("status"), F.col("prediction"),
+        vector_to_array(F.col("probability"))[1].alias("probability"),
+        F.lit(None).cast("array<string>").alias("errors"))
+    rejected = checked.where(~ok).select(
+        F.col(id_col).try_cast("long").alias(id_col), F.lit("rejected").alias("status"),
+        F.lit(None).cast("double").alias("prediction"), F.lit(None).cast("double").alias("probability"), "errors")
+    writer = (scored.unionByName(rejected).writeStream.format("parquet").outputMode("append")
+              .partitionBy("status").option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -41,6 +41,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
 DEFAULT_ACCURACY = 20_000
 # Most rows one exact walk may hold in a single window partition; larger
 # brackets are narrowed first by histogram refinement.
@@ -147,7 +148,9 @@ def _refine(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, fl
                         resolved[(k, tid)] = (mn, acc, acc + c)
                     else:
                         nxt[(k, tid)] = (rank, mn, mx)
-                        progressed = progressed or c < inside
+                        # Fewer rows, or the same rows in a narrower value range
+                        # (then the next round's buckets split them).
+                        progressed = progressed or c < inside or mn > lo or mx < hi
                     break
                 acc += c
         cur = nxt

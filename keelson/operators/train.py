@@ -2,7 +2,10 @@
 
 * Preprocessing is fitted once on the training split (no test leakage); the
   prepared training set is persisted because every cross-validation fit
-  scans it again.
+  scans it again. ``persist`` rather than a reliable checkpoint: its lineage
+  is a scan plus row-wise transforms (no shuffle), so a partition lost with
+  an executor is recomputed from its own file split at the cost of one
+  task, while a checkpoint would write the whole training set once more.
 * Folds come from a keyed hash column (``foldCol``), so they do not depend on
   the partition layout and survive recomputation after executor loss.
 * Grid points are fitted concurrently (``parallelism``) and algorithms are

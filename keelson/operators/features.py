@@ -31,7 +31,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.aggregate import mean_values, median_values, mode_values
+from keelson.operators.aggregate import long_form, mean_values, median_values, mode_values
+from keelson.operators.quantiles import quantile_summary, sketch_columns
 
 STRATEGIES = ("mean", "median", "mode")
 OTHER = "__other__"
@@ -188,8 +189,9 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
     (nulls included). From that small table come the means, the modes
     (count desc, then smallest value) and the index labels of the mode-filled
     columns (frequency desc, ties alphabetical) — what separate imputer and
-    ``StringIndexer`` fits compute in three scans. ``median`` adds the two
-    bounded passes of the exact order statistic.
+    ``StringIndexer`` fits compute in three scans. With ``median`` the same
+    scan also aggregates the quantile sketch, and one more scan makes the
+    medians exact.
     """
 
     @keyword_only
@@ -209,13 +211,16 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         categorical = self.getOrDefault(self.categoricalCols)
         strategy = self.getOrDefault(self.numericStrategy)
         fallback = json.loads(self.getOrDefault(self.categoricalFallback))
-        stats = _table_stats(dataset, numeric, categorical, self.getOrDefault(self.maxCategories))
+        if strategy not in ("mean", "median"):
+            raise ValueError(f"unknown numeric strategy {strategy!r}")
+        stats = _table_stats(dataset, numeric, categorical, self.getOrDefault(self.maxCategories),
+                             with_sketch=strategy == "median")
         if strategy == "mean":
             fills = {c: (stats["sum"][c] / stats["count"][c] if stats["count"].get(c) else 0.0) for c in numeric}
-        elif strategy == "median":
-            fills = median_values(dataset, numeric, default=0.0)
         else:
-            raise ValueError(f"unknown numeric strategy {strategy!r}")
+            # Pass 1 of the exact median rode along in the stats scan; one more scan resolves it.
+            res = quantile_summary(long_form(dataset, numeric), [0.5], sketches=stats["sketch"])
+            fills = {c: (res[c].values[0] if c in res and res[c].n > 0 else 0.0) for c in numeric}
         modes, labels = {}, []
         for c in categorical:
             counts = stats["values"].get(c, {})
@@ -238,7 +243,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
 
 
 def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 max_categories: int = 0) -> dict:
+                 max_categories: int = 0, with_sketch: bool = False) -> dict:
     """One scan: per numeric column (count, sum); per categorical column the
     count of every value. Without a cap the result holds numeric columns +
     categories (what a fitted ``StringIndexer`` keeps on the driver anyway).
@@ -249,12 +254,16 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
             for c in numeric}
     cols.update({c: F.struct(F.col(c).cast("string").alias("v"), F.lit(None).cast("double").alias("x"))
                  for c in categorical})
-    out = {"count": {}, "sum": {}, "values": {}}
+    out = {"count": {}, "sum": {}, "values": {}, "sketch": {}}
     if not cols:
         return out
     long = df.select(*[e.alias(c) for c, e in cols.items()]).unpivot([], list(cols), "feature", "val")
+    # Numeric columns are one group each (v is null), so a median's pass-1
+    # sketch can be aggregated in the same scan.
+    extra = sketch_columns(F.col("val.x"), [0.5]) if with_sketch else []
     grouped = (long.groupBy("feature", F.col("val.v").alias("v"))
-               .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n")))
+               .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n_rows"),
+                    *extra))
     num = set(numeric)
     if max_categories and categorical:
         grouped = grouped.persist()
@@ -262,7 +271,7 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
             rows = grouped.where(F.col("feature").isin(list(num)) | F.col("v").isNull()).collect()
             for c in categorical:
                 rows += (grouped.where((F.col("feature") == c) & F.col("v").isNotNull())
-                         .orderBy(F.desc("n"), F.asc("v")).limit(max_categories).collect())
+                         .orderBy(F.desc("n_rows"), F.asc("v")).limit(max_categories).collect())
         finally:
             grouped.unpersist()
     else:
@@ -271,8 +280,10 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
         if r["feature"] in num:
             out["count"][r["feature"]] = r["nx"]
             out["sum"][r["feature"]] = r["sx"]
+            if with_sketch:
+                out["sketch"][r["feature"]] = r
         else:
-            out["values"].setdefault(r["feature"], {})[r["v"]] = r["n"]
+            out["values"].setdefault(r["feature"], {})[r["v"]] = r["n_rows"]
     return out
 
 

@@ -219,26 +219,49 @@ class QuantileSummary:
     count_below: list[int | None]
 
 
+def _deltas(accuracy: int) -> list[float]:
+    # Bracket levels, narrowest first: p ± 3/acc, ± 30/acc, ± 300/acc (then [min, max]).
+    return [3.0 / accuracy, 30.0 / accuracy, 300.0 / accuracy]
+
+
+def sketch_probabilities(probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> list[float]:
+    """The ``percentile_approx`` probabilities pass 1 needs for ``probs``."""
+    return sorted({min(1.0, max(0.0, float(p) + s * d)) for p in probs for d in _deltas(accuracy)
+                   for s in (-1.0, 1.0)})
+
+
+def sketch_columns(x, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> list:
+    """Pass-1 aggregate expressions over a value column ``x`` (null/NaN
+    ignored) — to be computed inside any grouped aggregation keyed by the
+    quantile key, so pass 1 can share a scan with other statistics."""
+    xv = F.when(x.isNotNull() & ~F.isnan(x), x)
+    return [F.count(xv).alias("n"), F.count(F.lit(1)).alias("n_all"), F.min(xv).alias("mn"),
+            F.max(xv).alias("mx"), F.percentile_approx(xv, sketch_probabilities(probs, accuracy), accuracy)
+            .alias("approx")]
+
+
 def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
                      value: str = "x", accuracy: int = DEFAULT_ACCURACY,
-                     max_walk: int = MAX_WALK) -> dict[str, QuantileSummary]:
+                     max_walk: int = MAX_WALK, sketches: dict | None = None) -> dict[str, QuantileSummary]:
     """Exact linear-interpolated quantiles of ``value`` per ``key`` with
     the number of values below each one (enough to count any bin between
-    quantiles without another scan). A bounded summary: keys x probs."""
+    quantiles without another scan). A bounded summary: keys x probs.
+
+    ``sketches`` ({key: row with n, n_all, mn, mx, approx} from
+    ``sketch_columns``) skips pass 1 when the caller already aggregated it.
+    """
     probs = [float(p) for p in probs]
     if any(p < 0 or p > 1 for p in probs):
         raise ValueError("probabilities must be in [0, 1]")
     raw = long_df.select(F.col(key).cast("string").alias("_k"), F.col(value).cast("double").alias("_x"))
     valid = F.col("_x").isNotNull() & ~F.isnan("_x")
-    xv = F.when(valid, F.col("_x"))
-    # Bracket levels, narrowest first: p ± 3/acc, ± 30/acc, ± 300/acc, then [min, max].
-    # All sketch probabilities come from the same pass-1 aggregate.
-    deltas = [3.0 / accuracy, 30.0 / accuracy, 300.0 / accuracy]
-    side = sorted({min(1.0, max(0.0, p + s * d)) for p in probs for d in deltas for s in (-1.0, 1.0)})
-    stats = (raw.groupBy("_k")
-             .agg(F.count(xv).alias("n"), F.count(F.lit(1)).alias("n_all"), F.min(xv).alias("mn"),
-                  F.max(xv).alias("mx"), F.percentile_approx(xv, side, accuracy).alias("approx"))
-             .collect())
+    deltas = _deltas(accuracy)
+    side = sketch_probabilities(probs, accuracy)
+    if sketches is None:
+        rows = raw.groupBy("_k").agg(*sketch_columns(F.col("_x"), probs, accuracy)).collect()
+        sketches = {r["_k"]: r for r in rows}
+    stats = [dict(_k=k, n=r["n"], n_all=r["n_all"], mn=r["mn"], mx=r["mx"], approx=r["approx"])
+             for k, r in sketches.items()]
 
     levels: list[dict[tuple[str, int], tuple[int, float, float]]] = [{} for _ in range(len(deltas) + 1)]
     level_widths = [2 * d + 2.0 / accuracy for d in deltas] + [1.0]

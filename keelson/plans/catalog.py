@@ -89,7 +89,7 @@ def fitted_prep(spark: SparkSession, sf: str, numeric_strategy: str = "mean"):
 
 
 def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = (),
-                  only_split: str | None = None) -> DataFrame:
+                  only_split: str | None = None, numeric_strategy: str = "mean") -> DataFrame:
     """``id, split, <7 feature slots>, label`` — preprocessing fitted on train,
     applied to every row (or only to the rows of ``only_split``). ``carry``
     keeps raw columns (as ``raw_<name>``).
@@ -98,7 +98,7 @@ def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = (),
     assembler's UDF is non-deterministic to Catalyst, which therefore does
     not push predicates below it.
     """
-    prep = fitted_prep(spark, sf)
+    prep = fitted_prep(spark, sf, numeric_strategy)
     tagged = split_tagged(spark, sf)
     if only_split is not None:
         tagged = tagged.where(F.col("split") == only_split)
@@ -380,6 +380,12 @@ def q_feature_table(spark, sf):
     return _rounded(feature_table(spark, sf), FEATURES)
 
 
+@query("feature_table_median")
+def q_feature_table_median(spark, sf):
+    """The declared median strategy: sketch in the stats scan, one exact pass."""
+    return _rounded(feature_table(spark, sf, numeric_strategy="median"), FEATURES)
+
+
 # ---------------------------------------------------------------- 2.6 training and selection
 
 @query("train_logreg")

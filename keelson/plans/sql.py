@@ -72,11 +72,12 @@ def _indexed(col: str, idx: str) -> str:
 
 
 # Preprocessing fitted on the training split, applied to every row.
-FEATURE_TABLE_CTES = f"""{MODEL_ROWS},
+def _feature_table_ctes(stat: str = "avg") -> str:
+    return f"""{MODEL_ROWS},
 {TAGGED},
 stats AS (
-  SELECT avg(CAST(tier AS DOUBLE)) AS m_tier, avg(age_like) AS m_age, avg(CAST(sib AS DOUBLE)) AS m_sib,
-         avg(CAST(par AS DOUBLE)) AS m_par, avg(fare_like) AS m_fare
+  SELECT {stat}(CAST(tier AS DOUBLE)) AS m_tier, {stat}(age_like) AS m_age, {stat}(CAST(sib AS DOUBLE)) AS m_sib,
+         {stat}(CAST(par AS DOUBLE)) AS m_par, {stat}(fare_like) AS m_fare
   FROM tagged WHERE split = 'train'
 ),
 {_mode_cte('flag_mode', 'flag', 'tagged', "split = 'train'")},
@@ -105,6 +106,9 @@ feature_table AS (
 )"""
 
 
+FEATURE_TABLE_CTES = _feature_table_ctes("avg")
+
+
 def _linear_z() -> str:
     z = f"{cat.LINEAR_INTERCEPT}::DOUBLE"
     for c, b in cat.LINEAR_COEFFICIENTS.items():
@@ -374,6 +378,8 @@ filled AS (
 FROM filled f LEFT JOIN flag_idx ON f.flag = flag_idx.v LEFT JOIN status_idx ON f.status = status_idx.v""")
     q["feature_table"] = _w(FEATURE_TABLE_CTES,
                             f"SELECT id, split, {_round_cols(FEATURES)}, label FROM feature_table")
+    q["feature_table_median"] = _w(_feature_table_ctes("median"),
+                                   f"SELECT id, split, {_round_cols(FEATURES)}, label FROM feature_table")
 
     # 2.7 evaluation (linear scorer on the test split)
     one = "(SELECT 1 AS g, * FROM test_scored)"

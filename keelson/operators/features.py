@@ -174,11 +174,14 @@ class _PrepParams(Params):
     maxCategories = Param(Params._dummy(), "maxCategories",
                           "keep the k most frequent values per categorical column (0 = all)",
                           typeConverter=TypeConverters.toInt)
+    oneHotMaxCategories = Param(Params._dummy(), "oneHotMaxCategories",
+                                "one-hot encode categorical columns with at most k values (0 = never)",
+                                typeConverter=TypeConverters.toInt)
 
     def __init__(self, *args):
         super().__init__(*args)
         self._setDefault(numericStrategy="mean", categoricalFallback="null", outputCol="features",
-                         maxCategories=0)
+                         maxCategories=0, oneHotMaxCategories=0)
 
 
 class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -197,7 +200,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
     @keyword_only
     def __init__(self, *, numericCols=None, categoricalCols=None, featureCols=None,
                  numericStrategy="mean", categoricalFallback=None, outputCol="features",
-                 maxCategories=0):
+                 maxCategories=0, oneHotMaxCategories=0):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         if kwargs.get("categoricalFallback") is None:
@@ -234,11 +237,21 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
             FillMissingModel(inputCols=list(numeric), strategy=strategy, fillValues=json.dumps(fills)),
             FillMissingModel(inputCols=list(categorical), strategy="mode", fillValues=json.dumps(modes)),
         ]
-        if categorical:
-            stages.append(StringIndexerModel.from_arrays_of_labels(
-                labels, inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical],
-                handleInvalid="keep"))
-        stages.append(assembler(self.getOrDefault(self.featureCols), self.getOrDefault(self.outputCol)))
+        feats = list(self.getOrDefault(self.featureCols))
+        # One indexer per column: building a multi-column model from ragged
+        # label lists would pad the shorter lists with null labels.
+        indexers = [StringIndexerModel.from_labels(lab, inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
+                    for c, lab in zip(categorical, labels)]
+        stages += indexers
+        k = self.getOrDefault(self.oneHotMaxCategories)
+        small = [f"{c}_index" for c, lab in zip(categorical, labels) if k and len(lab) <= k]
+        if small:
+            # Sizes come from the indexers' column metadata: fitting on an
+            # empty frame reads no data.
+            sample = PipelineModel(stages=list(stages)).transform(dataset.limit(0))
+            stages.append(one_hot_encoder(small).fit(sample))
+            feats = [f"{f}_vec" if f in small else f for f in feats]
+        stages.append(assembler(feats, self.getOrDefault(self.outputCol)))
         return PipelineModel(stages=stages)
 
 
@@ -289,11 +302,11 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
 
 def prep_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
                 numeric_strategy: str = "mean", categorical_fallback: str | None = None,
-                output: str = "features", max_categories: int = 0) -> list:
+                output: str = "features", max_categories: int = 0, one_hot_max: int = 0) -> list:
     """The single-pass preprocessing estimator as a pipeline stage list."""
     return [TablePrep(numericCols=list(numeric), categoricalCols=list(categorical), featureCols=list(features),
                       numericStrategy=numeric_strategy, categoricalFallback=categorical_fallback,
-                      outputCol=output, maxCategories=max_categories)]
+                      outputCol=output, maxCategories=max_categories, oneHotMaxCategories=one_hot_max)]
 
 
 def separate_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],

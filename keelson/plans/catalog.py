@@ -595,6 +595,19 @@ def q_drift_report(spark, sf):
     return _rounded(_rounded(rep, ["psi"], 8), ["null_share_baseline", "null_share_current"])
 
 
+@query("feature_drift")
+def q_feature_drift(spark, sf):
+    """Drift of the processed feature vectors, training split vs held-out rows,
+    over every slot (``posexplode`` of the vector). Each side is filtered
+    before the fitted transform."""
+    prep = fitted_prep(spark, sf)
+    tagged = split_tagged(spark, sf)
+    sides = [drift.vector_long(prep.transform(tagged.where(F.col("split") == s)), "features", FEATURES)
+             for s in ("train", "test")]
+    rep = drift.drift_report_long(*sides)
+    return _rounded(_rounded(rep, ["psi"], 8), ["null_share_baseline", "null_share_current"])
+
+
 @query("drift_summary")
 def q_drift_summary(spark, sf):
     base, cur = drift_long(spark, sf)

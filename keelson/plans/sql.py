@@ -183,7 +183,7 @@ runs AS (
 )"""
 
 
-def _drift_long_ctes() -> str:
+def _drift_pair_sources() -> tuple[str, str]:
     pairs = [
         ("orders_half_year",
          "SELECT o_totalprice AS x FROM orders WHERE month(o_orderdate) <= 6",
@@ -203,6 +203,11 @@ def _drift_long_ctes() -> str:
     ]
     base = "\n  UNION ALL ".join(f"SELECT '{n}' AS feature, CAST(x AS DOUBLE) AS x FROM ({b})" for n, b, _ in pairs)
     cur = "\n  UNION ALL ".join(f"SELECT '{n}' AS feature, CAST(x AS DOUBLE) AS x FROM ({c})" for n, _, c in pairs)
+    return base, cur
+
+
+def _drift_ctes(base: str, cur: str) -> str:
+    """PSI chain over ``base`` / ``cur`` row sources of ``(feature, x)``."""
     probs = ", ".join(f"{i / 10}" for i in range(11))
     return f"""base AS (
   {base}
@@ -267,7 +272,7 @@ report AS (
 )"""
 
 
-DRIFT_CTES = _drift_long_ctes()
+DRIFT_CTES = _drift_ctes(*_drift_pair_sources())
 
 
 def _w(ctes: str, body: str) -> str:
@@ -416,6 +421,12 @@ UNION ALL SELECT feature, bin, round(a, 8) AS share, 'current' AS side FROM shar
     q["psi"] = _w(DRIFT_CTES, "SELECT feature, round(psi, 8) AS psi FROM report")
     q["drift_report"] = _w(DRIFT_CTES, """SELECT feature, method, round(psi, 8) AS psi, threshold, drift,
        round(null_share_baseline, 6) AS null_share_baseline, round(null_share_current, 6) AS null_share_current
+FROM report""")
+    slots = lambda side: "\n  UNION ALL ".join(
+        f"SELECT '{f}' AS feature, {f} AS x FROM feature_table WHERE split = '{side}'" for f in FEATURES)
+    q["feature_drift"] = _w(f"{FEATURE_TABLE_CTES},\n{_drift_ctes(slots('train'), slots('test'))}",
+                            """SELECT feature, method, round(psi, 8) AS psi, threshold, drift,
+       round(null_share_baseline, 6) AS null_share_baseline, round(null_share_current, 6) AS null_share_current
 FROM report""")
     q["drift_summary"] = _w(DRIFT_CTES, """SELECT count(*) AS n_features, count(*) FILTER (WHERE drift) AS n_drifted,
        round(max(psi), 8) AS max_psi, coalesce(bool_or(drift), false) AS any_drift FROM report""")

@@ -49,6 +49,23 @@ def run_log(runs: DataFrame, path: str) -> DataFrame:
     return runs.sparkSession.read.parquet(path)
 
 
+def runs_from_trials(trials: DataFrame, experiment: str, parent: str = "search",
+                     model_path: str | None = None) -> DataFrame:
+    """Cross-validation trials (``train.TRIAL_SCHEMA``) as child run rows of
+    one parent run: params from the trial's JSON, metrics ``cv_f1`` and
+    ``cv_f1_std``, ``seq`` in algorithm then grid order."""
+    exp = F.lit(experiment)
+    name = F.concat_ws("_", F.col("algorithm"), F.lit("cv_trial"), F.col("trial").cast("string"))
+    params = F.map_concat(F.from_json("params", "map<string,string>"),
+                          F.create_map(F.lit("algorithm"), F.col("algorithm")))
+    metrics = F.map_from_arrays(F.array(F.lit("cv_f1"), F.lit("cv_f1_std")),
+                                F.array(F.col("cv_f1"), F.col("cv_f1_std")))
+    seq = (F.col("algorithm_order").cast("long") * F.lit(1_000_000) + F.col("trial").cast("long"))
+    return trials.select(run_id(exp, name).alias("run_id"), run_id(exp, F.lit(parent)).alias("parent_run_id"),
+                         exp.alias("experiment"), name.alias("name"), params.alias("params"),
+                         metrics.alias("metrics"), seq.alias("seq"), F.lit(model_path).cast("string").alias("model_path"))
+
+
 def best_run(runs: DataFrame, experiment: str, metric: str) -> DataFrame:
     """Top run of one experiment by ``metric`` (desc), newest first on ties,
     then smallest run id. Runs without the metric never win."""

@@ -99,11 +99,14 @@ def _all_bins(spark, edges: dict[str, list[float]]) -> DataFrame:
 
 def bin_shares(long_df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     """``(feature, bin, share)`` for every bin of the edges, floored at 1e-6."""
-    counts = bin_counts(long_df, edges, "c").where(F.col("bin").isNotNull())
+    with_bins = [f for f, e in edges.items() if len(e) > 1]
+    counts = bin_counts(long_df, edges, "c").where(F.col("bin").isNotNull() & F.col("feature").isin(with_bins))
+    # Every bin listed with count 0, plus the counted bins: union + grouped sum, no join.
+    zero = _all_bins(long_df.sparkSession, edges).select("feature", "bin", F.lit(0).cast("long").alias("c"))
+    per_bin = zero.unionByName(counts).groupBy("feature", "bin").agg(F.sum("c").alias("c"))
     # The window runs over (features x bins) rows, after the aggregation.
-    total = F.sum(F.coalesce("c", F.lit(0))).over(Window.partitionBy("feature"))
-    return (_all_bins(long_df.sparkSession, edges).join(counts, ["feature", "bin"], "left")
-            .select("feature", "bin", _share(F.col("c"), total).alias("share")))
+    total = F.sum("c").over(Window.partitionBy("feature"))
+    return per_bin.select("feature", "bin", _share(F.col("c"), total).alias("share"))
 
 
 def _share(c, total) -> F.Column:

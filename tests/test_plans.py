@@ -39,8 +39,9 @@ def test_drift_pairs_push_predicates_and_share_scans(spark):
     assert "EqualTo(event_type,click)" in plan
 
 
-def test_psi_plan_has_no_joins(spark):
-    plan = plan_of(catalog.QUERIES["psi"](spark, SMALL))
+@pytest.mark.parametrize("name", ["psi", "drift_report", "bin_shares", "feature_drift"])
+def test_drift_plans_have_no_joins(spark, name):
+    plan = plan_of(catalog.QUERIES[name](spark, SMALL))
     assert not [j for j in ("SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin") if j in plan]
 
 

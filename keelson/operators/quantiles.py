@@ -336,10 +336,3 @@ def exact_quantiles(long_df: DataFrame, probs: Sequence[float], key: str = "feat
     """
     summary = quantile_summary(long_df, probs, key, value, accuracy, max_walk)
     return {k: (s.n, s.values) for k, s in summary.items()}
-
-
-def quantiles_frame(spark, result: dict[str, tuple[int, list[float | None]]],
-                    probs: Sequence[float], key: str = "feature") -> DataFrame:
-    """The quantile summary as a small DataFrame ``(key, prob, value)``."""
-    rows = [(k, float(p), v) for k, (_, qs) in result.items() for p, v in zip(probs, qs)]
-    return spark.createDataFrame(rows, f"{key} string, prob double, value double")

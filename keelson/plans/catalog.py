@@ -25,6 +25,7 @@ from keelson.plans.fixtures import (
     CATEGORICAL,
     EVENTS_CONTRACT,
     FEATURES,
+    FOLD_SEED,
     INDEXED,
     NUMERIC,
     RAW_CONTRACT,
@@ -324,7 +325,7 @@ def q_split_hash(spark, sf):
 
 @query("kfold_assign")
 def q_kfold_assign(spark, sf):
-    return sample.kfold_assign(model_rows(spark, sf), "id", train.FOLDS, SPLIT_SEED + 1).select("id", "fold")
+    return sample.kfold_assign(model_rows(spark, sf), "id", train.FOLDS, FOLD_SEED).select("id", "fold")
 
 
 @query("shuffle_rows")

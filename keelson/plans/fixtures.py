@@ -26,13 +26,11 @@ FARE_NULL_EVERY = 401
 STATUS_NULL_EVERY = 97
 
 ID = "id"
-LABEL = "label"
 NUMERIC = ["tier", "age_like", "sib", "par", "fare_like"]
 CATEGORICAL = ["flag", "status"]
 INDEXED = [f"{c}_index" for c in CATEGORICAL]
 # Slot order of the feature vector is part of the contract.
 FEATURES = NUMERIC + INDEXED
-RAW_COLUMNS = [ID] + NUMERIC[:1] + ["flag"] + NUMERIC[1:] + ["status"]
 
 RAW_CONTRACT = T.StructType([
     T.StructField("id", T.LongType(), False),
@@ -118,15 +116,6 @@ DRIFT_PAIRS = [
 ]
 
 
-def drift_pairs(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame, DataFrame, str]]:
-    """(name, baseline, current, column) per pair, as separate DataFrames."""
-    out = []
-    for name, table, base, cur, col in DRIFT_PAIRS:
-        t = read_table(spark, sf_dir, table)
-        out.append((name, t.where(base), t.where(cur), col))
-    return out
-
-
 def drift_long_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Baseline and current sides of every pair as ``(feature, x)`` rows with
     ONE scan per table and side: each row emits one ``(pair, value)`` entry

@@ -10,7 +10,7 @@ literal in arithmetic is written ``…::DOUBLE``.
 from __future__ import annotations
 
 from keelson.plans import catalog as cat
-from keelson.plans.fixtures import FEATURES, SPLIT_SEED
+from keelson.plans.fixtures import FEATURES, FOLD_SEED, SPLIT_SEED
 
 
 def hash_unit(key: str, seed) -> str:
@@ -350,7 +350,7 @@ def oracle_sql() -> dict[str, str]:
     q["limit_sample"] = mr(f"SELECT {MR_COLS} FROM model_rows ORDER BY {hash_unit('id', cat.SAMPLE_SEED)}, id "
                            f"LIMIT {cat.SAMPLE_SIZE}")
     q["split_hash"] = _w(f"{MODEL_ROWS},\n{TAGGED}", "SELECT id, split FROM tagged")
-    q["kfold_assign"] = mr(f"SELECT id, CAST(floor({hash_unit('id', SPLIT_SEED + 1)} * 3.0::DOUBLE) AS INTEGER) AS fold "
+    q["kfold_assign"] = mr(f"SELECT id, CAST(floor({hash_unit('id', FOLD_SEED)} * 3.0::DOUBLE) AS INTEGER) AS fold "
                            "FROM model_rows")
 
     # 2.5 imputation and features

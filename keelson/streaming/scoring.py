@@ -49,25 +49,26 @@ def score_requests(spark: SparkSession, model, source_dir: str, contract: Struct
     """Validate request records against ``contract`` and score the valid ones.
 
     Records arrive as JSON lines and are read as text, so a malformed value
-    is a contract error rather than a read failure. Valid rows are cast to
-    the contract's types and scored by the fitted pipeline; rejected rows
-    keep their list of errors. Both branches of the same stream are unioned
-    into one Parquet sink partitioned by ``status`` — one checkpointed,
-    exactly-once query, no per-batch side effects.
+    is a contract error rather than a read failure. One pass per micro-batch:
+    every row is cast with ``try_cast`` (bad values become null, which the
+    fitted pipeline imputes or indexes as unseen, so no row can fail the
+    transform), scored once, and the prediction is kept only where the
+    contract held; rejected rows keep their list of errors instead. Written
+    to one Parquet sink partitioned by ``status`` — one checkpointed,
+    exactly-once query that reads each file once.
     """
     text_schema = StructType([StructField(f.name, StringType(), True) for f in contract.fields])
     raw = spark.readStream.schema(text_schema).json(source_dir)
-    checked = raw.withColumn("errors", contract_errors(raw, contract))
-    ok = F.size("errors") == 0
-    typed = checked.where(ok).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields])
-    scored = model.transform(typed).select(
-        F.col(id_col).cast("long").alias(id_col), F.lit("scored").alias("status"), F.col("prediction"),
-        vector_to_array(F.col("probability"))[1].alias("probability"),
-        F.lit(None).cast("array<string>").alias("errors"))
-    rejected = checked.where(~ok).select(
-        F.col(id_col).try_cast("long").alias(id_col), F.lit("rejected").alias("status"),
-        F.lit(None).cast("double").alias("prediction"), F.lit(None).cast("double").alias("probability"), "errors")
-    writer = (scored.unionByName(rejected).writeStream.format("parquet").outputMode("append")
+    checked = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields],
+                         contract_errors(raw, contract).alias("_errors"))
+    ok = F.size("_errors") == 0
+    out = model.transform(checked).select(
+        F.col(id_col).cast("long").alias(id_col),
+        F.when(ok, F.lit("scored")).otherwise(F.lit("rejected")).alias("status"),
+        F.when(ok, F.col("prediction")).alias("prediction"),
+        F.when(ok, vector_to_array(F.col("probability"))[1]).alias("probability"),
+        F.when(~ok, F.col("_errors")).alias("errors"))
+    writer = (out.writeStream.format("parquet").outputMode("append")
               .partitionBy("status").option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
     if available_now:
         writer = writer.trigger(availableNow=True)

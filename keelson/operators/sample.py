@@ -52,6 +52,13 @@ def split_rand(df: DataFrame, test_size: float = 0.2, seed: int = 42,
             filter_split(drawn, "_draw", test_size, "test"))
 
 
+def rand_split_column(df: DataFrame, test_size: float = 0.2, seed: int = 42, name: str = "split") -> DataFrame:
+    """``split_rand`` as one column (``test`` / ``train``) instead of two
+    frames: the same draws, one pass over the input."""
+    draw = F.rand(seed)
+    return df.withColumn(name, F.when(draw < F.lit(float(test_size)), F.lit("test")).otherwise(F.lit("train")))
+
+
 def split_random(df: DataFrame, test_size: float = 0.2, seed: int = 42
                  ) -> tuple[DataFrame, DataFrame]:
     """Spark's ``randomSplit([1 - t, t], seed)``."""

@@ -306,9 +306,8 @@ def q_limit_sample(spark, sf):
 
 @query("split_rand")
 def q_split_rand(spark, sf):
-    tr, te = sample.split_rand(model_rows(spark, sf), TEST_SIZE, SPLIT_SEED)
-    return (tr.select("id", F.lit("train").alias("split"))
-            .unionByName(te.select("id", F.lit("test").alias("split"))))
+    # The same seeded draw as sample.split_rand, as a split column: one pass.
+    return sample.rand_split_column(model_rows(spark, sf), TEST_SIZE, SPLIT_SEED).select("id", "split")
 
 
 @query("split_random")
@@ -476,10 +475,10 @@ def q_degenerate_check(spark, sf):
 @query("sanity_flags")
 def q_sanity_flags(spark, sf):
     t = test_scored(spark, sf)
-    scored = (t.select(F.lit("linear").alias("scorer"), "label", "prediction")
-              .unionByName(t.select(F.lit("label_copy").alias("scorer"), "label", F.col("label").alias("prediction")))
-              .unionByName(t.select(F.lit("label_flip").alias("scorer"), "label",
-                                    (F.lit(1.0) - F.col("label")).alias("prediction"))))
+    # Three scorers over the same rows in one pass: one (scorer, prediction) entry each.
+    entries = F.array(*[F.struct(F.lit(n).alias("scorer"), p.alias("prediction")) for n, p in (
+        ("linear", F.col("prediction")), ("label_copy", F.col("label")), ("label_flip", F.lit(1.0) - F.col("label")))])
+    scored = t.select("label", F.explode(entries).alias("s")).select("s.scorer", "label", "s.prediction")
     m = metrics.metrics_from_confusion(metrics.confusion_matrix(scored, by=("scorer",)), by=("scorer",))
     return _rounded(metrics.sanity_flags(m).select("scorer", "accuracy", "sanity"), ["accuracy"])
 

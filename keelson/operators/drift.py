@@ -138,50 +138,45 @@ def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS
     """``(feature, psi, null_share_baseline, null_share_current)`` per feature.
 
     The baseline is scanned twice (sketch, exact brackets): its bin counts
-    and null count come out of the quantile summary. The current side is
-    scanned once and binned against the literal edges. Everything after that
-    is unions and grouped aggregates over features x bins rows — no joins.
+    and totals come out of the quantile summary as a handful of rows. The
+    current side is scanned once, binned against the literal edges and
+    counted. After that one chain — union, grouped sum, per-feature window,
+    grouped sum — over features x bins rows: no joins, and the current
+    side's aggregate has a single consumer, so it is computed once.
     """
     spark = base_long.sparkSession
     probs = [i / bins for i in range(bins + 1)]
     summary = quantile_summary(base_long, probs, accuracy=accuracy)
     edges = _summary_edges(summary)
-    cur_counts = bin_counts(cur_long, edges, "a_n")
-    has_bin = F.col("bin").isNotNull()
-    nul = F.lit(None).cast("long")
-
-    # Per bin of the baseline edges: baseline and current counts side by side.
-    # Every baseline bin is listed (zero counts too); current values are
-    # clipped into those bins, so the union covers exactly the baseline's bins.
-    base_bins = spark.createDataFrame(_baseline_bins(summary, edges), "feature string, bin int, e_n long")
     with_bins = [f for f, e in edges.items() if len(e) > 1]  # a constant baseline has no bins
-    cur_binned = cur_counts.where(has_bin & F.col("feature").isin(with_bins))
-    per_bin = (base_bins.select("feature", "bin", "e_n", nul.alias("a_n"))
-               .unionByName(cur_binned.select("feature", "bin", nul.alias("e_n"), "a_n"))
+
+    # Baseline: one row per bin (zero counts included) and one totals row per feature.
+    base_rows = [(f, j, n, None, None) for f, j, n in _baseline_bins(summary, edges)]
+    base_rows += [(f, None, None, s.n, s.n_all) for f, s in summary.items()]
+    base = spark.createDataFrame(base_rows, "feature string, bin int, e_n long, e_tot long, e_all long")
+    nul = F.lit(None).cast("long")
+    cur = bin_counts(cur_long, edges, "a_n").select("feature", "bin", nul.alias("e_n"), nul.alias("e_tot"),
+                                                    nul.alias("e_all"), "a_n")
+    per_bin = (base.withColumn("a_n", nul).unionByName(cur)
                .groupBy("feature", "bin")
-               .agg(F.coalesce(F.sum("e_n"), F.lit(0)).alias("e_n"), F.coalesce(F.sum("a_n"), F.lit(0)).alias("a_n")))
-    by_feature = Window.partitionBy("feature")  # over features x bins rows
-    e = _share(F.col("e_n"), F.sum("e_n").over(by_feature))
-    a = _share(F.col("a_n"), F.sum("a_n").over(by_feature))
-    psi = per_bin.select("feature", ((a - e) * F.log(a / e)).alias("term")).groupBy("feature").agg(
-        F.sum("term").alias("psi"))
-
-    # Per feature: valid and total counts of both sides, and the PSI.
-    base_tot = spark.createDataFrame([(f, s.n, s.n_all) for f, s in summary.items()],
-                                     "feature string, e_tot long, e_all long")
-    dbl = F.lit(None).cast("double")
-    parts = (base_tot.select("feature", "e_tot", "e_all", nul.alias("a_tot"), nul.alias("a_all"), dbl.alias("psi"))
-             .unionByName(cur_counts.select("feature", nul.alias("e_tot"), nul.alias("e_all"),
-                                            F.when(has_bin, F.col("a_n")).alias("a_tot"), F.col("a_n").alias("a_all"),
-                                            dbl.alias("psi")))
-             .unionByName(psi.select("feature", nul.alias("e_tot"), nul.alias("e_all"), nul.alias("a_tot"),
-                                     nul.alias("a_all"), "psi")))
-    totals = parts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("e_tot", "e_all", "a_tot", "a_all")],
-                                          F.max("psi").alias("psi"))
-    null_share = lambda tot, all_: F.when(all_ > 0, (all_ - F.coalesce(tot, F.lit(0))).cast("double") / all_)
-    return totals.select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"),
-                         null_share(F.col("e_tot"), F.col("e_all")).alias("null_share_baseline"),
-                         null_share(F.col("a_tot"), F.col("a_all")).alias("null_share_current"))
+               .agg(*[F.sum(c).alias(c) for c in ("e_n", "e_tot", "e_all", "a_n")]))
+
+    w = Window.partitionBy("feature")  # over features x bins rows
+    has_bin = F.col("bin").isNotNull()
+    valid = has_bin & F.col("feature").isin(with_bins)
+    tot = per_bin.select(
+        "feature", valid.alias("valid"), "e_n", "a_n",
+        F.sum("e_tot").over(w).alias("e_tot"), F.sum("e_all").over(w).alias("e_all"),
+        F.sum(F.when(has_bin, F.col("a_n"))).over(w).alias("a_tot"), F.sum("a_n").over(w).alias("a_all"))
+    e = _share(F.col("e_n"), F.coalesce("e_tot", F.lit(0)))
+    a = _share(F.col("a_n"), F.coalesce("a_tot", F.lit(0)))
+    term = F.when(F.col("valid"), (a - e) * F.log(a / e))
+    rep = tot.groupBy("feature").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi"),
+                                     *[F.max(c).alias(c) for c in ("e_tot", "e_all", "a_tot", "a_all")])
+    null_share = lambda tot_, all_: F.when(all_ > 0, (all_ - F.coalesce(tot_, F.lit(0))).cast("double") / all_)
+    return rep.select("feature", "psi",
+                      null_share(F.col("e_tot"), F.col("e_all")).alias("null_share_baseline"),
+                      null_share(F.col("a_tot"), F.col("a_all")).alias("null_share_current"))
 
 
 def drift_report_long(base_long: DataFrame, cur_long: DataFrame, threshold: float = DEFAULT_THRESHOLD,

@@ -624,19 +624,25 @@ def _flat_runs(runs: DataFrame) -> DataFrame:
 
 @query("run_log")
 def q_run_log(spark, sf):
-    stored = registry.run_log(runs_table(spark, sf), scratch_path(spark, "runs"))
-    return _flat_runs(stored)
+    return _flat_runs(logged_runs(spark, sf))
+
+
+def logged_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs as the registry sees them: evaluated once (one scan of the
+    data), appended to a Parquet runs table, read back. Later steps read
+    this small table instead of recomputing the evaluations."""
+    return registry.run_log(runs_table(spark, sf), scratch_path(spark, "runs"))
 
 
 @query("best_run")
 def q_best_run(spark, sf):
-    best = registry.best_run(runs_table(spark, sf), EXPERIMENT, "f1")
+    best = registry.best_run(logged_runs(spark, sf), EXPERIMENT, "f1")
     return _flat_runs(best).select("run_id", "name", "f1")
 
 
 @query("promote_version")
 def q_promote_version(spark, sf):
-    runs = runs_table(spark, sf)
+    runs = logged_runs(spark, sf)
     versions = registry.register_versions(runs, MODEL_NAME)
     best = registry.best_run(runs, EXPERIMENT, "f1")
     return registry.promote_version(versions, MODEL_NAME, best)

@@ -59,3 +59,15 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<>" in plan or "ReadSchema: struct<o_" in plan
     plan = plan_of(catalog.QUERIES["contract_check"](spark, SMALL))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in plan
+
+
+# randomSplit samples each split separately; bin_shares reports both sides of each pair.
+SCANS_TWICE = {"split_random", "bin_shares"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry_mod.queries()) - FITTING))
+def test_each_input_table_scanned_once(spark, name):
+    plan = plan_of(entry_mod.queries()[name](spark, SMALL))
+    inputs = [loc for loc in re.findall(r"Location: \w+ \[([^\]]+)\]", plan) if "/testdata/" in loc]
+    most = max((inputs.count(loc) for loc in set(inputs)), default=0)
+    assert most <= (2 if name in SCANS_TWICE else 1), inputs

@@ -26,18 +26,33 @@ def score_batch(model, raw: DataFrame, id_col: str = "id", keep: tuple[str, ...]
                       vector_to_array(F.col("probability"))[1].alias("probability"))
 
 
+def score_many(models: Mapping[str, object], raw: DataFrame, keep: tuple[str, ...] = ("id",),
+               outputs: tuple[str, ...] = ("prediction", "probability")) -> DataFrame:
+    """Outputs of several fitted pipelines for the same rows in one narrow
+    pass (no join, one scan): the raw columns are carried through each model
+    under private names and restored for the next. Columns are named
+    ``<model>_prediction`` / ``<model>_probability`` (probability of class 1)."""
+    cols = raw.columns
+    done: list[str] = []
+    cur = raw
+    for name, model in models.items():
+        carried = cur.select(*cols, *done, *[F.col(c).alias(f"__raw_{c}") for c in cols])
+        out = model.transform(carried)
+        produced = []
+        if "prediction" in outputs:
+            produced.append(F.col("prediction").alias(f"{name}_prediction"))
+        if "probability" in outputs:
+            produced.append(vector_to_array(F.col("probability"))[1].alias(f"{name}_probability"))
+        cur = out.select(*[F.col(f"__raw_{c}").alias(c) for c in cols], *done, *produced)
+        done += [f"{name}_{o}" for o in outputs]
+    return cur.select(*keep, *done)
+
+
 def score_pair(model_a, model_b, raw: DataFrame, id_col: str = "id",
                names: tuple[str, str] = ("p_a", "p_b")) -> DataFrame:
-    """Probabilities of two fitted pipelines for the same rows in one narrow
-    pass (no join): the raw columns are carried through the first model
-    under private names and restored for the second."""
-    cols = raw.columns
-    carried = raw.select(*cols, *[F.col(c).alias(f"__raw_{c}") for c in cols])
-    first = model_a.transform(carried).select(
-        *[F.col(f"__raw_{c}").alias(c) for c in cols],
-        vector_to_array(F.col("probability"))[1].alias(names[0]))
-    return model_b.transform(first).select(
-        id_col, names[0], vector_to_array(F.col("probability"))[1].alias(names[1]))
+    """Probabilities of two fitted pipelines for the same rows in one pass."""
+    both = score_many({"a": model_a, "b": model_b}, raw, keep=(id_col,), outputs=("probability",))
+    return both.select(id_col, F.col("a_probability").alias(names[0]), F.col("b_probability").alias(names[1]))
 
 
 def score_linear(df: DataFrame, coefficients: Mapping[str, float], intercept: float,

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.metrics import evaluate_model
+from keelson.operators.metrics import evaluate_model, evaluate_models
 from keelson.operators.sample import kfold_assign
 
 ALGORITHMS = ("logreg", "random_forest")
@@ -168,13 +168,14 @@ def select_best_model(prep: Pipeline, raw_train: DataFrame, test: DataFrame,
             best_per_algo[r["algorithm"]] = r
     winner = min(best_per_algo.values(), key=lambda r: (-r["cv_f1"], r["algorithm_order"], r["trial"]))
     pipelines = {a: PipelineModel(stages=list(prep_model.stages) + [m.bestModel]) for a, m in models.items()}
-    summary = None
-    for algo, row in best_per_algo.items():
-        ev = evaluate_model(pipelines[algo], test, algo, label_col).select(
-            "algorithm", F.lit(row["params"]).alias("params"), F.lit(row["cv_f1"]).alias("cv_f1"),
-            F.col("f1").alias("test_f1"), F.col("accuracy").alias("test_accuracy"),
-            F.lit(algo == winner["algorithm"]).alias("selected"))
-        summary = ev if summary is None else summary.unionByName(ev)
+    # All candidates are scored in one pass over the test rows.
+    ev = evaluate_models({a: pipelines[a] for a in best_per_algo}, test, label_col)
+    cv_params = F.create_map(*[x for a, r in best_per_algo.items() for x in (F.lit(a), F.lit(r["params"]))])
+    cv_score = F.create_map(*[x for a, r in best_per_algo.items() for x in (F.lit(a), F.lit(r["cv_f1"]))])
+    summary = ev.select("algorithm", cv_params[F.col("algorithm")].alias("params"),
+                        cv_score[F.col("algorithm")].alias("cv_f1"),
+                        F.col("f1").alias("test_f1"), F.col("accuracy").alias("test_accuracy"),
+                        (F.col("algorithm") == F.lit(winner["algorithm"])).alias("selected"))
     return pipelines[winner["algorithm"]], summary
 
 

@@ -40,6 +40,15 @@ DEFAULT_BINS = 10
 DEFAULT_THRESHOLD = 0.2
 
 
+def quantile_grid(bins: int = DEFAULT_BINS) -> list[float]:
+    """Probabilities ``0, 1/bins, …, 1`` computed as ``i * (1/bins)`` with the
+    last point exactly 1 — the same doubles as an evenly spaced grid from
+    numpy (``7 * 0.1`` is ``0.7000000000000001``, not ``0.7``). Edges sit
+    between tied values, so the grid decides bins up to the last bit."""
+    step = 1.0 / bins
+    return [i * step for i in range(bins)] + [1.0]
+
+
 def vector_slot(df: DataFrame, vector_col: str, i: int, name: str | None = None) -> DataFrame:
     return df.select(vector_to_array(F.col(vector_col))[i].alias(name or f"{vector_col}_{i}"))
 
@@ -59,8 +68,7 @@ def edge_lists(base_long: DataFrame, bins: int = DEFAULT_BINS,
                accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
     """{feature: sorted distinct quantile edges of the baseline} — a bounded
     summary (features x (bins + 1) numbers)."""
-    probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(base_long, probs, accuracy=accuracy)
+    q = exact_quantiles(base_long, quantile_grid(bins), accuracy=accuracy)
     return {f: sorted(set(v for v in qs if v is not None)) for f, (n, qs) in q.items() if n > 0}
 
 
@@ -145,8 +153,7 @@ def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS
     side's aggregate has a single consumer, so it is computed once.
     """
     spark = base_long.sparkSession
-    probs = [i / bins for i in range(bins + 1)]
-    summary = quantile_summary(base_long, probs, accuracy=accuracy)
+    summary = quantile_summary(base_long, quantile_grid(bins), accuracy=accuracy)
     edges = _summary_edges(summary)
     with_bins = [f for f, e in edges.items() if len(e) > 1]  # a constant baseline has no bins
 

@@ -9,6 +9,7 @@ literal in arithmetic is written ``…::DOUBLE``.
 
 from __future__ import annotations
 
+from keelson.operators.drift import quantile_grid
 from keelson.plans import catalog as cat
 from keelson.plans.fixtures import FEATURES, FOLD_SEED, SPLIT_SEED
 
@@ -208,7 +209,7 @@ def _drift_pair_sources() -> tuple[str, str]:
 
 def _drift_ctes(base: str, cur: str) -> str:
     """PSI chain over ``base`` / ``cur`` row sources of ``(feature, x)``."""
-    probs = ", ".join(f"{i / 10}" for i in range(11))
+    probs = ", ".join(f"{p!r}::DOUBLE" for p in quantile_grid(10))
     return f"""base AS (
   {base}
 ),

@@ -63,8 +63,7 @@ def exact_groups(
     by_hash = named.join(groups.join(collided, "h", "left_anti"), "h")
     by_text = (
         keyset.maybe_in(keyed, "h", collisions)
-        .join(collided, "h", "left_semi")
-        .join(classes, ["h", "text"])
+        .join(classes.join(collided, "h", "left_semi"), ["h", "text"])
         .withColumn("text_sha256", F.sha2("text", 256))
     )
     columns = ("doc_id", "keep_id", "group_size", "text_sha256")

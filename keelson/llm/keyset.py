@@ -50,5 +50,8 @@ def without(rows: DataFrame, key: str, dropped: DataFrame, bits: int = BITS) ->
     hit = _bit(F.bitmap_bit_position(slot)) != 0
     probed = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "__bucket", "left")
     sure = probed.filter(F.col("__bitmap").isNull() | ~hit).select(*rows.columns)
-    unsure = maybe_in(rows, key, bitmap, bits).join(dropped.select(key).distinct(), key, "left_anti").select(*rows.columns)
+    # An outer join, as Spark would push an anti join below the bitmap's and shuffle every row.
+    gone = dropped.select(F.col(key).alias("__gone")).distinct()
+    maybe = maybe_in(rows, key, bitmap, bits)
+    unsure = maybe.join(gone, F.col(key) == F.col("__gone"), "left").filter(F.col("__gone").isNull()).select(*rows.columns)
     return sure.unionByName(unsure)

@@ -156,7 +156,7 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """``node, items``: the full shingle sets of the documents named in ``ids (node)``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     wanted = ids.select(F.col("node").alias("doc_id")).distinct()
-    some = keyset.maybe_in(docs, "doc_id", keyset.build(wanted, "doc_id")).join(wanted, "doc_id", "left_semi")
+    some = keyset.maybe_in(docs, "doc_id", keyset.build(wanted, "doc_id")).join(wanted, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

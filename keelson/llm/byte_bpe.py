@@ -95,6 +95,15 @@ class Vocabulary:
         self.ids = [ranks[k] for k in self.keys]
         self.tokens = {r: k for k, r in ranks.items()}
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_pieces"}
+
+    def pieces(self) -> _Pieces:
+        """The cache of this process: it outlives a task, as the broadcast vocabulary does."""
+        if "_pieces" not in self.__dict__:
+            self._pieces = _Pieces(self)
+        return self._pieces
+
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
         with open(path, "rb") as f:
@@ -111,28 +120,30 @@ class Vocabulary:
         """Tier two: merge pairs of linked pieces, lowest rank first, leftmost among equals."""
         rank = self.ranks.get
         n = len(piece)
-        start = list(range(n + 1))  # of the piece that begins at i; end[i] is where it ends
-        end = start[1:] + [n]
-        left = list(range(-1, n))
-        heap = [(r, i) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
+        after = [*range(1, n + 1), n]  # where the piece that begins at i ends; 0 once it is merged away
+        before = list(range(-1, n))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
-        alive = [True] * n
         while heap:
-            r, i = heapq.heappop(heap)
-            if not alive[i] or (j := end[i]) >= n or rank(piece[i : end[j]]) != r:
-                continue
-            alive[j] = False
-            end[i] = e = end[j]
+            _, i, e = heapq.heappop(heap)
+            j = after[i]
+            if not j or j >= n or after[j] != e:
+                continue  # one of the two has changed since
+            after[j] = 0
+            after[i] = e
             if e < n:
-                left[e] = i
-                if (x := rank(piece[i : end[e]])) is not None:
-                    heapq.heappush(heap, (x, i))
-            if (k := left[i]) >= 0 and (x := rank(piece[k:e])) is not None:
-                heapq.heappush(heap, (x, k))
+                before[e] = i
+                f = after[e]
+                if (x := rank(piece[i:f])) is not None:
+                    heapq.heappush(heap, (x, i, f))
+            k = before[i]
+            if k >= 0 and (x := rank(piece[k:e])) is not None:
+                heapq.heappush(heap, (x, k, e))
         out, i = [], 0
         while i < n:
-            out.append(self.ranks[piece[i : end[i]]])
-            i = end[i]
+            e = after[i]
+            out.append(self.ranks[piece[i:e]])
+            i = e
         return tuple(out)
 
 
@@ -163,7 +174,7 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary):
         self.split = regex.compile(vocabulary.pattern).findall
-        self.pieces = _Pieces(vocabulary)
+        self.pieces = vocabulary.pieces()
         self.tokens = vocabulary.tokens
 
     def encode(self, text: str) -> array:

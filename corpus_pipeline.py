@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import decontaminate, exact_dedup, keyset, minhash, quality, queries
 from keelson.llm.scratch import stored
+from keelson.llm.shipping import ship
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,18 +29,21 @@ def exact_dedup_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest id stays."""
+    ship(spark)
     linked = minhash.near_duplicates(docs, words=5, percent=80)
     return keyset.without(docs, "doc_id", stored(linked.filter("doc_id != component_id").select("doc_id"), "near"))
 
 
 def decontamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark phrase go."""
+    ship(spark)
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
     return keyset.without(docs, "doc_id", stored(found.filter(F.size("spans") > 0).select("doc_id"), "leaks"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the byte-level BPE encoding and its decoding."""
+    ship(spark)
     return queries.bpe_digests(docs)
 
 

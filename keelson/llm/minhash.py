@@ -18,12 +18,15 @@ expanded into its pairs:
 1. documents with equal sets are one class (a group of copies is one node);
 2. each class is verified against the smallest member of the bucket it shares
    most, and the links are contracted to components;
-3. in buckets that still hold several components, every class outside the
-   bucket's main component is verified against the members of all other
-   components. Pairs of one component need no link between them. A pair is
-   left out only if its set sizes rule a link out, or if more than
-   ``MAX_DIFFERENT`` of 128 one-bit coordinates differ (a linked pair expects
-   10; chance below 1e-12).
+3. in buckets that still hold several components (open classes), every class
+   outside the bucket's main component is verified against the members of the
+   other components. Pairs of one component need no link between them.
+   A pair is left out only if its sizes rule a link out, if the shingles that
+   can be in its intersection are too few, or if more than ``MAX_DIFFERENT`` of
+   128 one-bit coordinates differ (a linked pair expects 10; chance below
+   1e-12). Shingles held by at most ``RARE`` open classes make the second test
+   sharp: pairs that share one are listed by it, and for all other pairs only
+   the remaining shingles count.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z;
 fewer words than a shingle are one shingle; without words a document has no
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import keyset
@@ -48,6 +51,7 @@ from keelson.llm.scratch import stored
 COORDINATES = 128
 BANDS = 32
 MAX_DIFFERENT = 40
+RARE = 16
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -223,18 +227,49 @@ def near_duplicates(
     )
     mixed = mixed.filter("low != high").select("band", "main")
     open_members = stored(placed.drop("pivot").join(mixed, "band"), "open")
-    x = open_members.filter("root != main").select(
-        "band", *(F.col(c).alias(f"x_{c}") for c in ("node", "root", "n_shingles", "b1", "b2"))
+    open_nodes = open_members.drop("band", "main").distinct()
+    items = sets.join(open_nodes.select("node"), "node").select("node", F.explode("items").alias("item"))
+    holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") <= RARE)
+    rare = stored(items.join(holders, "item"), "rare")
+    scarce = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"), F.sum((F.col("held") == 1).cast("long")).alias("alone"))
+    counted = stored(
+        open_nodes.join(scarce, "node", "left").select(
+            *open_nodes.columns,
+            (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared"),
+            (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common"),
+        ),
+        "counted",
     )
-    differ = F.bit_count(F.col("b1").bitwiseXOR(F.col("x_b1"))) + F.bit_count(F.col("b2").bitwiseXOR(F.col("x_b2")))
-    pairs = (
-        x.join(open_members, "band")
-        .filter((F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("main")) | (F.col("x_node") < F.col("node"))))
-        .filter(100 * F.least("n_shingles", "x_n_shingles") >= percent * F.greatest("n_shingles", "x_n_shingles"))
-        .filter(differ <= MAX_DIFFERENT)
-        .select(F.least("node", "x_node").alias("u"), F.greatest("node", "x_node").alias("v"))
-        .distinct()
+
+    def other(df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(c).alias(c if c in ("band", "item") else f"x_{c}") for c in df.columns if c != "main"))
+
+    def may_link(most: str) -> Column:
+        """Sizes, the largest possible intersection and the one-bit coordinates allow a link."""
+        total = F.col("n_shingles") + F.col("x_n_shingles")
+        differ = F.bit_count(F.col("b1").bitwiseXOR(F.col("x_b1"))) + F.bit_count(F.col("b2").bitwiseXOR(F.col("x_b2")))
+        return (
+            (F.col("root") != F.col("x_root"))
+            & (100 * F.least("n_shingles", "x_n_shingles") >= percent * F.greatest("n_shingles", "x_n_shingles"))
+            & ((100 + percent) * F.least(most, f"x_{most}") >= percent * total)
+            & (differ <= MAX_DIFFERENT)
+        )
+
+    ends = (F.least("node", "x_node").alias("u"), F.greatest("node", "x_node").alias("v"))
+    # Pairs with no rare shingle in common: only the others can be in the intersection.
+    able = counted.filter(100 * F.col("common") >= percent * F.col("n_shingles"))
+    placed = open_members.select("band", "node", "main").join(able, "node")
+    plain = (
+        other(placed.filter("root != main"))
+        .join(placed, "band")
+        .filter(((F.col("root") == F.col("main")) | (F.col("x_node") < F.col("node"))) & may_link("common"))
+        .select(*ends)
     )
+    # Pairs with a rare shingle in common: at most RARE classes hold one.
+    able = counted.filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
+    listed = rare.filter("held > 1").select("item", "node").join(able, "node")
+    odd = other(listed).join(listed, "item").filter((F.col("x_node") < F.col("node")) & may_link("shared")).select(*ends)
+    pairs = plain.unionByName(odd).distinct()
     more = _linked(pairs, sets, percent)
     rooted = (
         more.join(roots.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import textbytes as tb
 
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 BUCKET = 4
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 20
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                 )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens bigint, token_ids binary")
+    return rows.mapInArrow(tb.task(run), f"doc_id {id_type}, n_tokens bigint, token_ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -222,4 +222,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], [*part.schema.names, "decoded"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens bigint, token_ids binary, decoded binary")
+    return rows.mapInArrow(tb.task(run), f"doc_id {id_type}, n_tokens bigint, token_ids binary, decoded binary")

@@ -172,4 +172,4 @@ def find_contamination(
                 )
 
     schema = f"doc_id {id_type}, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
-    return rows.mapInArrow(search, schema)
+    return rows.mapInArrow(tb.task(search), schema)

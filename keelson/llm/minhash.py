@@ -152,7 +152,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 )
 
     return docs.mapInArrow(
-        run, f"doc_id {id_type}, n_shingles bigint, s1 bigint, s2 bigint, b1 bigint, b2 bigint, bands array<bigint>"
+        tb.task(run), f"doc_id {id_type}, n_shingles bigint, s1 bigint, s2 bigint, b1 bigint, b2 bigint, bands array<bigint>"
     )
 
 
@@ -174,7 +174,7 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                     ["node", "items"],
                 )
 
-    return some.dropDuplicates(["doc_id"]).mapInArrow(run, f"node {id_type}, items array<bigint>")
+    return some.dropDuplicates(["doc_id"]).mapInArrow(tb.task(run), f"node {id_type}, items array<bigint>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,11 +258,15 @@ def near_duplicates(
     ends = (F.least("node", "x_node").alias("u"), F.greatest("node", "x_node").alias("v"))
     # Pairs with no rare shingle in common: only the others can be in the intersection.
     able = counted.filter(100 * F.col("common") >= percent * F.col("n_shingles"))
-    placed = open_members.select("band", "node", "main").join(able, "node")
+    # A pair that meets in several bands is listed by the first.
+    seats = open_members.groupBy("node").agg(F.collect_set("band").alias("bands"))
+    placed = open_members.select("band", "node", "main").join(able.join(seats, "node"), "node")
+    first_band = F.array_min(F.array_intersect("bands", "x_bands")) == F.col("band")
     plain = (
         other(placed.filter("root != main"))
         .join(placed, "band")
         .filter(((F.col("root") == F.col("main")) | (F.col("x_node") < F.col("node"))) & may_link("common"))
+        .filter(first_band)
         .select(*ends)
     )
     # Pairs with a rare shingle in common: at most RARE classes hold one.

@@ -108,7 +108,7 @@ def _counted(rows: DataFrame, key: str) -> DataFrame:
                     [key, "label", "terms"],
                 )
 
-    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, label double, terms binary")
+    return rows.mapInArrow(tb.task(run), f"{key} {rows.schema[key].dataType.simpleString()}, label double, terms binary")
 
 
 def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -148,7 +148,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 scores = shared.value.score(term_counts(buf, offs))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(scores)], ["doc_id", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(tb.task(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -162,4 +162,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_
                 good = shared.value.score(term_counts(buf, offs)) >= threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tb.task(run), docs.schema)

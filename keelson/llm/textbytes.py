@@ -11,13 +11,15 @@ byte position): two different words collide with a chance under 2^-56.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
 CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 2048
 
 # Word alphabets: every byte but space and \t..\r; or digits, a-z and the bytes of non-ASCII characters.
 SPACELESS = np.ones(256, bool)
@@ -74,13 +76,32 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for mapInArrow; the worker, which Spark keeps, gives freed memory back when it ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, end row, bytes, offsets)`` of consecutive rows, about ``limit`` bytes or one text each."""
+    """``(first row, end row, bytes, offsets)`` of consecutive rows.
+
+    A chunk has about ``limit`` bytes or one text, and ``CHUNK_ROWS`` rows at most.
+    """
     raw, offs = text_buffers(column)
     lo, n = 0, len(offs) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, lo + CHUNK_ROWS, n)
         yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
 

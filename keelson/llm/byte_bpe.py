@@ -223,3 +223,27 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(tb.task(run), f"doc_id {id_type}, n_tokens bigint, token_ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``doc_id, n_tokens, token_ids, decoded``."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(shared.value)
+        for batch in batches:
+            for lo, hi, _, _ in tb.chunks(batch.column(1), _CHUNK):
+                ids = [codec.encode(t or "") for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo),
+                        pa.array(map(len, ids), pa.int64()),
+                        pa.array([np.array(x, "<u4").tobytes() for x in ids], pa.binary()),
+                        pa.array([codec.decode(x) for x in ids], pa.binary()),
+                    ],
+                    ["doc_id", "n_tokens", "token_ids", "decoded"],
+                )
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(tb.task(run), f"doc_id {id_type}, n_tokens bigint, token_ids binary, decoded binary")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, decontaminate, exact_dedup, minhash, quality
+from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,26 @@ def id_remainder(modulus: int, id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = id_remainder(7) == 2
+    scored = lm_score.score(docs, docs.filter(~held_out))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = id_remainder(3) == 1
+    learned = language_id.model(language_id.learn(docs.filter(~held_out)).persist())
+    return language_id.predict(docs, learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -52,9 +72,7 @@ def vocabulary() -> byte_bpe.Vocabulary:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Encode, decode the ids, and name both results."""
-    words = vocabulary()
-    coded = byte_bpe.decode(byte_bpe.encode(docs, words), words)
-    return coded.select(
+    return byte_bpe.round_trip(docs, vocabulary()).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),
@@ -87,7 +105,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_score": op1_lm_score,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_html_text": op5_html_text,
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,

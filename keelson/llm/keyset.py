@@ -45,13 +45,18 @@ def without(rows: DataFrame, key: str, dropped: DataFrame, bits: int = BITS) ->
     Rows that cannot be dropped pass at the scan; only those the bitmap is
     unsure of are joined.
     """
-    bitmap = build(dropped, key, bits)
-    slot = _slot(F.col(key), bits)
-    hit = _bit(F.bitmap_bit_position(slot)) != 0
-    probed = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "__bucket", "left")
-    sure = probed.filter(F.col("__bitmap").isNull() | ~hit).select(*rows.columns)
+    unsure, sure = split(rows, key, dropped, bits)
     # An outer join, as Spark would push an anti join below the bitmap's and shuffle every row.
     gone = dropped.select(F.col(key).alias("__gone")).distinct()
-    maybe = maybe_in(rows, key, bitmap, bits)
-    unsure = maybe.join(gone, F.col(key) == F.col("__gone"), "left").filter(F.col("__gone").isNull()).select(*rows.columns)
-    return sure.unionByName(unsure)
+    left = unsure.join(gone, F.col(key) == F.col("__gone"), "left").filter(F.col("__gone").isNull()).select(*rows.columns)
+    return sure.unionByName(left)
+
+
+def split(rows: DataFrame, key: str, keys: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose key may be in ``keys (key)``, and those whose key is not."""
+    slot = _slot(F.col(key), bits)
+    probed = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(
+        F.broadcast(build(keys, key, bits)), "__bucket", "left"
+    )
+    hit = F.coalesce(_bit(F.bitmap_bit_position(slot)) != 0, F.lit(False))
+    return probed.filter(hit).select(*rows.columns), probed.filter(~hit).select(*rows.columns)

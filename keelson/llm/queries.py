@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality
+from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_dedup
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def id_remainder(modulus: int, id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
+def _covered(spans: str) -> Column:
+    """How much a list of (start, end) covers."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = id_remainder(7) == 2
@@ -47,6 +52,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=20)
+    return cut.select(
+        "doc_id", "n_words", _covered("removed").alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def learned_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
     """The quality model of the folds that may be learned."""
     labels = _table(spark, sf_dir, "labels").filter(id_remainder(5) != 0)
@@ -93,11 +105,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10
     )
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
         "doc_id",
         "n_words",
-        hit.alias("n_hit"),
+        _covered("spans").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
@@ -109,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html_text": op5_html_text,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,

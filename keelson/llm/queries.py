@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_dedup
+from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,17 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_automaton.remove_spans(_table(spark, sf_dir, "documents"), span=50)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        _covered("removed").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = id_remainder(3) == 1
@@ -117,6 +128,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_lm_score": op1_lm_score,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_html_text": op5_html_text,

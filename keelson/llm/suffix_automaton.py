@@ -27,6 +27,7 @@ comes after all others; rows that repeat an id are one document.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -183,54 +184,62 @@ def _packed_anchors(docs: DataFrame, bitmap: np.ndarray, parts: int, span: int)
     return docs.mapInArrow(tb.task(run), "part int, prints binary, docs binary, places binary")
 
 
-def _assigned(packed: DataFrame) -> DataFrame:
-    """``doc, places, refs``: of each document and part, its repeated anchors and their references."""
+def _flat(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+
+
+def _cuts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where the groups of equal values begin, and the end."""
+    new = np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1
+    return np.concatenate(([0], new, [len(sorted_values)])) if len(sorted_values) else np.zeros(1, np.int64)
+
+
+def _blobs(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    return pa.array([values[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
 
-    def assign(table: pa.Table) -> pa.Table:
-        def flat(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
-        f, d, p = flat("prints", np.uint64), flat("docs", np.int64), flat("places", np.int32)
+def _assigned(packed: DataFrame, parts: int) -> DataFrame:
+    """``doc, places, refs``: of each document its repeated anchors and their references."""
+
+    def assign(table: pa.Table) -> pa.Table:
+        f, d, p = _flat(table, "prints", np.uint64), _flat(table, "docs", np.int64), _flat(table, "places", np.int32)
         order = np.lexsort((d, f))
         f, d, p = f[order], d[order], p[order]
-        new = np.concatenate(([True], f[1:] != f[:-1]))
-        first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        least = d[first]
-        most = d[np.concatenate((first[1:] - 1, [len(d) - 1]))]
-        several = (least != most)[group]
+        cut = _cuts(f)
+        group = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        least = d[cut[:-1]]
+        several = (least != d[cut[1:] - 1])[group]
         d, p, ref = d[several], p[several], least[group][several]
+        home = (tb.mix(d.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        d, p, ref, cut = d[order], p[order], ref[order], _cuts(home[order])
+        names = ["home", "docs", "places", "refs"]
+        return pa.table([pa.array(home[order][cut[:-1]], pa.int32()), *(_blobs(x, cut) for x in (d, p, ref))], names)
+
+    def gather(table: pa.Table) -> pa.Table:
+        d, p, ref = _flat(table, "docs", np.int64), _flat(table, "places", np.int32), _flat(table, "refs", np.int64)
         order = np.lexsort((p, d))
         d, p, ref = d[order], p[order], ref[order]
-        cut = np.concatenate((np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))), [len(d)])) if len(d) else np.zeros(1, int)
-        return pa.table(
-            {
-                "doc": pa.array(d[cut[:-1]], pa.int64()),
-                "places": pa.array([p[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                "refs": pa.array([ref[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-            }
-        )
+        cut = _cuts(d)
+        return pa.table([pa.array(d[cut[:-1]], pa.int64()), _blobs(p, cut), _blobs(ref, cut)], ["doc", "places", "refs"])
 
-    return packed.groupBy("part").applyInArrow(assign, "doc bigint, places binary, refs binary")
+    by_home = packed.groupBy("part").applyInArrow(assign, "home int, docs binary, places binary, refs binary")
+    return by_home.groupBy("home").applyInArrow(gather, "doc bigint, places binary, refs binary")
 
 
 def _segments(docs: DataFrame, span: int) -> DataFrame:
-    """``ref, doc, start, data`` from ``doc, text, lists``: runs of windows with one reference."""
+    """``ref, doc, start, data`` from ``doc, text, places, refs``: runs of windows with one reference."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists = batch.column(0).to_numpy(), batch.column(2)
+            ids = batch.column(0).to_numpy()
+            places, refs = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for lo, hi, buf, offs in tb.chunks(batch.column(1)):
                 place, a, b, _ = window_anchors(buf, offs, span)
                 out: list[tuple[int, int, int, bytes]] = []
                 for i in range(lo, hi):
-                    marks = lists[i].as_py()
-                    if not marks:
-                        continue
-                    at = np.concatenate([np.frombuffer(m["places"], np.int32) for m in marks]).astype(np.int64) + offs[i - lo]
-                    ref = np.concatenate([np.frombuffer(m["refs"], np.int64) for m in marks])
-                    at, one = np.unique(at, return_index=True)
-                    ref, k = ref[one], np.searchsorted(place, at)
+                    at, one = np.unique(np.frombuffer(places[i], np.int32).astype(np.int64) + offs[i - lo], return_index=True)
+                    ref, k = np.frombuffer(refs[i], np.int64)[one], np.searchsorted(place, at)
                     first, last = a[k], b[k]
                     new = np.flatnonzero(np.concatenate(([True], (ref[1:] != ref[:-1]) | (first[1:] != last[:-1] + 1))))
                     ends = np.concatenate((new[1:] - 1, [len(at) - 1]))
@@ -267,6 +276,13 @@ def _streamed(segments: DataFrame, shards: int, span: int) -> DataFrame:
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("ref", "deal"), F.lit(shards)))
 
     def stream(table: pa.Table) -> pa.Table:
+        gc.disable()  # automata have many containers and no cycles
+        try:
+            return streamed(table)
+        finally:
+            gc.enable()
+
+    def streamed(table: pa.Table) -> pa.Table:
         table = table.sort_by([("ref", "ascending"), ("deal", "ascending"), ("doc", "ascending"), ("start", "ascending")])
         ref, deal, deals, doc, start = (table[c].to_numpy() for c in ("ref", "deal", "deals", "doc", "start"))
         data = table["data"]
@@ -322,8 +338,7 @@ def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text
         return window_anchors(buf, offs, span)[3]
 
     bitmap = winnow.repeated(rows.select("text"), find, 2 * parts)
-    assigned = _assigned(_packed_anchors(keyed.select("doc", "text"), bitmap, parts, span))
-    lists = stored(assigned.groupBy("doc").agg(F.collect_list(F.struct("places", "refs")).alias("lists")), "anchors")
+    lists = stored(_assigned(_packed_anchors(keyed.select("doc", "text"), bitmap, parts, span), parts), "anchors")
     listed = keyset.split(keyed, "doc", lists.select("doc"))[0].select("doc", "text").join(lists, "doc")
     segments = stored(_segments(listed, span).withColumn("deals", F.lit(_LAST)), "segments")
 

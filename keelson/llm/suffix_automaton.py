@@ -27,7 +27,6 @@ comes after all others; rows that repeat an id are one document.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,6 +95,8 @@ class SuffixAutomaton:
         """Maximal runs of window starts (first, last) whose ``span`` bytes are in the automaton."""
         nxt, link, length = self.next, self.link, self.length
         found: list[tuple[int, int]] = []
+        if len(nxt) == 1:  # nothing to match yet
+            return found
         state = matched = 0
         begin = -1  # of the run of window ends that is open
         for i, c in enumerate(text):
@@ -276,36 +277,35 @@ def _streamed(segments: DataFrame, shards: int, span: int) -> DataFrame:
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("ref", "deal"), F.lit(shards)))
 
     def stream(table: pa.Table) -> pa.Table:
-        gc.disable()  # automata have many containers and no cycles
-        try:
-            return streamed(table)
-        finally:
-            gc.enable()
-
-    def streamed(table: pa.Table) -> pa.Table:
         table = table.sort_by([("ref", "ascending"), ("deal", "ascending"), ("doc", "ascending"), ("start", "ascending")])
         ref, deal, deals, doc, start = (table[c].to_numpy() for c in ("ref", "deal", "deals", "doc", "start"))
         data = table["data"]
         spans: list[tuple[int, int, int]] = []
         fresh: list[tuple[int, int, int, bytes, int]] = []
         automaton, key, n, i = SuffixAutomaton(), None, len(ref), 0
+        seen: set[bytes] = set()
         while i < n:
             if key != (ref[i], deal[i]):
                 key = (ref[i], deal[i])
-                automaton = SuffixAutomaton()
+                automaton, seen = SuffixAutomaton(), set()
             j = i
             new: list[tuple[int, bytes]] = []
+            texts: list[bytes] = []
             # All segments of a document are streamed before any of them is added.
             while j < n and (ref[j], deal[j]) == key and doc[j] == doc[i]:
                 text, at = data[j].as_py(), 0
-                for first, last in automaton.matches(text, span):
+                # Equal segments have equal statistics: all of one that was streamed matches.
+                runs = [(0, len(text) - span)] if text in seen else automaton.matches(text, span)
+                for first, last in runs:
                     spans.append((doc[i], int(start[j]) + first, int(start[j]) + last + span))
                     if first > at:
                         new.append((int(start[j]) + at, text[at : first - 1 + span]))
                     at = last + 1
                 if at <= len(text) - span:
                     new.append((int(start[j]) + at, text[at:]))
+                texts.append(text)
                 j += 1
+            seen.update(texts)
             for at, text in new:
                 automaton.add(text)
                 if deal[i] >= 0:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import textbytes as tb
 
-SAMPLE = 6000
+SAMPLE = 4000
 TERMS = 2048
 LAGS = 8
 RANK = 64
@@ -121,19 +121,29 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str
     )
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(wanted), "key").select("key", "label", "text")
-    found = sorted((r.label, bytes(r.terms)) for r in _counted(rows, "key").select("label", "terms").toLocalIterator())
     wide = TERMS + LAGS
-    labels = np.array([y for y, _ in found])
-    counts = np.frombuffer(b"".join(t for _, t in found), np.float32).reshape(len(found), wide)
-    if not len(found):
+    labels = np.zeros(sample * 2)
+    x = np.zeros((sample * 2, wide), np.float32)  # repeated ids may give a label more than one text
+    n = 0
+    for r in _counted(rows, "key").orderBy("key", "label", "terms").select("label", "terms").toLocalIterator():
+        if n == len(x):
+            labels, x = np.concatenate((labels, np.zeros(sample))), np.concatenate((x, np.zeros((sample, wide), np.float32)))
+        labels[n], x[n] = r["label"], np.frombuffer(r["terms"], np.float32)
+        n += 1
+    labels, x = labels[:n], x[:n]
+    if not n:
         return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    weights = np.log((1 + len(found)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-    x = np.sqrt(counts) * weights
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    values, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-    top = np.argsort(values)[::-1][: min(RANK, len(found))]
-    model = Model(weights, vectors[:, top].astype(np.float32), np.zeros((0, 1), np.float32), labels, float(labels.mean()))
-    model.vectors = model.project(counts)
+    weights = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
+    gram = np.zeros((wide, wide), np.float32)
+    for lo in range(0, n, BLOCK_ROWS):
+        part = np.sqrt(x[lo : lo + BLOCK_ROWS]) * weights
+        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
+        gram += part.T @ part
+    vectors = np.linalg.eigh(gram)[1][:, ::-1][:, : min(RANK, n)]
+    model = Model(weights, np.ascontiguousarray(vectors), np.zeros((0, 1), np.float32), labels, float(labels.mean()))
+    model.vectors = np.concatenate([model.project(x[lo : lo + BLOCK_ROWS]) for lo in range(0, n, BLOCK_ROWS)])
+    del x, gram, vectors
+    tb.give_back()
     return model
 
 

@@ -164,7 +164,7 @@ def _slices(partial: DataFrame) -> DataFrame:
         )
 
     schema = "part int, words binary, counts binary, filter binary, n_words bigint, n_tokens bigint"
-    return partial.groupBy("part").applyInArrow(build, schema)
+    return partial.groupBy("part").applyInArrow(tb.group(build), schema)
 
 
 @dataclass

@@ -42,6 +42,7 @@ SPAN = 50
 GRAM = 32
 SHARD_BYTES = 8 << 20
 FLUSH = 1_000_000
+CHUNK_BYTES = 1 << 20
 _LAST = (1 << 63) - 1
 _TABLE = tb.randoms(256, 5)
 
@@ -170,7 +171,7 @@ def _packed_anchors(docs: DataFrame, bitmap: np.ndarray, parts: int, span: int)
         found, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for lo, _, buf, offs in tb.chunks(batch.column(1)):
+            for lo, _, buf, offs in tb.chunks(batch.column(1), CHUNK_BYTES):
                 place, _, _, prints = window_anchors(buf, offs, span)
                 some = np.flatnonzero(winnow.in_bitmap(shared.value, prints))
                 row = np.searchsorted(offs, place[some], "right") - 1
@@ -224,8 +225,8 @@ def _assigned(packed: DataFrame, parts: int) -> DataFrame:
         cut = _cuts(d)
         return pa.table([pa.array(d[cut[:-1]], pa.int64()), _blobs(p, cut), _blobs(ref, cut)], ["doc", "places", "refs"])
 
-    by_home = packed.groupBy("part").applyInArrow(assign, "home int, docs binary, places binary, refs binary")
-    return by_home.groupBy("home").applyInArrow(gather, "doc bigint, places binary, refs binary")
+    by_home = packed.groupBy("part").applyInArrow(tb.group(assign), "home int, docs binary, places binary, refs binary")
+    return by_home.groupBy("home").applyInArrow(tb.group(gather), "doc bigint, places binary, refs binary")
 
 
 def _segments(docs: DataFrame, span: int) -> DataFrame:
@@ -235,7 +236,7 @@ def _segments(docs: DataFrame, span: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             places, refs = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for lo, hi, buf, offs in tb.chunks(batch.column(1)):
+            for lo, hi, buf, offs in tb.chunks(batch.column(1), CHUNK_BYTES):
                 place, a, b, _ = window_anchors(buf, offs, span)
                 out: list[tuple[int, int, int, bytes]] = []
                 for i in range(lo, hi):
@@ -318,7 +319,7 @@ def _streamed(segments: DataFrame, shards: int, span: int) -> DataFrame:
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     schema = "ref bigint, doc bigint, start int, end int, data binary, deals bigint"
-    return dealt.groupBy("shard").applyInArrow(stream, schema)
+    return dealt.groupBy("shard").applyInArrow(tb.group(stream), schema)
 
 
 def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,7 +338,7 @@ def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text
     def find(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         return window_anchors(buf, offs, span)[3]
 
-    bitmap = winnow.repeated(rows.select("text"), find, 2 * parts)
+    bitmap = winnow.repeated(rows.select("text"), find, 2 * parts, CHUNK_BYTES)
     lists = stored(_assigned(_packed_anchors(keyed.select("doc", "text"), bitmap, parts, span), parts), "anchors")
     listed = keyset.split(keyed, "doc", lists.select("doc"))[0].select("doc", "text").join(lists, "doc")
     segments = stored(_segments(listed, span).withColumn("deals", F.lit(_LAST)), "segments")
@@ -360,7 +361,7 @@ def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, offs in tb.chunks(batch.column(1)):
+            for lo, hi, buf, offs in tb.chunks(batch.column(1), CHUNK_BYTES):
                 marked = batch.column(2).slice(lo, hi - lo)
                 removed, kept = [], []
                 for i in range(hi - lo):

@@ -97,6 +97,18 @@ def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return wrapped
 
 
+def group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``run`` for applyInArrow; freed memory goes back after each group."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of consecutive rows.
 

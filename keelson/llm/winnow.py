@@ -50,7 +50,7 @@ def slot(fingerprints: np.ndarray) -> np.ndarray:
     return (tb.mix(fingerprints) >> np.uint64(64 - (BITMAP_BITS.bit_length() - 1))).astype(np.int64)
 
 
-def repeated(texts: DataFrame, find: Callable[[np.ndarray, np.ndarray], np.ndarray], parts: int) -> np.ndarray:
+def repeated(texts: DataFrame, find: Callable[[np.ndarray, np.ndarray], np.ndarray], parts: int, limit: int = tb.CHUNK_BYTES) -> np.ndarray:
     """The bitmap (packed, little-endian) of the slots of anchors that occur more than once.
 
     ``texts`` has one string column; ``find(bytes, offsets)`` gives the anchors'
@@ -75,7 +75,7 @@ def repeated(texts: DataFrame, find: Callable[[np.ndarray, np.ndarray], np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
         for batch in batches:
-            for _, _, buf, offs in tb.chunks(batch.column(0)):
+            for _, _, buf, offs in tb.chunks(batch.column(0), limit):
                 found.append(find(buf, offs) & np.uint64(0xFFFFFFFFFFFFFF00))
                 size += len(found[-1])
                 if size > FLUSH:
@@ -98,7 +98,7 @@ def repeated(texts: DataFrame, find: Callable[[np.ndarray, np.ndarray], np.ndarr
         bits[slot(twice) - part * step] = 1
         return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
 
-    slices = texts.mapInArrow(tb.task(run), "part int, found binary").groupBy("part").applyInArrow(mark, "part int, bits binary")
+    slices = texts.mapInArrow(tb.task(run), "part int, found binary").groupBy("part").applyInArrow(tb.group(mark), "part int, bits binary")
     bitmap = np.zeros(parts * step // 8, np.uint8)
     for row in slices.toLocalIterator():
         bitmap[row["part"] * step // 8 : (row["part"] + 1) * step // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from keelson.llm import textbytes as tb
 
 SAMPLE = 4000
-TERMS = 2048
+TERMS = 1024
 LAGS = 8
 RANK = 64
 NEIGHBOURS = 31

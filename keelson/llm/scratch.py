@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from keelson.llm.textbytes import give_back
 from keelson.session import scratch_path
 
 
@@ -14,4 +15,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    give_back()
     return df.sparkSession.read.schema(df.schema).parquet(path)

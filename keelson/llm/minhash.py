@@ -26,7 +26,8 @@ expanded into its pairs:
    128 one-bit coordinates differ (a linked pair expects 10; chance below
    1e-12). Shingles held by at most ``RARE`` open classes make the second test
    sharp: pairs that share one are listed by it, and for all other pairs only
-   the remaining shingles count.
+   the remaining shingles count. Those are counted in ``BLOCKS`` hash blocks:
+   an intersection has at most the smaller count of each block.
 
 Defined results: words are split at ASCII white space after lower-casing A-Z;
 fewer words than a shingle are one shingle; without words a document has no
@@ -52,6 +53,7 @@ COORDINATES = 128
 BANDS = 32
 MAX_DIFFERENT = 40
 RARE = 16
+BLOCKS = 64
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -186,6 +188,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v")
 
 
+def _blocks(sets: DataFrame) -> DataFrame:
+    """``node, blocks`` from ``node, items, rare_items``: how many of a node's common shingles fall in each hash block."""
+    id_type = sets.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for items, rare in zip(batch.column(1), batch.column(2), strict=True):
+                n = np.bincount(items.values.to_numpy().view(_U) % _U(BLOCKS), minlength=BLOCKS)
+                if rare.is_valid:
+                    n -= np.bincount(rare.values.to_numpy().view(_U) % _U(BLOCKS), minlength=BLOCKS)
+                counts.append(n.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.list_(pa.int32()))], ["node", "blocks"])
+
+    return sets.select("node", "items", "rare_items").mapInArrow(tb.task(run), f"node {id_type}, blocks array<int>")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -232,9 +251,12 @@ def near_duplicates(
     holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") <= RARE)
     rare = stored(items.join(holders, "item"), "rare")
     scarce = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"), F.sum((F.col("held") == 1).cast("long")).alias("alone"))
+    listed = rare.groupBy("node").agg(F.collect_list("item").alias("rare_items"))
+    blocks = _blocks(sets.join(open_nodes.select("node"), "node").join(listed, "node", "left"))
     counted = stored(
-        open_nodes.join(scarce, "node", "left").select(
+        open_nodes.join(scarce, "node", "left").join(blocks, "node").select(
             *open_nodes.columns,
+            "blocks",
             (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared"),
             (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common"),
         ),
@@ -255,6 +277,11 @@ def near_duplicates(
             & (differ <= MAX_DIFFERENT)
         )
 
+    def enough(extra: Column) -> Column:
+        """The common shingles that fall in the same blocks, and ``extra`` others, are enough for a link."""
+        both = F.aggregate(F.zip_with("blocks", "x_blocks", lambda a, b: F.least(a, b)), F.lit(0), lambda n, k: n + k)
+        return (100 + percent) * (both + extra) >= percent * (F.col("n_shingles") + F.col("x_n_shingles"))
+
     ends = (F.least("node", "x_node").alias("u"), F.greatest("node", "x_node").alias("v"))
     # Pairs with no rare shingle in common: only the others can be in the intersection.
     able = counted.filter(100 * F.col("common") >= percent * F.col("n_shingles"))
@@ -266,13 +293,20 @@ def near_duplicates(
         other(placed.filter("root != main"))
         .join(placed, "band")
         .filter(((F.col("root") == F.col("main")) | (F.col("x_node") < F.col("node"))) & may_link("common"))
+        .filter(enough(F.lit(0)))
         .filter(first_band)
         .select(*ends)
     )
     # Pairs with a rare shingle in common: at most RARE classes hold one.
     able = counted.filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
     listed = rare.filter("held > 1").select("item", "node").join(able, "node")
-    odd = other(listed).join(listed, "item").filter((F.col("x_node") < F.col("node")) & may_link("shared")).select(*ends)
+    odd = (
+        other(listed)
+        .join(listed, "item")
+        .filter((F.col("x_node") < F.col("node")) & may_link("shared"))
+        .filter(enough(F.least(F.col("shared") - F.col("common"), F.col("x_shared") - F.col("x_common"))))
+        .select(*ends)
+    )
     pairs = plain.unionByName(odd).distinct()
     more = _linked(pairs, sets, percent)
     rooted = (

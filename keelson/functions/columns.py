@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # A 32-bit md5 prefix divided by 2^32 gives a uniform draw in [0, 1).
 HASH_PREFIX_HEX_DIGITS = 8
 HASH_SCALE = 4294967296.0
+# A null key is hashed as this text, so that it too has one side and one fold.
+NULL_KEY = "<null>"
 
 
 def as_col(c: Column | str) -> Column:
@@ -32,7 +34,7 @@ def hash_unit(key: Column | str, seed: int | str, method: str = "md5") -> Column
     ``xxhash64(seed, key)``.
     """
     if method == "md5":
-        digest = F.md5(F.concat(F.lit(f"{seed}:"), as_col(key).cast("string")))
+        digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(as_col(key).cast("string"), F.lit(NULL_KEY))))
         prefix = F.substring(digest, 1, HASH_PREFIX_HEX_DIGITS)
         return F.conv(prefix, 16, 10).cast("double") / F.lit(HASH_SCALE)
     if method == "xxhash64":

@@ -16,9 +16,15 @@ from pyspark.sql import functions as F
 from keelson.operators.quantiles import exact_quantiles
 
 
+def number(col: str | Column) -> Column:
+    """A column as double, with NaN as missing."""
+    x = (F.col(col) if isinstance(col, str) else col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def agg_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: the mean of each column (null when a column has no values)."""
-    return df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    """One row: the mean of each column (null when a column has no values; NaN is missing)."""
+    return df.agg(*[F.avg(number(c)).alias(c) for c in cols])
 
 
 def mean_values(df: DataFrame, cols: Sequence[str], default: float = 0.0) -> dict[str, float]:
@@ -81,13 +87,19 @@ def mode_values(df: DataFrame, cols: Sequence[str], default: str | None = None)
     (count, -rank) key. The per-pair counts are bounded by the categories."""
     if not cols:
         return {}
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "feature", "v")
-    counts = long.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-    # Largest count wins; among equal counts the smallest value: order by (n desc, v asc).
-    best = (counts.groupBy("feature")
-            .agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("v"))
-            .collect())
-    found = {r["feature"]: r["v"] for r in best}
+    kinds: dict[str, list[str]] = {}
+    types = dict(df.dtypes)
+    for c in cols:
+        kinds.setdefault(types[c], []).append(c)
+    found = {}
+    for own in kinds.values():  # columns of one type share an unpivot, so values keep their type and order
+        long = df.select(*own).unpivot([], own, "feature", "v")
+        counts = long.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+        # Largest count wins; among equal counts the smallest value: order by (n desc, v asc).
+        best = (counts.groupBy("feature")
+                .agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("v"))
+                .collect())
+        found.update({r["feature"]: r["v"] for r in best})
     return {c: found.get(c, default) for c in cols}
 
 

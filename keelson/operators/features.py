@@ -31,7 +31,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.aggregate import long_form, mean_values, median_values, mode_values
+from keelson.operators.aggregate import long_form, mean_values, median_values, mode_values, number
 from keelson.operators.quantiles import quantile_summary, sketch_columns
 
 STRATEGIES = ("mean", "median", "mode")
@@ -100,7 +100,7 @@ class FillMissingModel(Model, _FillParams, DefaultParamsReadable, DefaultParamsW
         numeric = self.getStrategy() in ("mean", "median")
         out = {}
         for c, v in self.values().items():
-            col = F.col(c).cast("double") if numeric else F.col(c)
+            col = number(c) if numeric else F.col(c)
             out[c] = col if v is None else F.coalesce(col, F.lit(v))
         return dataset.withColumns(out)
 
@@ -132,13 +132,17 @@ def cap_categories(df: DataFrame, col: str, max_categories: int, other: str = OT
 
 
 def one_hot_encoder(index_cols: Sequence[str], suffix: str = "_vec") -> OneHotEncoder:
-    """One slot per category plus one for unseen/null (``keep``), none dropped."""
+    """One slot per index value, none dropped. The indexer's ``keep`` gives
+    unseen and null values an index, and so one slot, of their own."""
     return OneHotEncoder(inputCols=list(index_cols), outputCols=[f"{c}{suffix}" for c in index_cols],
-                         dropLast=False, handleInvalid="keep")
+                         dropLast=False, handleInvalid="error")
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], max_categories: int | None = 20) -> DataFrame:
-    """Index then one-hot encode ``cols`` (vector column ``<col>_index_vec``)."""
+def one_hot(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> DataFrame:
+    """Index then one-hot encode ``cols`` (vector column ``<col>_index_vec``).
+
+    All categories have a slot unless the caller asks for the ``max_categories``
+    most frequent ones."""
     for c in cols:
         if max_categories is not None:
             df = cap_categories(df, c, max_categories)
@@ -171,17 +175,13 @@ class _PrepParams(Params):
     categoricalFallback = Param(Params._dummy(), "categoricalFallback",
                                 "fill for an all-null categorical column (JSON)", typeConverter=TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", typeConverter=TypeConverters.toString)
-    maxCategories = Param(Params._dummy(), "maxCategories",
-                          "keep the k most frequent values per categorical column (0 = all)",
-                          typeConverter=TypeConverters.toInt)
-    oneHotMaxCategories = Param(Params._dummy(), "oneHotMaxCategories",
-                                "one-hot encode categorical columns with at most k values (0 = never)",
-                                typeConverter=TypeConverters.toInt)
+    oneHotCols = Param(Params._dummy(), "oneHotCols", "categorical columns to one-hot encode",
+                       typeConverter=TypeConverters.toListString)
 
     def __init__(self, *args):
         super().__init__(*args)
         self._setDefault(numericStrategy="mean", categoricalFallback="null", outputCol="features",
-                         maxCategories=0, oneHotMaxCategories=0)
+                         oneHotCols=[])
 
 
 class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -200,13 +200,14 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
     @keyword_only
     def __init__(self, *, numericCols=None, categoricalCols=None, featureCols=None,
                  numericStrategy="mean", categoricalFallback=None, outputCol="features",
-                 maxCategories=0, oneHotMaxCategories=0):
+                 oneHotCols=()):
         super().__init__()
         kwargs = dict(self._input_kwargs)
         if kwargs.get("categoricalFallback") is None:
             kwargs.pop("categoricalFallback", None)
         else:
             kwargs["categoricalFallback"] = json.dumps(kwargs["categoricalFallback"])
+        kwargs["oneHotCols"] = list(kwargs.get("oneHotCols") or ())
         self._set(**kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -216,8 +217,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         fallback = json.loads(self.getOrDefault(self.categoricalFallback))
         if strategy not in ("mean", "median"):
             raise ValueError(f"unknown numeric strategy {strategy!r}")
-        stats = _table_stats(dataset, numeric, categorical, self.getOrDefault(self.maxCategories),
-                             with_sketch=strategy == "median")
+        stats = _table_stats(dataset, numeric, categorical, with_sketch=strategy == "median")
         if strategy == "mean":
             fills = {c: (stats["sum"][c] / stats["count"][c] if stats["count"].get(c) else 0.0) for c in numeric}
         else:
@@ -243,8 +243,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         indexers = [StringIndexerModel.from_labels(lab, inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
                     for c, lab in zip(categorical, labels)]
         stages += indexers
-        k = self.getOrDefault(self.oneHotMaxCategories)
-        small = [f"{c}_index" for c, lab in zip(categorical, labels) if k and len(lab) <= k]
+        small = [f"{c}_index" for c in self.getOrDefault(self.oneHotCols)]
         if small:
             # Sizes come from the indexers' column metadata: fitting on an
             # empty frame reads no data.
@@ -256,14 +255,12 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
 
 
 def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 max_categories: int = 0, with_sketch: bool = False) -> dict:
-    """One scan: per numeric column (count, sum); per categorical column the
-    count of every value. Without a cap the result holds numeric columns +
-    categories (what a fitted ``StringIndexer`` keeps on the driver anyway).
-    With ``max_categories = k`` the grouped counts stay distributed and only
-    the null counts and each column's k most frequent values are collected
-    (a top-k per column), so the driver never holds more than k per column."""
-    cols = {c: F.struct(F.lit(None).cast("string").alias("v"), F.col(c).cast("double").alias("x"))
+                 with_sketch: bool = False) -> dict:
+    """One scan: per numeric column (count, sum; NaN is missing); per
+    categorical column the count of every value. The result holds numeric
+    columns + categories, what a fitted ``StringIndexer`` keeps on the driver
+    anyway."""
+    cols = {c: F.struct(F.lit(None).cast("string").alias("v"), number(c).alias("x"))
             for c in numeric}
     cols.update({c: F.struct(F.col(c).cast("string").alias("v"), F.lit(None).cast("double").alias("x"))
                  for c in categorical})
@@ -278,17 +275,7 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
                .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n_rows"),
                     *extra))
     num = set(numeric)
-    if max_categories and categorical:
-        grouped = grouped.persist()
-        try:
-            rows = grouped.where(F.col("feature").isin(list(num)) | F.col("v").isNull()).collect()
-            for c in categorical:
-                rows += (grouped.where((F.col("feature") == c) & F.col("v").isNotNull())
-                         .orderBy(F.desc("n_rows"), F.asc("v")).limit(max_categories).collect())
-        finally:
-            grouped.unpersist()
-    else:
-        rows = grouped.collect()
+    rows = grouped.collect()
     for r in rows:
         if r["feature"] in num:
             out["count"][r["feature"]] = r["nx"]
@@ -302,19 +289,19 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
 
 def prep_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
                 numeric_strategy: str = "mean", categorical_fallback: str | None = None,
-                output: str = "features", max_categories: int = 0, one_hot_max: int = 0) -> list:
+                output: str = "features", one_hot_cols: Sequence[str] = ()) -> list:
     """The single-pass preprocessing estimator as a pipeline stage list."""
     return [TablePrep(numericCols=list(numeric), categoricalCols=list(categorical), featureCols=list(features),
                       numericStrategy=numeric_strategy, categoricalFallback=categorical_fallback,
-                      outputCol=output, maxCategories=max_categories, oneHotMaxCategories=one_hot_max)]
+                      outputCol=output, oneHotCols=list(one_hot_cols))]
 
 
 def separate_stages(numeric: Sequence[str], categorical: Sequence[str], features: Sequence[str],
-                    numeric_strategy: str = "mean", one_hot_max: int | None = None,
+                    numeric_strategy: str = "mean", one_hot_cols: Sequence[str] = (),
                     categorical_fallback: str | None = None, output: str = "features") -> list:
     """The same preprocessing as separate standard stages (one scan per
-    fitted stage); ``one_hot_max`` switches the categorical slots from index
-    values to one-hot vectors (for linear models)."""
+    fitted stage); ``one_hot_cols`` names the categorical columns whose slots
+    are one-hot vectors (for linear models) instead of index values."""
     fb = None if categorical_fallback is None else json.dumps(categorical_fallback)
     stages = [
         FillMissing(inputCols=list(numeric), strategy=numeric_strategy),
@@ -322,8 +309,8 @@ def separate_stages(numeric: Sequence[str], categorical: Sequence[str], features
         string_indexer(categorical),
     ]
     feats = list(features)
-    if one_hot_max is not None:
-        idx = [f"{c}_index" for c in categorical]
+    if one_hot_cols:
+        idx = [f"{c}_index" for c in one_hot_cols]
         stages.append(one_hot_encoder(idx))
         feats = [f"{f}_vec" if f in idx else f for f in feats]
     stages.append(assembler(feats, output))

@@ -44,9 +44,15 @@ def run_id(experiment, name) -> F.Column:
 
 def run_log(runs: DataFrame, path: str) -> DataFrame:
     """Append run rows (``RUN_SCHEMA``) to the Parquet runs table at ``path``
-    and return the table as now stored."""
-    runs.select(*[F.col(f.name).cast(f.dataType) for f in RUN_SCHEMA.fields]).write.mode("append").parquet(path)
-    return runs.sparkSession.read.parquet(path)
+    and return the table as now stored. A run id that is stored already is
+    not written again, so a retried driver leaves one row for each run."""
+    spark = runs.sparkSession
+    new = runs.select(*[F.col(f.name).cast(f.dataType) for f in RUN_SCHEMA.fields]).dropDuplicates(["run_id"])
+    # An empty append makes the table when there is none yet.
+    spark.createDataFrame([], RUN_SCHEMA).write.mode("append").parquet(path)
+    stored = spark.read.schema(RUN_SCHEMA).parquet(path)
+    new.join(stored.select("run_id"), "run_id", "left_anti").select(*RUN_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+    return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 
 def runs_from_trials(trials: DataFrame, experiment: str, parent: str = "search",
@@ -68,9 +74,9 @@ def runs_from_trials(trials: DataFrame, experiment: str, parent: str = "search",
 
 def best_run(runs: DataFrame, experiment: str, metric: str) -> DataFrame:
     """Top run of one experiment by ``metric`` (desc), newest first on ties,
-    then smallest run id. Runs without the metric never win."""
+    then smallest run id. Runs whose metric is missing or NaN never win."""
     m = F.col("metrics")[metric]
-    return (runs.where((F.col("experiment") == experiment) & m.isNotNull())
+    return (runs.where((F.col("experiment") == experiment) & m.isNotNull() & ~F.isnan(m))
             .orderBy(m.desc(), F.desc("seq"), F.asc("run_id")).limit(1))
 
 
@@ -88,7 +94,7 @@ def best_runs_per_experiment(runs: DataFrame, metric: str) -> DataFrame:
     map-side partial step, no window holding an experiment's runs."""
     m = F.col("metrics")[metric]
     key = F.struct((-m).alias("m"), (-F.col("seq")).alias("s"), F.col("run_id").alias("r"))
-    return (runs.where(m.isNotNull()).groupBy("experiment")
+    return (runs.where(m.isNotNull() & ~F.isnan(m)).groupBy("experiment")
             .agg(F.min_by(F.struct("run_id", "name", m.alias(metric)), key).alias("best"))
             .select("experiment", "best.*"))
 

@@ -29,8 +29,10 @@ def split_hash(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
 
 
 def filter_split(df: DataFrame, draw_col: str, threshold: float, side: str) -> DataFrame:
-    """Keep one side of a split on a draw column and drop the helper column."""
-    cond = F.col(draw_col) < F.lit(float(threshold)) if side == "test" else F.col(draw_col) >= F.lit(float(threshold))
+    """Keep one side of a split on a draw column and drop the helper column.
+    A row without a draw belongs to the training side."""
+    test = F.coalesce(F.col(draw_col) < F.lit(float(threshold)), F.lit(False))
+    cond = test if side == "test" else ~test
     return df.where(cond).drop(draw_col)
 
 

@@ -76,7 +76,15 @@ def train_logreg(train: DataFrame, label_col: str = "label", **params):
     return classifier("logreg", label_col, **params).fit(train)
 
 
+def bins_for(prepared: DataFrame, features_col: str = "features", least: int = 32) -> int:
+    """``maxBins`` of a forest: as many as the largest categorical feature has values (from its metadata)."""
+    attrs = prepared.schema[features_col].metadata.get("ml_attr", {}).get("attrs", {})
+    sizes = [len(a.get("vals", ())) or a.get("num_vals", 0) for a in attrs.get("nominal", ())]
+    return max([least, *sizes])
+
+
 def train_random_forest(train: DataFrame, label_col: str = "label", seed: int = SEED, **params):
+    params.setdefault("maxBins", bins_for(train))
     return classifier("random_forest", label_col, seed=seed, **params).fit(train)
 
 
@@ -93,6 +101,8 @@ def cross_validate(prepared: DataFrame, algorithm: str, grid: Mapping[str, objec
                    folds: int = FOLDS, fold_col: str | None = "fold", seed: int = SEED,
                    parallelism: int = 4, label_col: str = "label") -> CrossValidatorModel:
     est = classifier(algorithm, label_col, seed=seed)
+    if algorithm == "random_forest":
+        est = est.setMaxBins(bins_for(prepared))
     maps = param_grid(est, grid)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=f1_evaluator(label_col),
                         numFolds=folds, seed=seed, parallelism=max(1, min(parallelism, len(maps))))

@@ -359,7 +359,7 @@ def q_string_index(spark, sf):
 
 @query("one_hot")
 def q_one_hot(spark, sf):
-    out = features.one_hot(model_rows(spark, sf), CATEGORICAL, max_categories=20)
+    out = features.one_hot(model_rows(spark, sf), CATEGORICAL)
     cols = []
     for c in CATEGORICAL:
         size = out.schema[f"{c}_index_vec"].metadata["ml_attr"]["num_attrs"]

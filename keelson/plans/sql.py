@@ -15,7 +15,7 @@ from keelson.plans.fixtures import FEATURES, FOLD_SEED, SPLIT_SEED
 
 
 def hash_unit(key: str, seed) -> str:
-    return (f"(CAST(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)::DOUBLE"
+    return (f"(CAST(('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '<null>')), 1, 8)) AS BIGINT)::DOUBLE"
             f" / 4294967296.0::DOUBLE)")
 
 
@@ -295,7 +295,7 @@ def _impute_numeric(stat: str) -> str:
 
 
 def _one_hot_sql() -> str:
-    # StringIndexer(keep) → n labels + 1 slot; OneHotEncoder(keep, dropLast=False) adds 1 more.
+    # One slot for each label and one for null and unseen values.
     ctes = [MODEL_ROWS, _index_cte("flag_idx", "flag", "model_rows"), _index_cte("status_idx", "status", "model_rows"),
             f"""idx AS (
   SELECT m.id, {_indexed('flag', 'flag_idx')} AS fi, {_indexed('status', 'status_idx')} AS si
@@ -303,7 +303,7 @@ def _one_hot_sql() -> str:
 )"""]
     cols = []
     for col, short, n in (("flag", "fi", 2), ("status", "si", 3)):
-        for i in range(n + 2):
+        for i in range(n + 1):
             cols.append(f"CASE WHEN {short} = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {col}_{i}")
     return _w(",\n".join(ctes), f"SELECT id, {', '.join(cols)} FROM idx")
 

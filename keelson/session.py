@@ -62,10 +62,11 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem every
-    executor can reach), read from the session. Only when the session has
-    none — local tests — a fresh directory under the system temp folder is
-    created and registered as the checkpoint dir, so ``DataFrame.checkpoint()``
-    works as well.
+    executor can reach), read from the session. Only in local mode, and when
+    the session has none — tests — a fresh directory under the system temp
+    folder is created and registered as the checkpoint dir, so
+    ``DataFrame.checkpoint()`` works as well. Elsewhere a missing setting is
+    an error: executors would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -76,6 +77,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = jsc.getCheckpointDir()
         configured = current.get() if current.isDefined() else None
     if not configured:
+        if jsc is None or not jsc.isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="keelson-ckpt-")
     if jsc is not None and jsc.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(configured)

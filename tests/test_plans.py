@@ -6,7 +6,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_mod
 from keelson.plans import catalog
 from tests.conftest import SMALL
 
@@ -24,9 +23,9 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_mod.queries()) - FITTING))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - FITTING))
 def test_no_cross_products_or_python_evaluation(spark, name):
-    plan = plan_of(entry_mod.queries()[name](spark, SMALL))
+    plan = plan_of(catalog.QUERIES[name](spark, SMALL))
     assert not [b for b in BANNED if b in plan], plan
 
 
@@ -65,9 +64,9 @@ def test_scan_prunes_columns(spark):
 SCANS_TWICE = {"split_random", "bin_shares"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_mod.queries()) - FITTING))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - FITTING))
 def test_each_input_table_scanned_once(spark, name):
-    plan = plan_of(entry_mod.queries()[name](spark, SMALL))
+    plan = plan_of(catalog.QUERIES[name](spark, SMALL))
     inputs = [loc for loc in re.findall(r"Location: \w+ \[([^\]]+)\]", plan) if "/testdata/" in loc]
     most = max((inputs.count(loc) for loc in set(inputs)), default=0)
     assert most <= (2 if name in SCANS_TWICE else 1), inputs

@@ -36,6 +36,8 @@ from keelson.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles, quant
 
 # PSI share floor, default bin count and drift threshold.
 SHARE_FLOOR = 1e-6
+#: Bin of a value whose feature has no edges (an empty or missing baseline).
+NO_BIN = -1
 DEFAULT_BINS = 10
 DEFAULT_THRESHOLD = 0.2
 
@@ -85,14 +87,14 @@ def _bin_column(edges: dict[str, list[float]]) -> F.Column:
     for f, e in edges.items():
         b = bin_of(x, e)
         expr = F.when(feature == F.lit(f), b) if expr is None else expr.when(feature == F.lit(f), b)
-    if expr is None:
-        return F.lit(None).cast("int")
-    return F.when(_valid(x), expr)
+    unknown = F.lit(NO_BIN)
+    return F.when(_valid(x), unknown if expr is None else expr.otherwise(unknown))
 
 
 def bucketize(long_df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """Attach the bin of every value (null for null/NaN or a feature without
-    bins). The edges are literals in the plan, so binning is codegen'd."""
+    """Attach the bin of every value (null for null/NaN, ``NO_BIN`` for a value
+    of a feature without edges). The edges are literals in the plan, so
+    binning is codegen'd."""
     return long_df.select("feature", "x", _bin_column(edges).alias("bin"))
 
 
@@ -143,7 +145,9 @@ def _baseline_bins(summary, edges: dict[str, list[float]]) -> list[tuple[str, in
 
 def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS,
              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """``(feature, psi, null_share_baseline, null_share_current)`` per feature.
+    """``(feature, psi, one_sided, null_share_baseline, null_share_current)``
+    per feature; ``one_sided`` means that only one side has any value, where
+    PSI has no bins to compare.
 
     The baseline is scanned twice (sketch, exact brackets): its bin counts
     and totals come out of the quantile summary as a handful of rows. The
@@ -181,7 +185,8 @@ def psi_long(base_long: DataFrame, cur_long: DataFrame, bins: int = DEFAULT_BINS
     rep = tot.groupBy("feature").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi"),
                                      *[F.max(c).alias(c) for c in ("e_tot", "e_all", "a_tot", "a_all")])
     null_share = lambda tot_, all_: F.when(all_ > 0, (all_ - F.coalesce(tot_, F.lit(0))).cast("double") / all_)
-    return rep.select("feature", "psi",
+    has = lambda tot_: F.coalesce(tot_, F.lit(0)) > 0
+    return rep.select("feature", "psi", (has(F.col("e_tot")) != has(F.col("a_tot"))).alias("one_sided"),
                       null_share(F.col("e_tot"), F.col("e_all")).alias("null_share_baseline"),
                       null_share(F.col("a_tot"), F.col("a_all")).alias("null_share_current"))
 
@@ -190,13 +195,14 @@ def drift_report_long(base_long: DataFrame, cur_long: DataFrame, threshold: floa
                       bins: int = DEFAULT_BINS, method: str = "psi",
                       accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row per feature: ``feature, method, psi, threshold, drift`` (strict
-    ``psi > threshold``) and the null shares of both sides."""
+    ``psi > threshold``, or values on one side only) and the null shares of
+    both sides."""
     if method != "psi":
         raise ValueError(f"unknown drift method {method!r}")
     rep = psi_long(base_long, cur_long, bins, accuracy)
     return rep.select("feature", F.lit(method).alias("method"), "psi",
                       F.lit(float(threshold)).alias("threshold"),
-                      (F.col("psi") > F.lit(float(threshold))).alias("drift"),
+                      ((F.col("psi") > F.lit(float(threshold))) | F.col("one_sided")).alias("drift"),
                       "null_share_baseline", "null_share_current")
 
 

@@ -51,11 +51,10 @@ SAMPLE_SEED = 1
 MOD_K = 3
 MODEL_NAME = "classifier"
 EXPERIMENT = "scorer-search"
-# Rounded coefficients of a logistic regression fitted on the sf0.01 training split.
-LINEAR_INTERCEPT = 0.06
+# Coefficients in proportion to the label's formula.
+LINEAR_INTERCEPT = 0.9
 LINEAR_COEFFICIENTS = {
-    "tier": -1.18, "age_like": 0.0007, "sib": 0.005, "par": -0.076,
-    "fare_like": 0.008, "flag_index": 3.99, "status_index": 0.014,
+    "price": 0.018, "month": -0.9, "age_days": 0.0001, "priority_index": 0.05, "status_index": 0.01,
 }
 SMALL_LR_GRID = {"maxIter": [50], "regParam": [0.0, 0.01], "elasticNetParam": [0.0]}
 SMALL_RF_GRID = {"numTrees": [10], "maxDepth": [5]}
@@ -91,7 +90,7 @@ def fitted_prep(spark: SparkSession, sf: str, numeric_strategy: str = "mean"):
 
 def feature_table(spark: SparkSession, sf: str, carry: tuple[str, ...] = (),
                   only_split: str | None = None, numeric_strategy: str = "mean") -> DataFrame:
-    """``id, split, <7 feature slots>, label`` — preprocessing fitted on train,
+    """``id, split, <feature slots>, label`` — preprocessing fitted on train,
     applied to every row (or only to the rows of ``only_split``). ``carry``
     keeps raw columns (as ``raw_<name>``).
 
@@ -124,12 +123,12 @@ def scorer_grid(spark: SparkSession, sf: str) -> DataFrame:
     """``(scorer, seq, id, label, prediction)`` for a list of deterministic
     scorers over the test rows: one scan, each row exploded into one entry per
     scorer and folded straight into the per-scorer confusion counts."""
-    t = test_scored(spark, sf, carry=("flag",)).withColumnRenamed("raw_flag", "flag")
+    t = test_scored(spark, sf, carry=("priority",)).withColumnRenamed("raw_priority", "priority")
     entries = [("linear", F.col("prediction"))]
     entries += [(f"mod_{k}", (F.pmod("id", F.lit(k)) == 0).cast("double")) for k in RUN_MODS]
     entries += [("constant_0", F.lit(0.0)), ("constant_1", F.lit(1.0)),
                 ("alternating", F.pmod("id", F.lit(2)).cast("double")),
-                ("flag_rule", (F.col("flag") == "even").cast("double"))]
+                ("urgent_rule", (F.col("priority") == "1-URGENT").cast("double"))]
     arr = F.array(*[F.struct(F.lit(n).alias("scorer"), F.lit(i).cast("long").alias("seq"),
                              p.cast("double").alias("prediction")) for i, (n, p) in enumerate(entries)])
     return t.select("id", "label", F.explode(arr).alias("s")).select(
@@ -230,7 +229,7 @@ def q_rename_label(spark, sf):
 
 @query("project")
 def q_project(spark, sf):
-    return clean.project(model_rows(spark, sf), ["id", "tier", "flag", "label"])
+    return clean.project(model_rows(spark, sf), ["id", "month", "priority", "label"])
 
 
 @query("filter_split")
@@ -241,7 +240,7 @@ def q_filter_split(spark, sf):
 
 @query("drop_columns")
 def q_drop_columns(spark, sf):
-    return clean.drop_columns(model_rows(spark, sf), ["age_like", "fare_like", "not_a_column"])
+    return clean.drop_columns(model_rows(spark, sf), ["age_days", "price", "not_a_column"])
 
 
 @query("contract_check")
@@ -257,8 +256,7 @@ def q_contract_check(spark, sf):
 
 @query("agg_mean")
 def q_agg_mean(spark, sf):
-    cols = ["tier", "age_like", "sib", "par", "fare_like"]
-    return _rounded(agg.agg_mean(model_rows(spark, sf), cols), cols)
+    return _rounded(agg.agg_mean(model_rows(spark, sf), NUMERIC), NUMERIC)
 
 
 @query("agg_mode")
@@ -268,7 +266,7 @@ def q_agg_mode(spark, sf):
 
 @query("agg_median")
 def q_agg_median(spark, sf):
-    cols = ["age_like", "fare_like"]
+    cols = ["price", "age_days"]
     return _rounded(agg.agg_median(model_rows(spark, sf), cols), cols)
 
 
@@ -296,7 +294,7 @@ def q_category_frequency(spark, sf):
 
 @query("top_1")
 def q_top_1(spark, sf):
-    return agg.top_1(model_rows(spark, sf), [F.col("fare_like").desc_nulls_last(), F.col("id").asc()])
+    return agg.top_1(model_rows(spark, sf), [F.col("price").desc_nulls_last(), F.col("id").asc()])
 
 
 @query("limit_sample")
@@ -555,7 +553,7 @@ def q_prediction_summary(spark, sf):
 def q_vector_slot(spark, sf):
     prep = fitted_prep(spark, sf)
     out = prep.transform(model_rows(spark, sf))
-    i = FEATURES.index("fare_like")
+    i = FEATURES.index("price")
     return out.select("id", r6(vector_to_array(F.col("features"))[i]).alias("x"))
 
 

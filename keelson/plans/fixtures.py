@@ -1,11 +1,9 @@
 """Modelling tables derived from the input tables.
 
-``model_rows`` turns ``orders`` into a flat, labelled table with the shape of
-a classic binary-classification input: an ordinal class, a two-valued
-category, nullable numerics, small counts and a nullable three-valued
-category. Nulls and the label are made by formula from the key, so Spark and
-the SQL oracle produce identical rows. The SQL twins live in
-``keelson.plans.sql``.
+``model_rows`` is ``orders`` with the columns a model of an order would use:
+its price, month and age, its priority and its status. Nulls and the label
+are made by formula from the key, so Spark and the SQL oracle produce
+identical rows. The SQL twins live in ``keelson.plans.sql``.
 """
 
 from __future__ import annotations
@@ -21,51 +19,47 @@ from keelson.sources import read_table
 LABEL_SEED = 7
 SPLIT_SEED = 42
 FOLD_SEED = 43
-AGE_NULL_EVERY = 5
-FARE_NULL_EVERY = 401
-STATUS_NULL_EVERY = 97
+PRICE_NULL_EVERY = 311
+AGE_NULL_EVERY = 7
+STATUS_NULL_EVERY = 89
+AGE_AS_OF = "2002-01-01"
 
 ID = "id"
-NUMERIC = ["tier", "age_like", "sib", "par", "fare_like"]
-CATEGORICAL = ["flag", "status"]
+NUMERIC = ["price", "month", "age_days"]
+CATEGORICAL = ["priority", "status"]
 INDEXED = [f"{c}_index" for c in CATEGORICAL]
 # Slot order of the feature vector is part of the contract.
 FEATURES = NUMERIC + INDEXED
 
 RAW_CONTRACT = T.StructType([
     T.StructField("id", T.LongType(), False),
-    T.StructField("tier", T.IntegerType(), False),
-    T.StructField("flag", T.StringType(), False),
-    T.StructField("age_like", T.DoubleType(), True),
-    T.StructField("sib", T.IntegerType(), False),
-    T.StructField("par", T.IntegerType(), False),
-    T.StructField("fare_like", T.DoubleType(), True),
+    T.StructField("price", T.DoubleType(), True),
+    T.StructField("month", T.IntegerType(), False),
+    T.StructField("age_days", T.DoubleType(), True),
+    T.StructField("priority", T.StringType(), False),
     T.StructField("status", T.StringType(), True),
 ])
 
 
 def model_rows(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    tier = F.substring("o_orderpriority", 1, 1).cast("int")
-    flag = F.when(F.pmod(cust, F.lit(2)) == 0, F.lit("even")).otherwise(F.lit("odd"))
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    price, month = F.col("o_totalprice") / F.lit(1000.0), F.month(date)
+    age = F.datediff(F.lit(AGE_AS_OF).cast("date"), date)
+    present = lambda every: F.pmod(key, F.lit(every)) != 0
     cols = [
         key.alias("id"),
-        tier.alias("tier"),
-        flag.alias("flag"),
-        F.when(F.pmod(key, F.lit(AGE_NULL_EVERY)) != 0,
-               F.pmod(cust, F.lit(80)).cast("double")).alias("age_like"),
-        F.pmod(key, F.lit(6)).cast("int").alias("sib"),
-        F.pmod(cust, F.lit(4)).cast("int").alias("par"),
-        F.when(F.pmod(key, F.lit(FARE_NULL_EVERY)) != 0,
-               F.col("o_totalprice") / F.lit(1000.0)).alias("fare_like"),
-        F.when(F.pmod(key, F.lit(STATUS_NULL_EVERY)) != 0, F.col("o_orderstatus")).alias("status"),
+        F.when(present(PRICE_NULL_EVERY), price).alias("price"),
+        month.alias("month"),
+        F.when(present(AGE_NULL_EVERY), age.cast("double")).alias("age_days"),
+        F.col("o_orderpriority").alias("priority"),
+        F.when(present(STATUS_NULL_EVERY), F.col("o_orderstatus")).alias("status"),
     ]
     if with_label:
         u = hash_unit(key, LABEL_SEED)
-        score = (F.lit(2.0) * (flag == "even").cast("double")
-                 - F.lit(0.6) * tier.cast("double")
-                 + F.lit(0.004) * (F.col("o_totalprice") / F.lit(1000.0))
+        score = (F.lit(1.8) * (F.col("o_orderpriority") == "1-URGENT").cast("double")
+                 + F.lit(0.006) * price
+                 - F.lit(0.3) * month.cast("double")
                  + F.lit(2.0) * (u - F.lit(0.5)))
         cols.append((score > 0).cast("double").alias("label"))
     return o.select(*cols)
@@ -87,12 +81,12 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``model_rows`` as incoming request records (every field as text, no
     label) with defects made by formula: every 11th id sends a non-numeric
-    ``tier``, every 19th omits the required ``flag``."""
+    ``month``, every 19th omits the required ``priority``."""
     raw = model_rows(spark, sf_dir, with_label=False)
     k = F.col("id")
     texts = {c: F.col(c).cast("string") for c in raw.columns}
-    texts["tier"] = F.when(F.pmod(k, F.lit(11)) == 0, F.lit("first")).otherwise(texts["tier"])
-    texts["flag"] = F.when(F.pmod(k, F.lit(19)) != 0, texts["flag"])
+    texts["month"] = F.when(F.pmod(k, F.lit(11)) == 0, F.lit("May")).otherwise(texts["month"])
+    texts["priority"] = F.when(F.pmod(k, F.lit(19)) != 0, texts["priority"])
     return raw.select(*[e.alias(c) for c, e in texts.items()])
 
 

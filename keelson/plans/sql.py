@@ -9,7 +9,6 @@ literal in arithmetic is written ``…::DOUBLE``.
 
 from __future__ import annotations
 
-from keelson.operators.drift import quantile_grid
 from keelson.plans import catalog as cat
 from keelson.plans.fixtures import FEATURES, FOLD_SEED, SPLIT_SEED
 
@@ -21,22 +20,21 @@ def hash_unit(key: str, seed) -> str:
 
 MODEL_ROWS = f"""model_rows AS (
   SELECT o_orderkey AS id,
-         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS tier,
-         CASE WHEN o_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS flag,
-         CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 80 AS DOUBLE) END AS age_like,
-         CAST(o_orderkey % 6 AS INTEGER) AS sib,
-         CAST(o_custkey % 4 AS INTEGER) AS par,
-         CASE WHEN o_orderkey % 401 <> 0 THEN o_totalprice / 1000.0::DOUBLE END AS fare_like,
-         CASE WHEN o_orderkey % 97 <> 0 THEN o_orderstatus END AS status,
-         CASE WHEN 2.0::DOUBLE * (CASE WHEN o_custkey % 2 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
-                   - 0.6::DOUBLE * CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS DOUBLE)
-                   + 0.004::DOUBLE * (o_totalprice / 1000.0::DOUBLE)
+         CASE WHEN o_orderkey % 311 <> 0 THEN o_totalprice / 1000.0::DOUBLE END AS price,
+         CAST(month(o_orderdate) AS INTEGER) AS month,
+         CASE WHEN o_orderkey % 7 <> 0
+              THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS DOUBLE) END AS age_days,
+         o_orderpriority AS priority,
+         CASE WHEN o_orderkey % 89 <> 0 THEN o_orderstatus END AS status,
+         CASE WHEN 1.8::DOUBLE * (CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+                   + 0.006::DOUBLE * (o_totalprice / 1000.0::DOUBLE)
+                   - 0.3::DOUBLE * CAST(month(o_orderdate) AS DOUBLE)
                    + 2.0::DOUBLE * ({hash_unit('o_orderkey', 7)} - 0.5::DOUBLE) > 0
               THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
   FROM orders
 )"""
 
-MR_COLS = "id, tier, flag, age_like, sib, par, fare_like, status, label"
+MR_COLS = "id, price, month, age_days, priority, status, label"
 
 TAGGED = f"""tagged AS (
   SELECT *, CASE WHEN {hash_unit('id', SPLIT_SEED)} < {cat.TEST_SIZE}::DOUBLE THEN 'test' ELSE 'train' END AS split
@@ -77,32 +75,29 @@ def _feature_table_ctes(stat: str = "avg") -> str:
     return f"""{MODEL_ROWS},
 {TAGGED},
 stats AS (
-  SELECT {stat}(CAST(tier AS DOUBLE)) AS m_tier, {stat}(age_like) AS m_age, {stat}(CAST(sib AS DOUBLE)) AS m_sib,
-         {stat}(CAST(par AS DOUBLE)) AS m_par, {stat}(fare_like) AS m_fare
+  SELECT {stat}(price) AS m_price, {stat}(CAST(month AS DOUBLE)) AS m_month, {stat}(age_days) AS m_age
   FROM tagged WHERE split = 'train'
 ),
-{_mode_cte('flag_mode', 'flag', 'tagged', "split = 'train'")},
+{_mode_cte('priority_mode', 'priority', 'tagged', "split = 'train'")},
 {_mode_cte('status_mode', 'status', 'tagged', "split = 'train'")},
 filled AS (
   SELECT t.id, t.split, t.label,
-         coalesce(CAST(t.tier AS DOUBLE), s.m_tier) AS tier,
-         coalesce(t.age_like, s.m_age) AS age_like,
-         coalesce(CAST(t.sib AS DOUBLE), s.m_sib) AS sib,
-         coalesce(CAST(t.par AS DOUBLE), s.m_par) AS par,
-         coalesce(t.fare_like, s.m_fare) AS fare_like,
-         coalesce(t.flag, (SELECT v FROM flag_mode)) AS flag,
+         coalesce(t.price, s.m_price) AS price,
+         coalesce(CAST(t.month AS DOUBLE), s.m_month) AS month,
+         coalesce(t.age_days, s.m_age) AS age_days,
+         coalesce(t.priority, (SELECT v FROM priority_mode)) AS priority,
          coalesce(t.status, (SELECT v FROM status_mode)) AS status
   FROM tagged t CROSS JOIN stats s
 ),
-{_index_cte('flag_idx', 'flag', 'filled', "split = 'train'")},
+{_index_cte('priority_idx', 'priority', 'filled', "split = 'train'")},
 {_index_cte('status_idx', 'status', 'filled', "split = 'train'")},
 feature_table AS (
-  SELECT f.id, f.split, f.tier, f.age_like, f.sib, f.par, f.fare_like,
-         {_indexed('flag', 'flag_idx')} AS flag_index,
+  SELECT f.id, f.split, f.price, f.month, f.age_days,
+         {_indexed('priority', 'priority_idx')} AS priority_index,
          {_indexed('status', 'status_idx')} AS status_index,
          f.label
   FROM filled f
-  LEFT JOIN flag_idx ON f.flag = flag_idx.v
+  LEFT JOIN priority_idx ON f.priority = priority_idx.v
   LEFT JOIN status_idx ON f.status = status_idx.v
 )"""
 
@@ -162,11 +157,11 @@ def _scorer_grid_cte() -> str:
     parts.append(f"SELECT 'constant_0', {seq}, id, label, 0.0::DOUBLE FROM ts")
     parts.append(f"SELECT 'constant_1', {seq + 1}, id, label, 1.0::DOUBLE FROM ts")
     parts.append(f"SELECT 'alternating', {seq + 2}, id, label, CAST(id % 2 AS DOUBLE) FROM ts")
-    parts.append(f"SELECT 'flag_rule', {seq + 3}, id, label, "
-                 f"CASE WHEN flag = 'even' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM ts")
+    parts.append(f"SELECT 'urgent_rule', {seq + 3}, id, label, "
+                 f"CASE WHEN priority = '1-URGENT' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM ts")
     body = "\n  UNION ALL ".join(parts)
     return f"""ts AS (
-  SELECT t.id, t.label, t.prediction, m.flag FROM test_scored t JOIN model_rows m ON t.id = m.id
+  SELECT t.id, t.label, t.prediction, m.priority FROM test_scored t JOIN model_rows m ON t.id = m.id
 ),
 grid AS (
   {body}
@@ -209,7 +204,7 @@ def _drift_pair_sources() -> tuple[str, str]:
 
 def _drift_ctes(base: str, cur: str) -> str:
     """PSI chain over ``base`` / ``cur`` row sources of ``(feature, x)``."""
-    probs = ", ".join(f"{p!r}::DOUBLE" for p in quantile_grid(10))
+    probs = ", ".join(f"({i}::DOUBLE * 0.1::DOUBLE)" for i in range(10)) + ", 1.0::DOUBLE"
     return f"""base AS (
   {base}
 ),
@@ -231,7 +226,7 @@ base_binned AS (
 ),
 cur_binned AS (
   SELECT c.feature,
-         CASE WHEN c.x IS NOT NULL AND NOT isnan(c.x) AND e.edges IS NOT NULL THEN
+         CASE WHEN c.x IS NULL OR isnan(c.x) THEN NULL WHEN e.edges IS NULL THEN -1 ELSE
            CAST(greatest(0, least(len(list_filter(e.edges, lambda t: t <= c.x)) - 1, len(e.edges) - 2)) AS INTEGER) END AS bin
   FROM cur c LEFT JOIN edges e ON c.feature = e.feature
 ),
@@ -261,7 +256,7 @@ shares AS (
 psi AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM shares GROUP BY feature),
 report AS (
   SELECT f.feature, 'psi' AS method, coalesce(p.psi, 0.0::DOUBLE) AS psi, 0.2::DOUBLE AS threshold,
-         coalesce(p.psi, 0.0::DOUBLE) > 0.2::DOUBLE AS drift,
+         coalesce(p.psi, 0.0::DOUBLE) > 0.2::DOUBLE OR (coalesce(bt.tot, 0) > 0) <> (coalesce(ct.tot, 0) > 0) AS drift,
          CASE WHEN coalesce(bt.all_n, 0) > 0 THEN (bt.all_n - coalesce(bt.tot, 0)) / CAST(bt.all_n AS DOUBLE) END
            AS null_share_baseline,
          CASE WHEN coalesce(ct.all_n, 0) > 0 THEN (ct.all_n - coalesce(ct.tot, 0)) / CAST(ct.all_n AS DOUBLE) END
@@ -284,7 +279,7 @@ def _round_cols(cols, digits=6, prefix="") -> str:
     return ", ".join(f"round({prefix}{c}, {digits}) AS {c}" for c in cols)
 
 
-NUM = ["tier", "age_like", "sib", "par", "fare_like"]
+NUM = ["price", "month", "age_days"]
 
 
 def _impute_numeric(stat: str) -> str:
@@ -296,13 +291,13 @@ def _impute_numeric(stat: str) -> str:
 
 def _one_hot_sql() -> str:
     # One slot for each label and one for null and unseen values.
-    ctes = [MODEL_ROWS, _index_cte("flag_idx", "flag", "model_rows"), _index_cte("status_idx", "status", "model_rows"),
+    ctes = [MODEL_ROWS, _index_cte("priority_idx", "priority", "model_rows"), _index_cte("status_idx", "status", "model_rows"),
             f"""idx AS (
-  SELECT m.id, {_indexed('flag', 'flag_idx')} AS fi, {_indexed('status', 'status_idx')} AS si
-  FROM model_rows m LEFT JOIN flag_idx ON m.flag = flag_idx.v LEFT JOIN status_idx ON m.status = status_idx.v
+  SELECT m.id, {_indexed('priority', 'priority_idx')} AS pi, {_indexed('status', 'status_idx')} AS si
+  FROM model_rows m LEFT JOIN priority_idx ON m.priority = priority_idx.v LEFT JOIN status_idx ON m.status = status_idx.v
 )"""]
     cols = []
-    for col, short, n in (("flag", "fi", 2), ("status", "si", 3)):
+    for col, short, n in (("priority", "pi", 5), ("status", "si", 3)):
         for i in range(n + 1):
             cols.append(f"CASE WHEN {short} = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {col}_{i}")
     return _w(",\n".join(ctes), f"SELECT id, {', '.join(cols)} FROM idx")
@@ -325,9 +320,9 @@ def oracle_sql() -> dict[str, str]:
     # 2.2 projection, filter, schema
     q["cast_numeric"] = _w(DIRTY_EVENTS, "SELECT event_id, TRY_CAST(value AS DOUBLE) AS value_num FROM dirty")
     q["rename_label"] = mr("SELECT id, label AS target FROM model_rows")
-    q["project"] = mr("SELECT id, tier, flag, label FROM model_rows")
+    q["project"] = mr("SELECT id, month, priority, label FROM model_rows")
     q["filter_split"] = mr(f"SELECT {MR_COLS} FROM model_rows WHERE {hash_unit('id', SPLIT_SEED)} < {cat.TEST_SIZE}::DOUBLE")
-    q["drop_columns"] = mr("SELECT id, tier, flag, sib, par, status, label FROM model_rows")
+    q["drop_columns"] = mr("SELECT id, month, priority, status, label FROM model_rows")
     checks = [
         "CASE WHEN event_type IS NULL THEN 'event_type: required' END",
         "CASE WHEN value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL THEN 'value: not double' END",
@@ -340,14 +335,14 @@ def oracle_sql() -> dict[str, str]:
     q["agg_mean"] = mr("SELECT " + ", ".join(f"round(avg(CAST({c} AS DOUBLE)), 6) AS {c}" for c in NUM) + " FROM model_rows")
     q["agg_mode"] = mr("SELECT status, count(*) AS count FROM model_rows WHERE status IS NOT NULL "
                        "GROUP BY status ORDER BY count DESC, status LIMIT 1")
-    q["agg_median"] = mr("SELECT round(median(age_like), 6) AS age_like, round(median(fare_like), 6) AS fare_like FROM model_rows")
+    q["agg_median"] = mr("SELECT round(median(price), 6) AS price, round(median(age_days), 6) AS age_days FROM model_rows")
     q["count_rows"] = mr("SELECT count(*) AS n_rows FROM model_rows")
     q["prediction_distribution"] = _w(LINEAR_CTES, "SELECT prediction, count(*) AS count FROM linear_scored GROUP BY prediction")
     q["positive_rate"] = _w(LINEAR_CTES, "SELECT round(avg(prediction), 6) AS positive_rate FROM linear_scored")
     q["category_frequency"] = mr("SELECT status, count(*) AS count FROM model_rows GROUP BY status")
 
     # 2.4 ordering, sampling, splitting
-    q["top_1"] = mr(f"SELECT {MR_COLS} FROM model_rows ORDER BY fare_like DESC NULLS LAST, id ASC LIMIT 1")
+    q["top_1"] = mr(f"SELECT {MR_COLS} FROM model_rows ORDER BY price DESC NULLS LAST, id ASC LIMIT 1")
     q["limit_sample"] = mr(f"SELECT {MR_COLS} FROM model_rows ORDER BY {hash_unit('id', cat.SAMPLE_SEED)}, id "
                            f"LIMIT {cat.SAMPLE_SIZE}")
     q["split_hash"] = _w(f"{MODEL_ROWS},\n{TAGGED}", "SELECT id, split FROM tagged")
@@ -357,31 +352,31 @@ def oracle_sql() -> dict[str, str]:
     # 2.5 imputation and features
     q["impute_mean"] = _impute_numeric("avg")
     q["impute_median"] = _impute_numeric("median")
-    q["impute_mode"] = _w(f"{MODEL_ROWS},\n{_mode_cte('fm', 'flag', 'model_rows')},\n{_mode_cte('sm', 'status', 'model_rows')}",
-                          "SELECT id, coalesce(flag, (SELECT v FROM fm)) AS flag, "
+    q["impute_mode"] = _w(f"{MODEL_ROWS},\n{_mode_cte('pm', 'priority', 'model_rows')},\n{_mode_cte('sm', 'status', 'model_rows')}",
+                          "SELECT id, coalesce(priority, (SELECT v FROM pm)) AS priority, "
                           "coalesce(status, (SELECT v FROM sm)) AS status FROM model_rows")
     q["string_index"] = _w(
-        f"{MODEL_ROWS},\n{_index_cte('flag_idx', 'flag', 'model_rows')},\n{_index_cte('status_idx', 'status', 'model_rows')}",
-        f"""SELECT m.id, m.flag, m.status, {_indexed('flag', 'flag_idx')} AS flag_index,
+        f"{MODEL_ROWS},\n{_index_cte('priority_idx', 'priority', 'model_rows')},\n{_index_cte('status_idx', 'status', 'model_rows')}",
+        f"""SELECT m.id, m.priority, m.status, {_indexed('priority', 'priority_idx')} AS priority_index,
        {_indexed('status', 'status_idx')} AS status_index
-FROM model_rows m LEFT JOIN flag_idx ON m.flag = flag_idx.v LEFT JOIN status_idx ON m.status = status_idx.v""")
+FROM model_rows m LEFT JOIN priority_idx ON m.priority = priority_idx.v LEFT JOIN status_idx ON m.status = status_idx.v""")
     q["one_hot"] = _one_hot_sql()
     stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in NUM)
     q["assemble_features"] = _w(
         f"""{MODEL_ROWS},
 s AS (SELECT {stats} FROM model_rows),
-{_mode_cte('fm', 'flag', 'model_rows')},
+{_mode_cte('pm', 'priority', 'model_rows')},
 {_mode_cte('sm', 'status', 'model_rows')},
 filled AS (
   SELECT m.id, {', '.join(f'coalesce(CAST(m.{c} AS DOUBLE), s.m_{c}) AS {c}' for c in NUM)},
-         coalesce(flag, (SELECT v FROM fm)) AS flag, coalesce(status, (SELECT v FROM sm)) AS status
+         coalesce(priority, (SELECT v FROM pm)) AS priority, coalesce(status, (SELECT v FROM sm)) AS status
   FROM model_rows m CROSS JOIN s
 ),
-{_index_cte('flag_idx', 'flag', 'filled')},
+{_index_cte('priority_idx', 'priority', 'filled')},
 {_index_cte('status_idx', 'status', 'filled')}""",
         f"""SELECT f.id, {_round_cols(NUM, prefix='f.')},
-       round({_indexed('flag', 'flag_idx')}, 6) AS flag_index, round({_indexed('status', 'status_idx')}, 6) AS status_index
-FROM filled f LEFT JOIN flag_idx ON f.flag = flag_idx.v LEFT JOIN status_idx ON f.status = status_idx.v""")
+       round({_indexed('priority', 'priority_idx')}, 6) AS priority_index, round({_indexed('status', 'status_idx')}, 6) AS status_index
+FROM filled f LEFT JOIN priority_idx ON f.priority = priority_idx.v LEFT JOIN status_idx ON f.status = status_idx.v""")
     q["feature_table"] = _w(FEATURE_TABLE_CTES,
                             f"SELECT id, split, {_round_cols(FEATURES)}, label FROM feature_table")
     q["feature_table_median"] = _w(_feature_table_ctes("median"),
@@ -413,7 +408,7 @@ FROM met""")
                                               "round(avg(prediction), 6) AS positive_rate FROM linear_scored")
 
     # 2.9 drift
-    q["vector_slot"] = _w(FEATURE_TABLE_CTES, "SELECT id, round(fare_like, 6) AS x FROM feature_table")
+    q["vector_slot"] = _w(FEATURE_TABLE_CTES, "SELECT id, round(price, 6) AS x FROM feature_table")
     q["quantile_edges"] = _w(DRIFT_CTES, """SELECT feature, CAST(i - 1 AS INTEGER) AS edge_index, round(edges[i], 6) AS edge
 FROM (SELECT feature, edges, unnest(range(1, len(edges) + 1)) AS i FROM edges)""")
     q["bucketize"] = _w(DRIFT_CTES, "SELECT feature, bin, n FROM cur_counts")
@@ -435,7 +430,7 @@ FROM report""")
     # 2.10 runs, versions, retrain gate
     q["run_log"] = _w(RUNS_CTES, "SELECT run_id, parent_run_id, experiment, name, seq, round(f1, 6) AS f1, "
                                  "round(accuracy, 6) AS accuracy FROM runs")
-    q["best_run"] = _w(RUNS_CTES, "SELECT run_id, name, round(f1, 6) AS f1 FROM runs ORDER BY f1 DESC, seq DESC, run_id LIMIT 1")
+    q["best_run"] = _w(RUNS_CTES, "SELECT run_id, name, round(f1, 6) AS f1 FROM runs ORDER BY runs.f1 DESC, seq DESC, run_id LIMIT 1")
     q["promote_version"] = _w(f"""{RUNS_CTES},
 best AS (SELECT run_id FROM runs ORDER BY f1 DESC, seq DESC, run_id LIMIT 1),
 versions AS (

@@ -17,7 +17,11 @@ expanded into its pairs:
 
 1. documents with equal sets are one class (a group of copies is one node);
 2. each class is verified against the smallest member of the bucket it shares
-   most, and the links are contracted to components;
+   most, and the links are contracted to components; ``TURNS`` times, each class
+   outside the largest component of a bucket is verified against the member of
+   those components, one drawn from each bucket, whose one-bit coordinates are
+   closest. That only finds links early: a large group of near copies is one
+   component before its pairs are looked at;
 3. in buckets that still hold several components (open classes), every class
    outside the bucket's main component is verified against the members of the
    other components. Pairs of one component need no link between them.
@@ -52,6 +56,7 @@ from keelson.llm.scratch import stored
 COORDINATES = 128
 BANDS = 32
 MAX_DIFFERENT = 40
+TURNS = 2
 RARE = 16
 BLOCKS = 64
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -188,6 +193,43 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v")
 
 
+def _different() -> Column:
+    """In how many one-bit coordinates the pair differs."""
+    one, two = (F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in ("b1", "b2"))
+    return one + two
+
+
+def _sizes_allow(percent: int) -> Column:
+    return 100 * F.least("n_shingles", "x_n_shingles") >= percent * F.greatest("n_shingles", "x_n_shingles")
+
+
+def _rooted(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with the ``root`` of each node's component, itself where it has no link."""
+    return members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """``band, main`` of the buckets that hold several components; ``main`` has most of the bucket's classes."""
+    sizes = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"))
+    return main.filter("roots > 1").select("band", "main")
+
+
+def _closest(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``u, v``: each class outside its buckets' main components, and the closest of the members drawn from those."""
+    inside = placed.join(_mixed(placed), "band")
+    kept = ("node", "n_shingles", "b1", "b2")
+    drawn = (
+        inside.filter("root = main")
+        .groupBy("band")
+        .agg(F.min_by(F.struct(*kept), F.xxhash64("node", "band", F.lit(turn))).alias("x"))
+        .select("band", *(F.col(f"x.{c}").alias(f"x_{c}") for c in kept))
+    )
+    tried = inside.filter("root != main").join(drawn, "band").filter(_sizes_allow(percent) & (_different() <= MAX_DIFFERENT))
+    near = tried.groupBy("node").agg(F.min_by("x_node", F.struct(_different().alias("different"), "x_node")).alias("near"))
+    return near.select(F.col("near").alias("u"), F.col("node").alias("v"))
+
+
 def _blocks(sets: DataFrame) -> DataFrame:
     """``node, blocks`` from ``node, items, rare_items``: how many of a node's common shingles fall in each hash block."""
     id_type = sets.schema["node"].dataType.simpleString()
@@ -233,19 +275,20 @@ def near_duplicates(
         .groupBy("node", "pivot")
         .count()
         .groupBy("node")
-        .agg(F.max_by("pivot", "count").alias("pivot"))
+        .agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
         .select(F.col("pivot").alias("u"), F.col("node").alias("v"))
     )
     sets = stored(_sets(rows, members.select("node"), words), "sets")
+    members = members.drop("pivot")
     labels = components(_linked(tries, sets, percent))
+    for turn in range(TURNS):
+        found = _linked(_closest(_rooted(members, labels), turn, percent), sets, percent)
+        # The links so far as one star a component, and the new ones.
+        labels = components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
 
     roots = labels.select("node", "root")
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("band").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "node").alias("main")
-    )
-    mixed = mixed.filter("low != high").select("band", "main")
-    open_members = stored(placed.drop("pivot").join(mixed, "band"), "open")
+    placed = _rooted(members, roots)
+    open_members = stored(placed.join(_mixed(placed), "band"), "open")
     open_nodes = open_members.drop("band", "main").distinct()
     items = sets.join(open_nodes.select("node"), "node").select("node", F.explode("items").alias("item"))
     holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") <= RARE)
@@ -269,12 +312,11 @@ def near_duplicates(
     def may_link(most: str) -> Column:
         """Sizes, the largest possible intersection and the one-bit coordinates allow a link."""
         total = F.col("n_shingles") + F.col("x_n_shingles")
-        differ = F.bit_count(F.col("b1").bitwiseXOR(F.col("x_b1"))) + F.bit_count(F.col("b2").bitwiseXOR(F.col("x_b2")))
         return (
             (F.col("root") != F.col("x_root"))
-            & (100 * F.least("n_shingles", "x_n_shingles") >= percent * F.greatest("n_shingles", "x_n_shingles"))
+            & _sizes_allow(percent)
             & ((100 + percent) * F.least(most, f"x_{most}") >= percent * total)
-            & (differ <= MAX_DIFFERENT)
+            & (_different() <= MAX_DIFFERENT)
         )
 
     def enough(extra: Column) -> Column:

@@ -99,6 +99,36 @@ def test_near_duplicates_needs_the_last_step(spark):
     assert got == {i: c for i, (_, c) in brute_components(rows, 3, 85).items()}
 
 
+def test_near_duplicates_of_one_large_group(spark, monkeypatch):
+    """Near copies of one text, many of them below the threshold to the smallest id: the turns change no result
+    and leave fewer links for the pairs that are listed last."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.choice(300, 12 if i < 3 else int(rng.integers(1, 9)), replace=False):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: c for i, (_, c) in brute_components(rows, 5, 80).items()}
+    linked = []
+
+    def counted(pairs, sets, percent, exact=minhash._linked):
+        out = exact(pairs, sets, percent)
+        linked.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_linked", counted)
+    last = {}
+    for turns in (0, 2):
+        monkeypatch.setattr(minhash, "TURNS", turns)
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 5, 80).collect()}
+        assert got == want
+        last[turns] = linked[-1]
+    assert 4 * last[2] <= last[0]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}

@@ -27,7 +27,8 @@ partition ever holds more than ``max_walk`` rows, whatever the table size.
 Brackets are verified (rows below ≤ rank < rows below + rows inside); a
 failing target is retried with a 10x and a 100x wider bracket from the same
 sketch, and only as a last resort with ``[min, max]``, which is exact
-regardless of the sketch.
+regardless of the sketch. Keys of at most ``accuracy`` values start with
+``[min, max]``: their sketch brackets would be about a rank wide.
 
 Linear interpolation between order statistics ``(n-1)·p`` matches numpy's
 default and SQL ``quantile_cont``.
@@ -39,6 +40,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,7 +179,8 @@ def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, f
     inside = (region % 2) == 1
     counted = (data.where(key.isin(list(intervals)))
                .select("_k", region.alias("region"), F.when(inside, x).alias("v"))
-               .groupBy("_k", "region", "v").agg(F.count(F.lit(1)).alias("c")))
+               .groupBy("_k", "region", "v").agg(F.count(F.lit(1)).alias("c"))
+               .persist(StorageLevel.MEMORY_AND_DISK))  # read by both aggregates below, the data once
 
     # Rows left of each region (tiny: keys x regions rows).
     totals = counted.groupBy("_k", "region").agg(F.sum("c").alias("tot"))
@@ -192,15 +195,18 @@ def _resolve(data: DataFrame, targets: dict[tuple[str, int], tuple[int, float, f
 
     # Within one interval (bounded by the bracket width) walk values in order.
     upto = Window.partitionBy("_k", "region").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    walked = (counted.where(F.col("region") % 2 == 1)
+    picked = (counted.where(F.col("region") % 2 == 1)
               .withColumn("cum", F.sum("c").over(upto))
               .join(below, ["_k", "region"])
               .join(F.broadcast(wanted), ["_k", "region"])
               .where(F.col("below") + F.col("cum") > F.col("rank"))
               .groupBy("_k", "tid")
               .agg(F.min_by(F.struct("v", "cum", "c"), "v").alias("m"),
-                   F.max("below").alias("below"), F.max("rank").alias("rank"))
-              .collect())
+                   F.max("below").alias("below"), F.max("rank").alias("rank")))
+    try:
+        walked = picked.collect()
+    finally:
+        counted.unpersist()
     out = {}
     for r in walked:
         if r["below"] <= r["rank"]:
@@ -283,6 +289,8 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
                 a, b = approx[max(0.0, p - d)], approx[min(1.0, p + d)]
                 brackets.append((mn if p - d <= 0 else min(a, b), mx if p + d >= 1 else max(a, b)))
             brackets.append((mn, mx))
+            if n <= accuracy:  # a sketch bracket would be under a few ranks wide and miss a neighbour
+                brackets = [(mn, mx)] * len(brackets)
             for rank in (r0, r1):
                 if rank not in rank_tid:
                     rank_tid[rank] = len(rank_tid)

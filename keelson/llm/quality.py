@@ -5,8 +5,9 @@ digits, white space, every ASCII mark by itself, anything else) hashed to
 ``TERMS`` columns, and repeats of a word within the next ``LAGS`` words. A
 bounded sample of labelled texts (``sample`` rows, chosen by a hash of the id)
 gives the term weights and the latent-semantic projection (truncated SVD of
-the weighted matrix, from its Gram matrix). Its projected vectors are broadcast: ``sample *
-RANK`` floats, whatever the corpus. Every document is projected and its exact
+the weighted matrix, from its Gram matrix). The sample stays in the tasks: the
+driver sees the summed ``TERMS x TERMS`` matrix and the projected vectors. These
+are broadcast: ``sample * RANK`` floats, whatever the corpus. Every document is projected and its exact
 cosines to all labelled vectors are taken as blocked matrix products; the
 ``NEIGHBOURS`` nearest vote with their similarity as weight.
 
@@ -26,14 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import textbytes as tb
+from keelson.llm.scratch import stored
 
-SAMPLE = 4000
-TERMS = 1024
+SAMPLE = 6000
+TERMS = 2048
 LAGS = 8
 RANK = 64
 NEIGHBOURS = 31
 BLOCK_ROWS = 512
 THRESHOLD = 0.3
+FIT_TASKS = 6  # tasks that sum the sample, of bounded size
+GRAM_ROWS = 128  # rows of the Gram matrix sent as one
+# Unit vectors are rounded to multiples of 1 / UNIT, so that sums of their products are exact in any order.
+UNIT = float(1 << 18)
 
 # Character classes: 0 lower, 1 upper, 2 digit, 3 space, 4 line end, 5 other control, 6 non-ASCII, then each mark.
 _CLASS = np.full(256, 5, np.int64)
@@ -121,32 +127,83 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str
     )
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(wanted), "key").select("key", "label", "text")
+    counted = stored(_counted(rows, "key"), "quality-sample").coalesce(FIT_TASKS)
     wide = TERMS + LAGS
-    labels = np.zeros(sample * 2)
-    x = np.zeros((sample * 2, wide), np.float32)  # repeated ids may give a label more than one text
-    n = 0
-    for r in _counted(rows, "key").orderBy("key", "label", "terms").select("label", "terms").toLocalIterator():
-        if n == len(x):
-            labels, x = np.concatenate((labels, np.zeros(sample))), np.concatenate((x, np.zeros((sample, wide), np.float32)))
-        labels[n], x[n] = r["label"], np.frombuffer(r["terms"], np.float32)
-        n += 1
-    labels, x = labels[:n], x[:n]
+    n, seen = 0, np.zeros(wide, np.int64)
+    for r in counted.select("terms").mapInArrow(tb.task(_frequencies), "n bigint, seen binary").collect():
+        n, seen = n + r["n"], seen + np.frombuffer(r["seen"], np.int64)
     if not n:
-        return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    weights = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
-    gram = np.zeros((wide, wide), np.float32)
-    for lo in range(0, n, BLOCK_ROWS):
-        part = np.sqrt(x[lo : lo + BLOCK_ROWS]) * weights
-        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
-        gram += part.T @ part
-    vectors = np.linalg.eigh(gram)[1][:, ::-1][:, : min(RANK, n)]
-    model = Model(weights, np.ascontiguousarray(vectors), np.zeros((0, 1), np.float32), labels, float(labels.mean()))
-    model.vectors = np.concatenate([model.project(x[lo : lo + BLOCK_ROWS]) for lo in range(0, n, BLOCK_ROWS)])
-    del x, gram, vectors
+        return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+    weights = np.log((1 + n) / (1 + seen)).astype(np.float32) + 1
+    vectors = np.linalg.eigh(_gram(counted, weights))[1][:, ::-1][:, : min(RANK, n)]
+    model = Model(weights, np.ascontiguousarray(vectors), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+    del vectors
+    labels, model.vectors = _projected(counted, model)
+    model.labels, model.prior = labels, float(labels.mean())
     tb.give_back()
     return model
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], at: int = 0) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Parts of ``BLOCK_ROWS`` rows at most, and the counts in their column ``at``."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, BLOCK_ROWS):
+            part = batch.slice(lo, BLOCK_ROWS)
+            yield part, np.frombuffer(b"".join(part.column(at).to_pylist()), np.float32).reshape(part.num_rows, -1)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task, and for each term how many of them have it."""
+    n, seen = 0, np.zeros(TERMS + LAGS, np.int64)
+    for part, x in _blocks(batches):
+        n, seen = n + part.num_rows, seen + (x > 0).sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tobytes()], pa.binary())], ["n", "seen"])
+
+
+def _gram(counted: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """The Gram matrix of the weighted unit rows, summed in tasks by blocks of its rows."""
+    wide = len(weights)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram = np.zeros((wide, wide))
+        for _, x in _blocks(batches):
+            unit = np.sqrt(x) * weights
+            unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+            unit = np.rint(unit * UNIT).astype(np.float64)
+            gram += unit.T @ unit
+        for at in range(0, wide, GRAM_ROWS):
+            block = gram[at : at + GRAM_ROWS].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([block], pa.binary())], ["at", "block"])
+
+    def total(group: pa.Table) -> pa.Table:
+        block = sum(np.frombuffer(b.as_py(), np.float64) for b in group.column("block"))
+        block = (block / UNIT**2).astype(np.float32)
+        return pa.table({"at": group.column("at")[:1], "block": pa.array([block.tobytes()], pa.binary())})
+
+    schema = "at int, block binary"
+    parts = counted.select("terms").mapInArrow(tb.task(products), schema)
+    gram = np.zeros((wide, wide), np.float32)
+    for r in parts.groupBy("at").applyInArrow(tb.group(total), schema).coalesce(FIT_TASKS).toLocalIterator():
+        gram[r["at"] : r["at"] + GRAM_ROWS] = np.frombuffer(r["block"], np.float32).reshape(-1, wide)
+    return gram
+
+
+def _projected(counted: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and vectors of the sample, by key."""
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, x in _blocks(batches, 2):
+            vectors = pa.array([v.tobytes() for v in shared.value.project(x)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), vectors], ["key", "label", "vector"])
+
+    schema = f"key {counted.schema['key'].dataType.simpleString()}, label double, vector binary"
+    rows = counted.mapInArrow(tb.task(run), schema).collect()
+    rows.sort(key=lambda r: (r["key"], r["label"], r["vector"]))
+    vectors = np.frombuffer(b"".join(r["vector"] for r in rows), np.float32).reshape(len(rows), -1)
+    return np.array([r["label"] for r in rows]), vectors
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: ``doc_id, score`` (0 to 1, the likelihood of label 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

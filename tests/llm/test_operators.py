@@ -229,6 +229,20 @@ def test_quality(spark, awkward, empty):
     assert {r.score for r in quality.score(awkward, none).collect()} == {0.5}
 
 
+def test_quality_sample_is_summed_in_tasks(spark):
+    assert quality.SAMPLE >= 6000 and quality.TERMS >= 2048
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(700)
+    rows = docs.select(F.col("doc_id").alias("key"), F.lit(1.0).alias("label"), "text")
+    counted = quality._counted(rows, "key").cache()
+    x = np.stack([np.frombuffer(r.terms, np.float32) for r in counted.collect()])
+    weights = np.linspace(1, 3, x.shape[1]).astype(np.float32)
+    unit = np.sqrt(x) * weights
+    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+    one, many = (quality._gram(counted.repartition(n), weights) for n in (1, 5))
+    assert (one == many).all()  # the same sum however the rows are dealt
+    assert np.allclose(one, unit.T @ unit, atol=1e-3)
+
+
 def test_html():
     page = (
         "<html><head><title>T</title><script>var a='</p>';</script></head><body><header>Top</header><nav><ul><li><a>Home</a></ul></nav>"

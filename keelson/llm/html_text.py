@@ -1,14 +1,19 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines: a block element or a line break begins a new
-line, character references are decoded, white space is collapsed. Lines of
-page furniture (see the fixed lists below) have no length. The text lengths of
-``WINDOW`` successive lines are summed over sliding windows. The text surges
-where a window's sum rises from nothing and dives where it falls back to
-nothing. Between a surge and its dive lies a stretch of text; the stretch with
-the highest window is the main text, with every other stretch whose highest
-window reaches ``SHARE`` of it. If the page has an article or main element,
-only lines inside it have a length.
+line, character references are decoded, white space is collapsed. A line counts
+the length of its text, link text outside headings not included, times a weight:
+``ARTICLE_WEIGHT`` inside an article or main element, ``NAMED_WEIGHT`` inside an
+element whose class, id or role is a name of page furniture as a whole, nothing
+inside a furniture element (see the fixed lists below). The counts of ``WINDOW``
+successive lines are summed over sliding windows. On every page, inside an article
+too, the text surges where the windows rise above next to nothing and dives where
+they fall back to it. Between a surge and its dive lies a stretch; those with a
+window of ``SHARE`` of the highest are main text. At both ends of a stretch go
+lines that are too short to reach that by themselves and lie in another container
+than those that do (headings before the text stay); anywhere in it go lines that
+count less than half of what their length would at the weight of its text, unless
+they are single link lines between two of text.
 
 Defined results: a null page is empty; a page without text gives an empty
 text; unclosed, crossed and truncated tags end at the next tag that closes
@@ -20,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +36,9 @@ from keelson.llm import textbytes as tb
 
 WINDOW = 3
 SHARE = 0.15
+NOTHING = 20.0  # a window below this is a dive
+ARTICLE_WEIGHT = 16.0
+NAMED_WEIGHT = 0.1
 
 # Fixed lists. Elements whose text is not text; elements and names of page furniture;
 # elements without content; elements that do not begin a line.
@@ -51,6 +60,10 @@ INLINE = {
     "var", "wbr",
 }
 
+# Elements that hold one line of text; the others are containers.
+LINE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "dt", "dd", "figcaption", "caption"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
 _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)"
     rf"|<(?P<raw>{'|'.join(RAW)})\b[^>]*+(?:/>|>(?s:.*?)(?:</(?P=raw)\s*>|\Z)|\Z)"
@@ -60,38 +73,71 @@ _TOKEN = re.compile(
     re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_NAME = re.compile(r"[a-z0-9]+")
 
 
-def _is_furniture(name: str, rest: str, in_article: bool) -> bool:
+@dataclass(frozen=True)
+class State:
+    """What holds for the text inside an open element; containers are numbered, 0 is the page's own."""
+
+    furniture: float = 1.0
+    article: bool = False
+    heading: bool = False
+    container: int = 0
+
+
+@dataclass(frozen=True)
+class Line:
+    text: str
+    linked: int  # characters of link text
+    state: State
+
+    @property
+    def weight(self) -> float:
+        return self.state.furniture * (ARTICLE_WEIGHT if self.state.article else 1.0)
+
+    @property
+    def length(self) -> float:
+        return self.weight * (len(self.text) - (0 if self.state.heading else self.linked))
+
+
+def _furniture(name: str, rest: str, in_article: bool) -> float:
+    """The weight of an element by its name and by its class, id and role."""
     if name in FURNITURE and not (name == "header" and in_article):
-        return True
+        return 0.0
     for kind, *values in _ATTRIBUTE.findall(rest) if "=" in rest else ():
-        names = _NAME.findall("".join(values).lower())
+        names = "".join(values).lower().split()
         if FURNITURE_ROLES.intersection(names) if kind.lower() == "role" else FURNITURE_NAMES.intersection(names):
             # The page itself may be styled for a sidebar or a banner.
-            return name not in ("html", "body", "article", "main")
-    return False
+            return 1.0 if name in ("html", "body", "article", "main") else NAMED_WEIGHT
+    return 1.0
 
 
-def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """The lines of a page: text, whether it is furniture, whether it is inside an article."""
-    lines: list[tuple[str, bool, bool]] = []
-    parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, furniture above or here, article above or here
-    state = (False, False)
+def page_lines(page: str) -> tuple[list[Line], list[int]]:
+    """The lines of a page, and for each container the one it lies in."""
+    lines: list[Line] = []
+    parts: list[tuple[str, bool]] = []  # text, whether it is link text
+    stack: list[tuple[str, State]] = []
+    state, links, parents = State(), 0, [0]
 
     def end_line() -> None:
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
             if text:
-                lines.append((text, *state))
+                link = " ".join(html.unescape(" ".join(t for t, linked in parts if linked)).split())
+                lines.append(Line(text, min(len(link), len(text)), state))
             parts.clear()
 
+    def cut(i: int) -> None:
+        """Close the open elements from ``i`` on."""
+        nonlocal state, links
+        links -= sum(n == "a" for n, _ in stack[i:])
+        del stack[i:]
+        state = stack[-1][1] if stack else State()
+
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
-            parts.append(page[at : token.start()])
+            parts.append((page[at : token.start()], links > 0))
         at = token.end()
         name = token["name"]
         if name is None:
@@ -102,52 +148,99 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if token["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    end_line() if stack[i][1:] != (stack[i - 1][1:] if i else (False, False)) else None
-                    del stack[i:]
-                    state = stack[-1][1:] if stack else (False, False)
+                    if stack[i][1] != (stack[i - 1][1] if i else State()):
+                        end_line()
+                    cut(i)
                     break
         elif name not in VOID and not token["rest"].endswith("/"):
-            if name == "p":  # a paragraph ends the one before
+            if name == "p" or name in HEADING:  # a paragraph ends the one before
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
-                        del stack[i:]
-                        state = stack[-1][1:] if stack else (False, False)
+                        cut(i)
                         break
                     if stack[i][0] not in INLINE:
                         break
-            furniture, article = state
-            new = (furniture or _is_furniture(name, token["rest"], article), article or name in ("article", "main"))
+            elif name == "a" and links:  # links do not nest
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == "a":
+                        links -= 1
+                        del stack[i]
+                        break
+                    if stack[i][0] not in INLINE:
+                        break
+            container = state.container
+            if name not in INLINE and name not in LINE and name not in ("html", "body"):
+                parents.append(container)
+                container = len(parents) - 1
+            new = State(
+                min(state.furniture, _furniture(name, token["rest"], state.article)),
+                state.article or name in ("article", "main"),
+                state.heading or name in HEADING,
+                container,
+            )
             if new != state:
                 end_line()
-            stack.append((name, *new))
+            stack.append((name, new))
+            links += name == "a"
             state = new
     if at < len(page):
-        parts.append(page[at:])
+        parts.append((page[at:], links > 0))
     end_line()
-    return lines
+    return lines, parents
 
 
 def main_text(page: str) -> str:
     """The text between the surges and dives of a page's line blocks."""
-    lines = page_lines(page)
-    article = any(a and not f for _, f, a in lines)
-    length = np.array([0 if f or (article and not a) else len(t) for t, f, a in lines], np.int64)
+    lines, parents = page_lines(page)
+    length = np.array([line.length for line in lines])
     if not length.any():
         return ""
-    sums = np.convolve(length, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of the lines i to i + WINDOW - 1
-    live = np.flatnonzero(length)
-    # A window of nothing between two lines of text is a dive and a new surge.
-    gap = np.diff(live) > WINDOW
-    surges = live[np.concatenate(([True], gap))]
-    dives = live[np.concatenate((gap, [True]))]
-    peaks = np.array([sums[max(0, s - WINDOW + 1) : d + 1].max() for s, d in zip(surges, dives, strict=True)])
+    sums = np.convolve(length, np.ones(WINDOW))  # of the lines i - WINDOW + 1 to i
+    least = SHARE * sums.max()
+    # A line is live if a window that holds it is not next to nothing.
+    live = np.flatnonzero([sums[i : i + WINDOW].max() >= min(NOTHING, least) for i in range(len(lines))])
     out = []
-    for surge, dive, peak in zip(surges, dives, peaks, strict=True):
-        if article or peak >= SHARE * peaks.max():
-            out += [lines[i][0] for i in range(surge, dive + 1) if length[i]]
+    for stretch in np.split(live, np.flatnonzero(np.diff(live) > 1) + 1):
+        if sums[stretch[0] : stretch[-1] + WINDOW].max() >= least:
+            out += [lines[i].text for i in _kept(lines, parents, length, [int(i) for i in stretch], least)]
     return " ".join(out)
 
 
+def _kept(lines: list[Line], parents: list[int], length: np.ndarray, stretch: list[int], least: float) -> list[int]:
+    """The lines of a stretch that are its text."""
+    long = [i for i in stretch if length[i] >= least] or stretch  # a window of short lines: all count
+    weight = max(lines[i].weight for i in long)
+    dense = {i: length[i] >= 0.5 * weight * len(lines[i].text) for i in stretch}
+    long = [i for i in long if dense[i]]
+    if not long:
+        return []
+    homes = {lines[i].state.container for i in long}
+    # Containers inside one of the long lines', or around it; the page's own only if it holds a long line itself.
+    near = set(homes)
+    for c in range(1, len(parents)):
+        if parents[c] and parents[c] in near:
+            near.add(c)
+    for c in homes:
+        while (c := parents[c]) and c not in near:
+            near.add(c)
+    first, last = long[0], long[-1]
+
+    def at_home(i: int) -> bool:
+        return lines[i].state.container in near
+
+    for i in range(first - 1, stretch[0] - 1, -1):  # headings and short lines before the first long one
+        if dense[i] and (at_home(i) or (lines[i].state.heading and first - i < WINDOW)):
+            first = i
+    last = max([last, *(i for i in stretch if i > last and dense[i] and at_home(i))])
+    return [
+        i
+        for i in stretch
+        if first <= i <= last
+        and (dense[i] or (lines[i].weight >= 0.5 * weight and dense[i - 1] and dense[i + 1]))
+        and (long[0] <= i <= long[-1] or at_home(i) or lines[i].state.heading)
+    ]
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row: ``page_id, url, text, n_chars``."""
     rows = pages.select(

@@ -255,6 +255,25 @@ def test_html():
     assert html_text.main_text("<p>cut <a href='x") == "cut"
 
 
+def test_html_blocks_decide_without_article_and_inside_it():
+    text = [" ".join(f"word{i}{j}" for j in range(40)) + "." for i in range(4)]
+    paras = "".join(f"<p>{t}</p>" for t in text)
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Menu entry {i}</a></li>" for i in range(6)) + "</ul>"
+    table = "<table>" + "".join(f"<tr><td><a href=/{i}>Link {i}</a></td><td>{i}</td></tr>" for i in range(5)) + "</table>"
+    foot = "<div>Copyright Example</div><div>Imprint</div>"
+    body = f"<html><body><div>{menu}</div><div><h1>Title</h1>{paras}<p>The end.</p></div>{table}<div>{foot}</div></body></html>"
+    want = " ".join(["Title", *text, "The end."])
+    assert html_text.main_text(body) == want  # no article, no furniture elements or names
+    inside = f"<article><h1>Title</h1>{paras}<p>The end.</p>{menu}</article><footer>f</footer>"
+    assert html_text.main_text(inside) == want  # a list of links inside the article
+    for names in ("id='related-work'", "class='share-price table'", "id=comment-section-of-law"):
+        page = f"<article><h1>Title</h1><section {names}>{paras}</section><p>The end.</p></article>"
+        assert html_text.main_text(page) == want
+        assert html_text.main_text(page.replace("article", "div")) == want
+    named = f"<div><h1>Title</h1>{paras}<div class='box share'>Share this now</div><p>The end.</p></div>"
+    assert html_text.main_text(named) == want
+
+
 def test_html_pages(spark):
     queries.ship(spark)
     rows = [(1, "u", None), (2, None, "<p>a</p>"), (2, None, "<p>a</p>")]

@@ -14,8 +14,9 @@ Scoring: ``p(w | u) = (n(u, w) + MU * p1(w)) / (c(u) + MU)`` with the count
 count unless a probe errs) and the exact add-one estimate ``p1``.
 
 Words and filter are broadcast if together they are at most
-``BROADCAST_BYTES``; beyond that the same score, with counts in place of
-probes, comes from joins. Nothing is cut off at any size.
+``BROADCAST_BYTES``; beyond that the distinct pairs to be scored go, packed, to
+the slices of the same filter, are probed there, and their levels are joined to
+the tokens: the same scores. Nothing is cut off at any size.
 
 Defined results: a null text is empty (the end token only); without training
 rows all counts are 0. Rows that repeat an id are scored each for itself.
@@ -259,8 +260,8 @@ def _by_broadcast(rows: DataFrame, model: Model, mu: float) -> DataFrame:
     )
 
 
-def _unpacked(partial: DataFrame, kind: int) -> DataFrame:
-    """``h, n``: total counts of one kind of n-gram, a row each."""
+def _word_counts(slices: DataFrame) -> DataFrame:
+    """``h, n``: total counts of words, a row each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,11 +270,28 @@ def _unpacked(partial: DataFrame, kind: int) -> DataFrame:
                     [pa.array(np.frombuffer(hashes, np.int64)), pa.array(np.frombuffer(counts, np.int64))], ["h", "n"]
                 )
 
-    flat = partial.filter(F.col("kind") == kind).select("hashes", "counts").mapInArrow(tb.task(run), "h bigint, n bigint")
-    return flat.groupBy("h").agg(F.sum("n").alias("n"))
+    return slices.select("words", "counts").mapInArrow(tb.task(run), "h bigint, n bigint")
 
 
-def _by_join(rows: DataFrame, partial: DataFrame, total: int, distinct: int, mu: float) -> DataFrame:
+def _pair_levels(rows: DataFrame, slices: DataFrame, parts: int) -> DataFrame:
+    """``h, level``: the pairs of ``rows`` that the filter holds, each once, probed where their slice is."""
+    asked = _partial_counts(rows.select("text"), parts).filter("kind = 1").select("part", "hashes")
+
+    def probe(wanted: pa.Table, held: pa.Table) -> pa.Table:
+        h, level = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if wanted.num_rows and held.num_rows:
+            h = np.unique(np.frombuffer(b"".join(wanted["hashes"].to_pylist()), np.uint64))
+            bits = np.frombuffer(held["filter"][0].as_py(), np.uint8)
+            one = np.zeros(1, np.int64)
+            level = Model(h[:0], one[:0], bits, one, one + 8 * len(bits), 0).pair_levels(h)
+        tb.give_back()
+        return pa.table({"h": pa.array(h[level > 0].view(np.int64)), "level": pa.array(level[level > 0])})
+
+    pairs = asked.groupBy("part").cogroup(slices.select("part", "filter").groupBy("part"))
+    return pairs.applyInArrow(probe, "h bigint, level bigint")
+
+
+def _by_join(rows: DataFrame, slices: DataFrame, parts: int, total: int, distinct: int, mu: float) -> DataFrame:
     """The same scores from shuffled joins on the n-grams, for models too large to broadcast."""
     keyed = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
 
@@ -290,20 +308,20 @@ def _by_join(rows: DataFrame, partial: DataFrame, total: int, distinct: int, mu:
 
     each = keyed.select("row", "text").mapInArrow(tb.task(run), "row bigint, w bigint, u bigint, p bigint")
     events = each.groupBy("row", "w", "u", "p").agg(F.count(F.lit(1)).alias("times"))
-    words, pairs = stored(_unpacked(partial, 0), "words"), stored(_unpacked(partial, 1), "pairs")
+    words, pairs = stored(_word_counts(slices), "words"), stored(_pair_levels(keyed, slices, parts), "pairs")
 
     def named(df: DataFrame, key: str, value: str) -> DataFrame:
-        return df.select(F.col("h").alias(key), F.col("n").alias(value))
+        return df.toDF(key, value)
 
     read = (
         events.join(named(words, "w", "c"), "w", "left")
         .join(named(words, "u", "cu"), "u", "left")
-        .join(named(pairs, "p", "cp"), "p", "left")
-        .fillna(0, ["c", "cu", "cp"])
+        .join(named(pairs, "p", "level"), "p", "left")
+        .fillna(0, ["c", "cu", "level"])
     )
-    level = F.when(F.col("cp") > 0, F.pow(F.lit(2.0), F.floor(F.log2(F.col("cp").cast("double"))))).otherwise(0.0)
+    seen = F.when(F.col("level") > 0, F.pow(F.lit(2.0), F.col("level") - 1.0)).otherwise(0.0)
     base = (F.col("c") + 1.0) / F.lit(total + distinct + 1.0)
-    score = (F.least(level, "c", "cu") + mu * base) / (F.col("cu") + mu)
+    score = (F.least(seen, "c", "cu") + mu * base) / (F.col("cu") + mu)
     sums = read.groupBy("row").agg(
         F.sum("times").alias("n_tokens"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
@@ -335,4 +353,4 @@ def score(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if size["bytes"] <= broadcast_bytes:
         return _by_broadcast(rows, _collected(slices, parts), mu)
-    return _by_join(rows, partial, size["tokens"], size["words"], mu)
+    return _by_join(rows, slices, parts, size["tokens"], size["words"], mu)

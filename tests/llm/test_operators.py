@@ -203,6 +203,17 @@ def test_language_model(awkward, small):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_language_model_scores_are_the_same_at_any_size(awkward, small):
+    for docs in (awkward, small):
+        training = docs.filter(queries.id_remainder(7) != 2)
+        whole, joined = (
+            sorted(((r.doc_id or 0, r.n_tokens, r.score) for r in lm_score.score(docs, training, broadcast_bytes=b).collect()))
+            for b in (lm_score.BROADCAST_BYTES, 0)
+        )
+        assert [r[:2] for r in whole] == [r[:2] for r in joined]
+        assert [r[2] for r in whole] == pytest.approx([r[2] for r in joined], rel=1e-9)
+
+
 def test_language_id(awkward, small, empty):
     learned = language_id.model(language_id.learn(small.filter(queries.id_remainder(3) != 1)))
     held = by_id(language_id.predict(small, learned).filter(queries.id_remainder(3) == 1))

@@ -43,8 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Fixed values of the queries: split share, sample size, baseline moduli,
-# the linear scorer's coefficients, the small model-search grid used by the
-# registered queries (the full grid is ``train.LR_GRID`` / ``train.RF_GRID``).
+# the linear scorer's coefficients, the model-search grids of the registered
+# queries (all 27 + 9 points; the small grids are for tests).
 TEST_SIZE = 0.2
 SAMPLE_SIZE = 1000
 SAMPLE_SEED = 1
@@ -58,6 +58,7 @@ LINEAR_COEFFICIENTS = {
 }
 SMALL_LR_GRID = {"maxIter": [50], "regParam": [0.0, 0.01], "elasticNetParam": [0.0]}
 SMALL_RF_GRID = {"numTrees": [10], "maxDepth": [5]}
+SEARCH_GRIDS = {"logreg": train.LR_GRID, "random_forest": train.RF_GRID}
 RUN_MODS = [2, 3, 4, 5, 6, 7]
 
 
@@ -412,7 +413,7 @@ def _prepared(spark, sf):
 def q_cross_validate(spark, sf):
     prep_model, prepared, test_rows = _prepared(spark, sf)
     try:
-        cvm = train.cross_validate(prepared, "logreg", SMALL_LR_GRID)
+        cvm = train.cross_validate(prepared, "logreg", SEARCH_GRIDS["logreg"])
     finally:
         prepared.unpersist()
     best = train.PipelineModel(stages=list(prep_model.stages) + [cvm.bestModel])
@@ -423,7 +424,7 @@ def q_cross_validate(spark, sf):
 def q_cv_trials(spark, sf):
     _, prepared, _ = _prepared(spark, sf)
     try:
-        trials, _ = train.search(prepared, {"logreg": SMALL_LR_GRID, "random_forest": SMALL_RF_GRID})
+        trials, _ = train.search(prepared, SEARCH_GRIDS)
         return trials  # one row per grid point, built from the fitted models' metrics
     finally:
         prepared.unpersist()
@@ -433,8 +434,7 @@ def q_cv_trials(spark, sf):
 def q_select_best_model(spark, sf):
     train_rows, test_rows = sample.split_hash(model_rows(spark, sf), "id", TEST_SIZE, SPLIT_SEED)
     prep = features.feature_pipeline(NUMERIC, CATEGORICAL, FEATURES)
-    _, summary = train.select_best_model(prep, train_rows, test_rows,
-                                         {"logreg": SMALL_LR_GRID, "random_forest": SMALL_RF_GRID})
+    _, summary = train.select_best_model(prep, train_rows, test_rows, SEARCH_GRIDS)
     return summary
 
 

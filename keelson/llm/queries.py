@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup
+from keelson.llm import best_fit, byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    cut = best_fit.pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return best_fit.pack(cut, capacity=2048).withColumn("piece", F.col("piece").cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_score": op1_lm_score,
     "op2_substring_dedup": op2_substring_dedup,
@@ -137,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_best_fit": op11_best_fit,
 }
 
 ORACLE_SQL: dict[str, str] = {

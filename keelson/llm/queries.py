@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import best_fit, byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup
+from keelson.llm import best_fit, byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup, whitening
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,17 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(cut, capacity=2048).withColumn("piece", F.col("piece").cast("int"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(_table(spark, sf_dir, "embeddings"), components=8)
+    return done.select(
+        "vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "explained", "identity_error",
+        F.posexplode("whitened").alias("at", "whitened"),
+    ).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.col("explained")[F.col("at")].alias("explained"), "identity_error",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_score": op1_lm_score,
     "op2_substring_dedup": op2_substring_dedup,
@@ -145,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_decontaminate": op10_decontaminate,
     "op11_best_fit": op11_best_fit,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {

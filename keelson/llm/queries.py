@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import best_fit, byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup, whitening
+from keelson.llm import best_fit, byte_bpe, decontaminate, exact_dedup, html_text, language_id, lm_score, minhash, quality, suffix_automaton, suffix_dedup, turn_repair, whitening
 from keelson.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,23 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The turns with ``copies`` and the contract's damage, by the crc32 of ``conv_id:turn`` modulo 20; null is one space."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.pmod(F.crc32(key.cast("binary")), F.lit(20))
+    text = F.coalesce("text", F.lit(" "))
+    return conversations.select(
+        "conv_id", "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(damaged(_table(spark, sf_dir, "conversations")), copies_col="copies")
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_score": op1_lm_score,
     "op2_substring_dedup": op2_substring_dedup,
@@ -157,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_best_fit": op11_best_fit,
     "op12_whitening": op12_whitening,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {

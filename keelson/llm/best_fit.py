@@ -31,9 +31,9 @@ from pyspark.sql import types as T
 
 from keelson.llm.scratch import stored
 from keelson.llm.textbytes import chunks, task
-from keelson.llm.word_tokens import WordEncoder
+from keelson.llm.word_tokens import word_encoder
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def pieces(
@@ -56,7 +56,7 @@ def pieces(
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary: a few MB, whatever the table
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(spec.value)
+        encoder = word_encoder(spec.value)
         for batch in batches:
             for lo, hi, buf, offs in chunks(batch.column("text"), CHUNK_BYTES):
                 ids, place = encoder.encode(buf, offs)

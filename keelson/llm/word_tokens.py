@@ -15,35 +15,41 @@ import numpy as np
 
 from keelson.llm.textbytes import SPACELESS, word_hashes, word_spans
 
-#: Words whose ids a task keeps between chunks.
-CACHE_WORDS = 400_000
+#: Words in each of the two generations that a worker remembers.
+CACHE_WORDS = 300_000
 
 
-@functools.cache
-def _tokenizer(spec: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
-    plain, cutting = Tokenizer.from_str(spec), Tokenizer.from_str(spec)
-    plain.encode_special_tokens = True  # their strings in a text are ordinary text
-    special = [t.content for t in cutting.get_added_tokens_decoder().values() if t.special]
-    return plain, cutting, special
+@functools.lru_cache(maxsize=2)
+def word_encoder(spec: str) -> WordEncoder:
+    """The encoder of this Python worker, which outlives a task."""
+    return WordEncoder(spec)
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer's JSON, with a bounded memory of words seen before."""
+    """Ids of texts by a tokenizer's JSON, with a bounded memory of words seen before.
+
+    A word found in the old generation moves to the new one; when that is full
+    it becomes the old one, so frequent words are kept and rare ones go.
+    """
 
     def __init__(self, spec: str):
-        self._plain, self._cutting, special = _tokenizer(spec)
-        self._special = [s.encode() for s in special]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_str(spec)
+        self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values() if t.special]
         self._known: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each of these different words."""
         if len(self._known) > CACHE_WORDS:
-            self._known.clear()
-        known = self._known
+            self._known, self._old = {}, self._known
+        known, old = self._known, self._old
         new = [w for w in words if w not in known]
+        if old:
+            known.update((w, old[w]) for w in new if w in old)
+            new = [w for w in new if w not in old]
         for at in range(0, len(new), 64 * 256):
             self._learn(new[at : at + 64 * 256])
         return [known[w] for w in words]
@@ -54,15 +60,17 @@ class WordEncoder:
         if any(s in joined for s in self._special):
             whole = [w for w in words if not any(s in w for s in self._special)]
         if whole:
-            mark, cut = self._special[0], self._cutting.token_to_id(self._special[0].decode())
+            mark, cut = self._special[0], self._tokenizer.token_to_id(self._special[0].decode())
+            self._tokenizer.encode_special_tokens = False
             runs = [(mark.join(whole[i : i + 64]) + mark).decode() for i in range(0, len(whole), 64)]
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in self._cutting.encode_batch_fast(runs, add_special_tokens=False)])
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self._tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
             stop = np.flatnonzero(ids == cut)
             flat, stop = ids.tobytes(), (4 * stop).tolist()
             begin = [0, *(s + 4 for s in stop[:-1])]
             self._known.update((w, flat[a:b]) for w, a, b in zip(whole, begin, stop, strict=True))
         rest = [w for w in words if w not in self._known]
-        for w, e in zip(rest, self._plain.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
+        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        for w, e in zip(rest, self._tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
             self._known[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

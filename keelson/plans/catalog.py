@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from keelson.functions import hash_unit
 from keelson.operators import aggregate as agg
-from keelson.operators import clean, drift, features, metrics, registry, sample, score, train
+from keelson.operators import clean, drift, features, forest, metrics, registry, sample, score, train
 from keelson.plans.fixtures import (
     CATEGORICAL,
     EVENTS_CONTRACT,
@@ -392,11 +392,23 @@ def q_train_logreg(spark, sf):
     model, _, _ = fitted_classifier(spark, sf, "logreg", maxIter=50, regParam=0.01)
     coef, intercept = score.linear_parameters(model.stages[-1], FEATURES)
     rows = [("intercept", intercept)] + list(coef.items())
-    return spark.createDataFrame(rows, "term string, coefficient double")
+    return _rounded(spark.createDataFrame(rows, "term string, coefficient double"), ["coefficient"], 8)
 
 
 @query("train_random_forest")
 def q_train_random_forest(spark, sf):
+    """A forest and its node table, walked level by level: every test row gets the probability that the forest gives."""
+    depth = 5
+    model, _, test_rows = fitted_classifier(spark, sf, "random_forest", numTrees=10, maxDepth=depth)
+    scored = model.transform(test_rows).select(
+        "id", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p"))
+    walked = forest.score_nodes(scored, forest.forest_nodes(spark, model), depth)
+    both = scored.select("id", "p").join(walked, "id", "full")
+    return both.select("id", F.coalesce(F.abs(F.col("p") - F.col("probability")) < 1e-12, F.lit(False)).alias("same"))
+
+
+@query("forest_importance")
+def q_forest_importance(spark, sf):
     model, _, _ = fitted_classifier(spark, sf, "random_forest", numTrees=10, maxDepth=5)
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(FEATURES, imp)), "feature string, importance double")
@@ -413,10 +425,10 @@ def _prepared(spark, sf):
 def q_cross_validate(spark, sf):
     prep_model, prepared, test_rows = _prepared(spark, sf)
     try:
-        cvm = train.cross_validate(prepared, "logreg", SEARCH_GRIDS["logreg"])
+        found = train.cross_validate(prepared, "logreg", SEARCH_GRIDS["logreg"])
     finally:
         prepared.unpersist()
-    best = train.PipelineModel(stages=list(prep_model.stages) + [cvm.bestModel])
+    best = train.PipelineModel(stages=list(prep_model.stages) + [found.fit_best()])
     return score.score_batch(best, test_rows, keep=("label",))
 
 
@@ -443,7 +455,7 @@ def q_train_single(spark, sf):
     train_rows, test_rows = sample.split_hash(model_rows(spark, sf), "id", TEST_SIZE, SPLIT_SEED)
     stages = features.prep_stages(NUMERIC, CATEGORICAL, FEATURES)
     _, report = train.train_single(stages, train_rows, test_rows, "logreg", maxIter=50, regParam=0.1)
-    return report
+    return _rounded(report, ["f1", "accuracy"])
 
 
 # ---------------------------------------------------------------- 2.7 evaluation
@@ -485,7 +497,7 @@ def q_sanity_flags(spark, sf):
 def q_evaluate_model(spark, sf):
     model, _, test_rows = fitted_classifier(spark, sf, maxIter=50, regParam=0.01)
     loaded = files.load_model(files.save_model(model, scratch_path(spark, "model")))
-    return metrics.evaluate_model(loaded, test_rows, "logreg")
+    return _rounded(metrics.evaluate_model(loaded, test_rows, "logreg"), ["f1", "accuracy"])
 
 
 # ---------------------------------------------------------------- 2.8 scoring
@@ -493,7 +505,7 @@ def q_evaluate_model(spark, sf):
 @query("score_batch")
 def q_score_batch(spark, sf):
     model, _, _ = fitted_classifier(spark, sf, maxIter=50, regParam=0.01)
-    return score.score_batch(model, model_rows(spark, sf, with_label=False))
+    return _rounded(score.score_batch(model, model_rows(spark, sf, with_label=False)), ["probability"])
 
 
 @query("score_linear")
@@ -511,7 +523,7 @@ def q_score_stream(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink)
+    return _rounded(spark.read.parquet(sink), ["probability"])
 
 
 @query("score_requests")

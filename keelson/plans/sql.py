@@ -148,6 +148,64 @@ met AS (
 )"""
 
 
+def _logreg_ctes(reg: float, steps: int = 12) -> str:
+    """Ridge logistic regression on the training split by Newton steps.
+
+    ``newton`` is a recursive CTE: each step sums the d x d normal equations over the
+    standardised rows and solves them by Gauss-Jordan elimination on lists.
+    ``coefficients (b)`` has one list: the intercept, then the features.
+    """
+    d = len(FEATURES)
+    z = ["1.0::DOUBLE", *(f"(t.{f} - s.m{i}) / s.d{i}" for i, f in enumerate(FEATURES, 1))]
+    margin = " + ".join(f"n.b[{i + 1}] * z.z{i}" for i in range(d + 1))
+    grad = [f"sum((p - y) * z{i}) / count(*)" + (f" + {reg}::DOUBLE * any_value(b[{i + 1}])" if i else "") for i in range(d + 1)]
+    sums = {(i, j): f"sum(p * (1 - p) * z{i} * z{j}) / count(*)" for i in range(d + 1) for j in range(i, d + 1)}
+    curve = [[sums[min(i, j), max(i, j)] + (f" + {reg}::DOUBLE" if i == j and i else "") for j in range(d + 1)] for i in range(d + 1)]
+    matrix = "[" + ", ".join("[" + ", ".join([*row, f"-({g})"]) + "]" for row, g in zip(curve, grad)) + "]"
+    solved = f"(SELECT k, b, m FROM (SELECT k, any_value(b) AS b, {matrix} AS m FROM odds GROUP BY k))"
+    for i in range(1, d + 2):
+        solved = (f"(SELECT k, b, list_transform(m, lambda r, i: CASE WHEN i = {i}"
+                  f" THEN list_transform(r, lambda v: v / m[{i}][{i}])"
+                  f" ELSE list_transform(r, lambda v, j: v - r[{i}] / m[{i}][{i}] * m[{i}][j]) END) AS m FROM {solved})")
+    stats = ", ".join(f"avg({f}) AS m{i}, stddev_samp({f}) AS d{i}" for i, f in enumerate(FEATURES, 1))
+    betas = ", ".join(f"n.b[{i + 1}] / s.d{i}" for i in range(1, d + 1))
+    intercept = "n.b[1] - (" + " + ".join(f"n.b[{i + 1}] * s.m{i} / s.d{i}" for i in range(1, d + 1)) + ")"
+    return f"""{FEATURE_TABLE_CTES},
+moments AS (SELECT {stats} FROM feature_table WHERE split = 'train'),
+z AS (
+  SELECT t.label AS y, {", ".join(f"{e} AS z{i}" for i, e in enumerate(z))}
+  FROM feature_table t CROSS JOIN moments s WHERE t.split = 'train'
+),
+newton(k, b) AS (
+  SELECT 0, list_transform(range({d + 1}), lambda i: 0.0::DOUBLE)
+  UNION ALL
+  SELECT k + 1, list_transform(b, lambda v, i: v + m[i][{d + 2}]) FROM (
+    WITH odds AS (SELECT n.k, n.b, z.*, 1 / (1 + exp(-({margin}))) AS p FROM newton n CROSS JOIN z WHERE n.k < {steps})
+    SELECT * FROM {solved}
+  )
+),
+coefficients AS (
+  SELECT [{intercept}, {betas}] AS b FROM newton n CROSS JOIN moments s WHERE n.k = {steps}
+),
+model_scored AS (
+  SELECT id, split, label, probability,
+         CASE WHEN probability > 0.5::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+  FROM (SELECT t.id, t.split, t.label, 1 / (1 + exp(-(c.b[1] + {" + ".join(f"c.b[{i + 1}] * t.{f}" for i, f in enumerate(FEATURES, 1))}))) AS probability
+        FROM feature_table t CROSS JOIN coefficients c)
+)"""
+
+
+def _logreg_report(reg: float) -> str:
+    """``evaluate_model``'s row for that regression on the test split."""
+    test = "(SELECT 1 AS g, * FROM model_scored WHERE split = 'test')"
+    return _w(f"{_logreg_ctes(reg)},\n{_metrics_ctes(test, 'g')}", """
+        SELECT 'logreg' AS algorithm, 'LogisticRegressionModel' AS model_class, round(f1, 6) AS f1,
+               round(accuracy, 6) AS accuracy, n,
+               (SELECT count(*) FROM per_class WHERE p > 0) = 1 AS degenerate,
+               CASE WHEN accuracy = 0 THEN 'incompatible' WHEN accuracy > 0.95 THEN 'leakage_suspected' ELSE 'ok' END AS sanity
+        FROM met""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _scorer_grid_cte() -> str:
     parts = ["SELECT 'linear' AS scorer, 0 AS seq, id, label, prediction FROM ts"]
     seq = 1
@@ -317,6 +375,18 @@ def oracle_sql() -> dict[str, str]:
     q["write_report_json"] = _w(f"{LINEAR_CTES},\n{_metrics_ctes('(SELECT 1 AS g, * FROM test_scored)', 'g')}",
                                 "SELECT 'linear' AS algorithm, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy FROM met")
 
+    # 2.6 to 2.8: the regression's optimum does not depend on who finds it
+    fitted = lambda body, reg=0.01: _w(_logreg_ctes(reg), body).replace("WITH ", "WITH RECURSIVE ", 1)
+    terms = ", ".join(f"'{t}'" for t in ["intercept", *FEATURES])
+    q["train_logreg"] = fitted(f"""
+        SELECT term, round(coefficient, 8) AS coefficient
+        FROM (SELECT unnest([{terms}]) AS term, unnest(b) AS coefficient FROM coefficients)""")
+    q["score_batch"] = fitted("SELECT id, prediction, round(probability, 6) AS probability FROM model_scored")
+    q["score_stream"] = q["score_batch"]
+    q["evaluate_model"] = _logreg_report(0.01)
+    q["train_single"] = _logreg_report(0.1)
+    q["train_random_forest"] = _w(f"{MODEL_ROWS},\n{TAGGED}", "SELECT id, true AS same FROM tagged WHERE split = 'test'")
+
     # 2.2 projection, filter, schema
     q["cast_numeric"] = _w(DIRTY_EVENTS, "SELECT event_id, TRY_CAST(value AS DOUBLE) AS value_num FROM dirty")
     q["rename_label"] = mr("SELECT id, label AS target FROM model_rows")

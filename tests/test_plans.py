@@ -13,7 +13,7 @@ BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Arr
 # Queries that fit models run jobs while being planned; their scoring plans are
 # covered through score_batch / evaluate_model style queries below.
 FITTING = {"train_logreg", "train_random_forest", "cross_validate", "cv_trials", "select_best_model",
-           "train_single"}
+           "train_single", "forest_importance"}
 
 
 def plan_of(df) -> str:

@@ -18,9 +18,17 @@ def _slot(key: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(0x5EED)), F.lit(bits))
 
 
-def _bit(position: Column) -> Column:
-    """The bit of ``__bitmap`` at ``position`` (0 to 32767)."""
-    byte = F.conv(F.hex(F.substring("__bitmap", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+def _free(name: str, rows: DataFrame) -> str:
+    """``name``, longer until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _bit(position: Column, bitmap: str = "__bitmap") -> Column:
+    """The bit of the bitmap at ``position`` (0 to 32767)."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.call_function("shiftright", byte, F.pmod(position, F.lit(8)).cast("int")).bitwiseAND(1)
 
 
@@ -32,11 +40,18 @@ def build(keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
     )
 
 
+def _probed(rows: DataFrame, slot: Column, bitmap: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """``rows`` with the bitmap's part for their slot, and the bit there."""
+    bucket, bits = _free("__bucket", rows), _free("__bitmap", rows)
+    shared = bitmap.select(F.col("__bucket").alias(bucket), F.col("__bitmap").alias(bits))
+    probed = rows.withColumn(bucket, F.bitmap_bucket_number(slot)).join(F.broadcast(shared), bucket, how)
+    return probed, _bit(F.bitmap_bit_position(slot), bits)
+
+
 def maybe_in(rows: DataFrame, key: str, bitmap: DataFrame, bits: int = BITS) -> DataFrame:
     """The rows whose key may be in the set (all that are, and a few that are not)."""
-    slot = _slot(F.col(key), bits)
-    probed = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "__bucket")
-    return probed.filter(_bit(F.bitmap_bit_position(slot)) != 0).select(*rows.columns)
+    probed, bit = _probed(rows, _slot(F.col(key), bits), bitmap, "inner")
+    return probed.filter(bit != 0).select(*rows.columns)
 
 
 def without(rows: DataFrame, key: str, dropped: DataFrame, bits: int = BITS) -> DataFrame:
@@ -47,16 +62,14 @@ def without(rows: DataFrame, key: str, dropped: DataFrame, bits: int = BITS) ->
     """
     unsure, sure = split(rows, key, dropped, bits)
     # An outer join, as Spark would push an anti join below the bitmap's and shuffle every row.
-    gone = dropped.select(F.col(key).alias("__gone")).distinct()
-    left = unsure.join(gone, F.col(key) == F.col("__gone"), "left").filter(F.col("__gone").isNull()).select(*rows.columns)
+    name = _free("__gone", rows)
+    gone = dropped.select(F.col(key).alias(name)).distinct()
+    left = unsure.join(gone, F.col(key) == F.col(name), "left").filter(F.col(name).isNull()).select(*rows.columns)
     return sure.unionByName(left)
 
 
 def split(rows: DataFrame, key: str, keys: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """``rows`` in two: those whose key may be in ``keys (key)``, and those whose key is not."""
-    slot = _slot(F.col(key), bits)
-    probed = rows.withColumn("__bucket", F.bitmap_bucket_number(slot)).join(
-        F.broadcast(build(keys, key, bits)), "__bucket", "left"
-    )
-    hit = F.coalesce(_bit(F.bitmap_bit_position(slot)) != 0, F.lit(False))
+    probed, bit = _probed(rows, _slot(F.col(key), bits), build(keys, key, bits), "left")
+    hit = F.coalesce(bit != 0, F.lit(False))
     return probed.filter(hit).select(*rows.columns), probed.filter(~hit).select(*rows.columns)

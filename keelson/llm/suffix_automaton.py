@@ -21,8 +21,10 @@ are built of reference shards, each only of text that can repeat.
    automata by a hash of the document. What is new to them goes on to a round
    of at most half as many, until one automaton has seen all that was new.
 
-Defined results: a null text has no bytes; ids must be integers; a null id
-comes after all others; rows that repeat an id are one document.
+Defined results: a null text has no bytes; a null id comes after all others;
+rows that repeat id and text are one document; rows that share an id (or null)
+but not the text are documents of their own, in the order of a digest of their
+texts, after all smaller ids (``docids``).
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm import keyset, winnow
+from keelson.llm import docids, keyset, winnow
 from keelson.llm import textbytes as tb
 from keelson.llm.scratch import stored
 
@@ -43,7 +45,7 @@ GRAM = 32
 SHARD_BYTES = 8 << 20
 FLUSH = 1_000_000
 CHUNK_BYTES = 1 << 20
-_LAST = (1 << 63) - 1
+_UNDEALT = (1 << 63) - 1
 _TABLE = tb.randoms(256, 5)
 
 
@@ -126,6 +128,64 @@ class SuffixAutomaton:
         return found
 
 
+class Stream:
+    """The texts of a shard so far: their automaton, and those with which a new text begins or ends alike.
+
+    A text that begins with the first ``span`` bytes of an earlier one is
+    compared with it directly up to the first difference, and likewise from
+    its end; only what lies between goes through the automaton.
+    """
+
+    def __init__(self, span: int):
+        self.span = span
+        self.automaton = SuffixAutomaton()
+        self._seen: set[bytes] = set()
+        self._heads: dict[bytes, bytes] = {}
+        self._tails: dict[bytes, bytes] = {}
+
+    def matches(self, text: bytes) -> list[tuple[int, int]]:
+        """Maximal runs of window starts (first, last) whose bytes an earlier text has."""
+        n, span = len(text), self.span
+        if text in self._seen:
+            return [(0, n - span)]
+        head, tail = self._heads.get(text[:span]), self._tails.get(text[-span:])
+        front = _alike(text, head, False) if head is not None else 0
+        back = n - _alike(text, tail, True) if tail is not None else n
+        lo, hi = (front - span + 1 if front else 0), (back if back < n else n - span + 1)  # window starts in between
+        runs = [(0, front - span)] if front else []
+        if lo < hi:
+            found = self.automaton.matches(text[lo : hi - 1 + span], span)
+            runs += [(lo + first, lo + last) for first, last in found]
+        if back < n:
+            runs.append((min(back, max(lo, hi)), n - span))
+        merged: list[tuple[int, int]] = []
+        for first, last in runs:
+            if merged and first <= merged[-1][1] + 1:
+                merged[-1] = (merged[-1][0], max(last, merged[-1][1]))
+            else:
+                merged.append((first, last))
+        return merged
+
+    def add(self, texts: list[bytes], new: list[bytes]) -> None:
+        """``texts`` were streamed; ``new`` are their parts that did not match."""
+        self._seen.update(texts)
+        for text in texts:
+            self._heads[text[: self.span]] = text
+            self._tails[text[-self.span :]] = text
+        for part in new:
+            self.automaton.add(part)
+
+
+def _alike(a: bytes, b: bytes, from_end: bool) -> int:
+    """How many bytes two texts share at their beginning, or end."""
+    n = min(len(a), len(b))
+    x, y = (np.frombuffer(t, np.uint8) for t in (a, b))
+    x, y = (x[::-1][:n], y[::-1][:n]) if from_end else (x[:n], y[:n])
+    other = x != y
+    at = int(other.argmax())
+    return at if other[at] else n
+
+
 def byte_grams(buf: np.ndarray, size: int = GRAM) -> np.ndarray:
     """A hash of every ``size`` (a power of two) successive bytes."""
     h = _TABLE[buf]
@@ -283,21 +343,18 @@ def _streamed(segments: DataFrame, shards: int, span: int) -> DataFrame:
         data = table["data"]
         spans: list[tuple[int, int, int]] = []
         fresh: list[tuple[int, int, int, bytes, int]] = []
-        automaton, key, n, i = SuffixAutomaton(), None, len(ref), 0
-        seen: set[bytes] = set()
+        earlier, key, n, i = Stream(span), None, len(ref), 0
         while i < n:
             if key != (ref[i], deal[i]):
                 key = (ref[i], deal[i])
-                automaton, seen = SuffixAutomaton(), set()
+                earlier = Stream(span)
             j = i
             new: list[tuple[int, bytes]] = []
             texts: list[bytes] = []
             # All segments of a document are streamed before any of them is added.
             while j < n and (ref[j], deal[j]) == key and doc[j] == doc[i]:
                 text, at = data[j].as_py(), 0
-                # Equal segments have equal statistics: all of one that was streamed matches.
-                runs = [(0, len(text) - span)] if text in seen else automaton.matches(text, span)
-                for first, last in runs:
+                for first, last in earlier.matches(text):
                     spans.append((doc[i], int(start[j]) + first, int(start[j]) + last + span))
                     if first > at:
                         new.append((int(start[j]) + at, text[at : first - 1 + span]))
@@ -306,9 +363,8 @@ def _streamed(segments: DataFrame, shards: int, span: int) -> DataFrame:
                     new.append((int(start[j]) + at, text[at:]))
                 texts.append(text)
                 j += 1
-            seen.update(texts)
+            earlier.add(texts, [text for _, text in new])
             for at, text in new:
-                automaton.add(text)
                 if deal[i] >= 0:
                     fresh.append((ref[i], doc[i], at, text, deals[i]))
             i = j
@@ -332,7 +388,7 @@ def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text
         raise ValueError(f"span must be {GRAM} bytes or more")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    keyed = rows.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"), "text")
+    keyed = docids.keyed(rows)
     parts = max(8, rows.rdd.getNumPartitions())
 
     def find(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -340,8 +396,9 @@ def remove_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text
 
     bitmap = winnow.repeated(rows.select("text"), find, 2 * parts, CHUNK_BYTES)
     lists = stored(_assigned(_packed_anchors(keyed.select("doc", "text"), bitmap, parts, span), parts), "anchors")
+    # A document's repeated rows are one here.
     listed = keyset.split(keyed, "doc", lists.select("doc"))[0].select("doc", "text").join(lists, "doc")
-    segments = stored(_segments(listed, span).withColumn("deals", F.lit(_LAST)), "segments")
+    segments = stored(_segments(listed, span).withColumn("deals", F.lit(_UNDEALT)), "segments")
 
     found = None
     while True:

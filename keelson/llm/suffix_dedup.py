@@ -19,8 +19,10 @@ starts at (smallest id, then earliest). The suffixes that can tell are sorted:
 Words are maximal runs without ASCII white space, unchanged, compared by 48
 bits of a hash each (windows that differ in one word only are confused with a
 chance of 2^-48). Defined results: a null text has no words; a text shorter
-than a window loses nothing; rows that repeat an id are one document; null ids
-come last.
+than a window loses nothing; null ids come last; rows that repeat id and text
+are one document; rows that share an id (or null) but not the text are
+documents of their own, in the order of a digest of their texts, after all
+smaller ids (``docids``).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm import keyset, winnow
+from keelson.llm import docids, keyset, winnow
 from keelson.llm import textbytes as tb
 from keelson.llm.scratch import stored
 
@@ -206,7 +208,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """
     if not GRAM <= window <= GRAM + 31:
         raise ValueError(f"window must be {GRAM} to {GRAM + 31} words")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    id_type = given.schema["doc_id"].dataType.simpleString()
+    keyed = docids.keyed(given)
+    rows = keyed.select(F.col("doc").alias("doc_id"), "text")
     parts = max(8, 2 * rows.rdd.getNumPartitions())
 
     def find(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -234,9 +239,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     # Texts without a mark never move.
     ids = by_doc.select(F.col("doc_id").alias("m_id"), "marks")
-    maybe, surely_not = keyset.split(rows, "doc_id", by_doc.select("doc_id"))
-    joined = maybe.join(ids, F.col("doc_id").eqNullSafe(F.col("m_id")), "left").drop("m_id")
-    plain = surely_not.withColumn("marks", F.lit(None).cast(ids.schema["marks"].dataType))
+    maybe, surely_not = keyset.split(keyed, "doc", by_doc.select(F.col("doc_id").alias("doc")))
+    joined = maybe.join(ids, F.col("doc") == F.col("m_id"), "left").select("doc_id", "text", "marks")
+    plain = surely_not.select("doc_id", "text", F.lit(None).cast(ids.schema["marks"].dataType).alias("marks"))
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +269,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                     ["doc_id", "n_words", "removed", "kept_text"],
                 )
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words bigint, removed array<struct<start:int,end:int>>, kept_text string"
     return joined.mapInArrow(tb.task(cut), schema).unionByName(plain.mapInArrow(tb.task(cut), schema))

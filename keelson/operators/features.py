@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.aggregate import long_form, mean_values, median_values, mode_values, number
-from keelson.operators.quantiles import quantile_summary, sketch_columns
+from keelson.operators.quantiles import quantile_summary
 
 STRATEGIES = ("mean", "median", "mode")
 OTHER = "__other__"
@@ -192,9 +192,8 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
     (nulls included). From that small table come the means, the modes
     (count desc, then smallest value) and the index labels of the mode-filled
     columns (frequency desc, ties alphabetical) — what separate imputer and
-    ``StringIndexer`` fits compute in three scans. With ``median`` the same
-    scan also aggregates the quantile sketch, and one more scan makes the
-    medians exact.
+    ``StringIndexer`` fits compute in three scans. With ``median`` the
+    quantiles' two scans (sketch, exact) follow.
     """
 
     @keyword_only
@@ -217,12 +216,11 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         fallback = json.loads(self.getOrDefault(self.categoricalFallback))
         if strategy not in ("mean", "median"):
             raise ValueError(f"unknown numeric strategy {strategy!r}")
-        stats = _table_stats(dataset, numeric, categorical, with_sketch=strategy == "median")
+        stats = _table_stats(dataset, numeric, categorical)
         if strategy == "mean":
             fills = {c: (stats["sum"][c] / stats["count"][c] if stats["count"].get(c) else 0.0) for c in numeric}
         else:
-            # Pass 1 of the exact median rode along in the stats scan; one more scan resolves it.
-            res = quantile_summary(long_form(dataset, numeric), [0.5], sketches=stats["sketch"])
+            res = quantile_summary(long_form(dataset, numeric), [0.5])
             fills = {c: (res[c].values[0] if c in res and res[c].n > 0 else 0.0) for c in numeric}
         modes, labels = {}, []
         for c in categorical:
@@ -254,8 +252,7 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
         return PipelineModel(stages=stages)
 
 
-def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 with_sketch: bool = False) -> dict:
+def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
     """One scan: per numeric column (count, sum; NaN is missing); per
     categorical column the count of every value. The result holds numeric
     columns + categories, what a fitted ``StringIndexer`` keeps on the driver
@@ -264,24 +261,19 @@ def _table_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
             for c in numeric}
     cols.update({c: F.struct(F.col(c).cast("string").alias("v"), F.lit(None).cast("double").alias("x"))
                  for c in categorical})
-    out = {"count": {}, "sum": {}, "values": {}, "sketch": {}}
+    out = {"count": {}, "sum": {}, "values": {}}
     if not cols:
         return out
     long = df.select(*[e.alias(c) for c, e in cols.items()]).unpivot([], list(cols), "feature", "val")
-    # Numeric columns are one group each (v is null), so a median's pass-1
-    # sketch can be aggregated in the same scan.
-    extra = sketch_columns(F.col("val.x"), [0.5]) if with_sketch else []
+    # Numeric columns are one group each (v is null).
     grouped = (long.groupBy("feature", F.col("val.v").alias("v"))
-               .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n_rows"),
-                    *extra))
+               .agg(F.count("val.x").alias("nx"), F.sum("val.x").alias("sx"), F.count(F.lit(1)).alias("n_rows")))
     num = set(numeric)
     rows = grouped.collect()
     for r in rows:
         if r["feature"] in num:
             out["count"][r["feature"]] = r["nx"]
             out["sum"][r["feature"]] = r["sx"]
-            if with_sketch:
-                out["sketch"][r["feature"]] = r
         else:
             out["values"].setdefault(r["feature"], {})[r["v"]] = r["n_rows"]
     return out

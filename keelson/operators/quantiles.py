@@ -6,9 +6,11 @@ continuous column at 100 TB. Here exact order statistics are found in two
 scans, neither of which holds more than a narrow slice of the data:
 
 1. one aggregation per key: ``count``, ``min``, ``max`` and a mergeable
-   ``percentile_approx`` sketch at ``p ± 3/accuracy`` for every requested
-   probability. The sketch's rank error is at most ``n/accuracy``, so the
-   two sketch values bracket the wanted order statistic.
+   KLL sketch of size ``accuracy``, read at ``p`` plus and minus twice its
+   rank error for every requested probability: the two sketch values bracket
+   the wanted order statistic. Sketches merge in two levels, by key and a salt
+   of the task, then by key, so one feature's reducer gets ``SALTS`` sketches
+   however many tasks there are.
 2. one scan that classifies every value by a chain of literal comparisons
    against the merged brackets of its key (left of / inside / right of
    each bracket — whole-stage codegen, no per-row arrays) and counts
@@ -17,15 +19,17 @@ scans, neither of which holds more than a narrow slice of the data:
    (key, bracket) walks the values inside in order and picks the one whose
    cumulative rank reaches the target.
 
-Each bracket holds about ``6·n/accuracy`` rows (fewer distinct values after
+Each bracket holds about six rank errors, near ``14·n/accuracy^0.9`` rows (fewer distinct values after
 map-side combine); ties collapse into one ``(value, count)`` row, so a value
 holding a third of all rows costs one row. When ``n`` is so large that a
 bracket could exceed ``max_walk`` rows, refinement scans first narrow it with
 an equal-width histogram of 1,024 buckets per bracket (count, min and max per
-bucket; the bucket holding the rank becomes the bracket), so no window
-partition ever holds more than ``max_walk`` rows, whatever the table size.
+bucket; the bucket holding the rank becomes the bracket). Every round divides
+a bracket's value range by up to 1,024; they go on while one narrows, so a
+window partition holds ``max_walk`` rows at most, or the rows of values that
+are neighbours among doubles, counted by value.
 Brackets are verified (rows below ≤ rank < rows below + rows inside); a
-failing target is retried with a 10x and a 100x wider bracket from the same
+failing target is retried with a 3x and a 30x wider bracket from the same
 sketch, and only as a last resort with ``[min, max]``, which is exact
 regardless of the sketch. Keys of at most ``accuracy`` values start with
 ``[min, max]``: their sketch brackets would be about a rank wide.
@@ -49,7 +53,9 @@ DEFAULT_ACCURACY = 20_000
 # brackets are narrowed first by histogram refinement.
 MAX_WALK = 1_000_000
 REFINE_BUCKETS = 1024
-MAX_REFINE_ROUNDS = 6
+MAX_REFINE_ROUNDS = 200  # a bracket of doubles cannot be narrowed more often; rounds end when none narrows
+# Sketches a key's last merge gets.
+SALTS = 64
 
 
 def _merge(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -225,30 +231,48 @@ class QuantileSummary:
     count_below: list[int | None]
 
 
+def _size(accuracy: int) -> int:
+    return min(65_535, max(8, accuracy))
+
+
+def _rank_error(accuracy: int) -> float:
+    """Share of the ranks by which a KLL sketch of this size is off, with 99 % confidence (from its published fit)."""
+    return min(1.0, 2.296 / _size(accuracy) ** 0.9021)
+
+
 def _deltas(accuracy: int) -> list[float]:
-    # Bracket levels, narrowest first: p ± 3/acc, ± 30/acc, ± 300/acc (then [min, max]).
-    return [3.0 / accuracy, 30.0 / accuracy, 300.0 / accuracy]
+    # Bracket levels, narrowest first: 2, 6 and 60 rank errors (then [min, max]).
+    return [k * _rank_error(accuracy) for k in (2.0, 6.0, 60.0)]
 
 
 def sketch_probabilities(probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> list[float]:
-    """The ``percentile_approx`` probabilities pass 1 needs for ``probs``."""
+    """The ranks at which pass 1 reads the sketch for ``probs``."""
     return sorted({min(1.0, max(0.0, float(p) + s * d)) for p in probs for d in _deltas(accuracy)
                    for s in (-1.0, 1.0)})
 
 
-def sketch_columns(x, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> list:
-    """Pass-1 aggregate expressions over a value column ``x`` (null/NaN
-    ignored) — to be computed inside any grouped aggregation keyed by the
-    quantile key, so pass 1 can share a scan with other statistics."""
-    xv = F.when(x.isNotNull() & ~F.isnan(x), x)
-    return [F.count(xv).alias("n"), F.count(F.lit(1)).alias("n_all"), F.min(xv).alias("mn"),
-            F.max(xv).alias("mx"), F.percentile_approx(xv, sketch_probabilities(probs, accuracy), accuracy)
-            .alias("approx")]
+def sketched(raw: DataFrame, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Pass 1 over ``_k, _x``: ``_k, n, n_all, mn, mx, approx`` (null and NaN are not values).
+
+    Two exchanges: by key and salt, where the tasks' sketches meet, and by key.
+    """
+    size = F.lit(_size(accuracy))
+    value = F.when(F.col("_x").isNotNull() & ~F.isnan("_x"), F.col("_x"))
+    salted = raw.select("_k", value.alias("v"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
+    parts = salted.groupBy("_k", "salt").agg(
+        F.count("v").alias("n"), F.count(F.lit(1)).alias("n_all"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+        F.kll_sketch_agg_double("v", size).alias("sketch"))
+    merged = parts.groupBy("_k").agg(
+        F.sum("n").alias("n"), F.sum("n_all").alias("n_all"), F.min("mn").alias("mn"), F.max("mx").alias("mx"),
+        F.kll_merge_agg_double("sketch", size).alias("sketch"))
+    ranks = F.array(*[F.lit(p) for p in sketch_probabilities(probs, accuracy)])
+    return merged.select("_k", "n", "n_all", "mn", "mx",
+                         F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("approx"))
 
 
 def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "feature",
                      value: str = "x", accuracy: int = DEFAULT_ACCURACY,
-                     max_walk: int = MAX_WALK, sketches: dict | None = None) -> dict[str, QuantileSummary]:
+                     max_walk: int = MAX_WALK) -> dict[str, QuantileSummary]:
     """Exact linear-interpolated quantiles of ``value`` per ``key`` with
     the number of values below each one (enough to count any bin between
     quantiles without another scan). A bounded summary: keys x probs.
@@ -263,14 +287,10 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
     valid = F.col("_x").isNotNull() & ~F.isnan("_x")
     deltas = _deltas(accuracy)
     side = sketch_probabilities(probs, accuracy)
-    if sketches is None:
-        rows = raw.groupBy("_k").agg(*sketch_columns(F.col("_x"), probs, accuracy)).collect()
-        sketches = {r["_k"]: r for r in rows}
-    stats = [dict(_k=k, n=r["n"], n_all=r["n_all"], mn=r["mn"], mx=r["mx"], approx=r["approx"])
-             for k, r in sketches.items()]
+    stats = [r.asDict() for r in sketched(raw, probs, accuracy).collect()]
 
     levels: list[dict[tuple[str, int], tuple[int, float, float]]] = [{} for _ in range(len(deltas) + 1)]
-    level_widths = [2 * d + 2.0 / accuracy for d in deltas] + [1.0]
+    level_widths = [2 * (d + _rank_error(accuracy)) for d in deltas] + [1.0]
     n_of = {r["_k"]: r["n"] for r in stats}
     layout: dict[str, tuple[int, int, list[tuple[int, int, float]]]] = {}
     for r in stats:
@@ -289,7 +309,7 @@ def quantile_summary(long_df: DataFrame, probs: Sequence[float], key: str = "fea
                 a, b = approx[max(0.0, p - d)], approx[min(1.0, p + d)]
                 brackets.append((mn if p - d <= 0 else min(a, b), mx if p + d >= 1 else max(a, b)))
             brackets.append((mn, mx))
-            if n <= accuracy:  # a sketch bracket would be under a few ranks wide and miss a neighbour
+            if n <= _size(accuracy):  # a sketch bracket would be under a few ranks wide and miss a neighbour
                 brackets = [(mn, mx)] * len(brackets)
             for rank in (r0, r1):
                 if rank not in rank_tid:

@@ -1,18 +1,22 @@
 """Run log, best-run lookup, model versions and the retrain gate as tables.
 
-Runs and model versions are ordinary Parquet tables. Parquet has no update,
-so promoting a version writes a new snapshot of the versions table; the
-snapshot is computed by one projection plus a one-row aggregate (no join).
+Runs and model versions are snapshot tables (``snapshots``): Parquet has no
+update, so appending runs or promoting a version commits a new snapshot, and
+of two writers at once the second starts again from the first one's. A
+version snapshot is computed by one projection plus a one-row aggregate (no
+join).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.operators.snapshots import SnapshotTable
+
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("parent_run_id", T.StringType(), True),
@@ -42,17 +46,23 @@ def run_id(experiment, name) -> F.Column:
     return F.md5(F.concat_ws(":", experiment, name))
 
 
+def runs_table(spark: SparkSession, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, RUN_SCHEMA)
+
+
+def versions_table(spark: SparkSession, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, VERSION_SCHEMA)
+
+
 def run_log(runs: DataFrame, path: str) -> DataFrame:
-    """Append run rows (``RUN_SCHEMA``) to the Parquet runs table at ``path``
-    and return the table as now stored. A run id that is stored already is
-    not written again, so a retried driver leaves one row for each run."""
-    spark = runs.sparkSession
+    """Append run rows (``RUN_SCHEMA``) to the runs table at ``path`` and
+    return the table as now stored. A run id that is stored already is not
+    written again, so a retried driver leaves one row for each run, and so do
+    writers that log at the same time."""
+    table = runs_table(runs.sparkSession, path)
     new = runs.select(*[F.col(f.name).cast(f.dataType) for f in RUN_SCHEMA.fields]).dropDuplicates(["run_id"])
-    # An empty append makes the table when there is none yet.
-    spark.createDataFrame([], RUN_SCHEMA).write.mode("append").parquet(path)
-    stored = spark.read.schema(RUN_SCHEMA).parquet(path)
-    new.join(stored.select("run_id"), "run_id", "left_anti").select(*RUN_SCHEMA.fieldNames()).write.mode("append").parquet(path)
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    table.commit(lambda stored: new.join(stored.select("run_id"), "run_id", "left_anti"), append=True)
+    return table.read()
 
 
 def runs_from_trials(trials: DataFrame, experiment: str, parent: str = "search",
@@ -127,6 +137,35 @@ def promote_version(versions: DataFrame, model_name: str, run: str | DataFrame)
     return updated.unionByName(new)
 
 
+def store_versions(versions: DataFrame, path: str) -> None:
+    """Start the versions table at ``path``; does nothing to one that has rows."""
+    table = versions_table(versions.sparkSession, path)
+    if not table.version():
+        table.commit(lambda stored: versions if stored.limit(1).count() == 0 else stored)
+
+
+def promote(spark: SparkSession, path: str, model_name: str, run: str | DataFrame) -> DataFrame:
+    """``promote_version`` on the stored table: commits the new snapshot and returns it. Where the newest
+    version is this run's and in Production nothing changes, so a retried driver makes no second version."""
+    table = versions_table(spark, path)
+
+    def change(stored: DataFrame) -> DataFrame:
+        wanted = run if isinstance(run, str) else run.select("run_id").first()[0]
+        newest = stored.where(F.col("name") == model_name).orderBy(F.desc("version")).first()
+        again = newest is not None and (newest["stage"], newest["run_id"]) == (PRODUCTION, wanted)
+        return stored if again else promote_version(stored, model_name, wanted)
+
+    table.commit(change)
+    return table.read()
+
+
+def production_run(spark: SparkSession, path: str, model_name: str) -> str | None:
+    """The run id of the Production version."""
+    rows = versions_table(spark, path).read()
+    found = rows.where((F.col("name") == model_name) & (F.col("stage") == PRODUCTION)).select("run_id").first()
+    return found and found[0]
+
+
 def retrain_decision(drift: DataFrame, enabled: bool = True) -> DataFrame:
     """One row: ``any_drift, retrain_enabled, decision`` from a drift report."""
     any_drift = F.coalesce(F.bool_or("drift"), F.lit(False))

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from keelson.functions import hash_unit
 from keelson.operators import aggregate as agg
-from keelson.operators import clean, drift, features, forest, metrics, registry, sample, score, train
+from keelson.operators import chain, clean, drift, features, forest, metrics, registry, sample, score, train
 from keelson.plans.fixtures import (
     CATEGORICAL,
     EVENTS_CONTRACT,
@@ -305,15 +305,15 @@ def q_limit_sample(spark, sf):
 
 @query("split_rand")
 def q_split_rand(spark, sf):
-    # The same seeded draw as sample.split_rand, as a split column: one pass.
-    return sample.rand_split_column(model_rows(spark, sf), TEST_SIZE, SPLIT_SEED).select("id", "split")
+    # A draw of exact size within each label.
+    tr, te = sample.split_random(model_rows(spark, sf), TEST_SIZE, SPLIT_SEED, key="id", by=("label",))
+    return (tr.select("id", "label", F.lit("train").alias("split"))
+            .unionByName(te.select("id", "label", F.lit("test").alias("split"))))
 
 
 @query("split_random")
 def q_split_random(spark, sf):
-    tr, te = sample.split_random(model_rows(spark, sf), TEST_SIZE, SPLIT_SEED)
-    return (tr.select("id", F.lit("train").alias("split"))
-            .unionByName(te.select("id", F.lit("test").alias("split"))))
+    return sample.exact_split_column(model_rows(spark, sf), "id", TEST_SIZE, SPLIT_SEED).select("id", "split")
 
 
 @query("split_hash")
@@ -328,7 +328,7 @@ def q_kfold_assign(spark, sf):
 
 @query("shuffle_rows")
 def q_shuffle_rows(spark, sf):
-    return sample.shuffle_rows(model_rows(spark, sf).select("id", "label"), SAMPLE_SEED)
+    return sample.shuffle_rows(model_rows(spark, sf).select("id", "label"), SAMPLE_SEED, key="id")
 
 
 # ---------------------------------------------------------------- 2.5 imputation and features
@@ -655,10 +655,26 @@ def q_promote_version(spark, sf):
     runs = logged_runs(spark, sf)
     versions = registry.register_versions(runs, MODEL_NAME)
     best = registry.best_run(runs, EXPERIMENT, "f1")
-    return registry.promote_version(versions, MODEL_NAME, best)
+    path = scratch_path(spark, "versions")
+    registry.store_versions(versions, path)
+    return registry.promote(spark, path, MODEL_NAME, best)
 
 
 @query("retrain_gate")
 def q_retrain_gate(spark, sf):
     base, cur = drift_long(spark, sf)
     return registry.retrain_decision(drift.drift_report_long(base, cur), enabled=True)
+
+
+@query("retrain_chain")
+def q_retrain_chain(spark, sf):
+    """The chain after a retrain decision: every stage runs once; started again it takes what is recorded."""
+    root = scratch_path(spark, "retrain")
+    prep = features.feature_pipeline(NUMERIC, CATEGORICAL, FEATURES)
+    stages = chain.retrain_stages(spark, model_rows(spark, sf), prep, root, MODEL_NAME, EXPERIMENT,
+                                  test_size=TEST_SIZE, seed=SPLIT_SEED, maxIter=50, regParam=0.01)
+    source = [f"{sf}/orders.parquet"]
+    first = chain.retrain(spark, root, stages, source, MODEL_NAME)
+    again = chain.retrain(spark, root, stages, source, MODEL_NAME)
+    both = first.withColumn("start", F.lit(1)).unionByName(again.withColumn("start", F.lit(2)))
+    return _rounded(both, ["f1", "accuracy"])

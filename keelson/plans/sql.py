@@ -385,8 +385,21 @@ def oracle_sql() -> dict[str, str]:
     q["score_stream"] = q["score_batch"]
     q["evaluate_model"] = _logreg_report(0.01)
     q["train_single"] = _logreg_report(0.1)
+    q["retrain_chain"] = f"""
+        SELECT CAST(start AS INTEGER) AS start, CAST(seq AS INTEGER) AS seq, stage, start = 1 AS ran, 1 AS version, f1, accuracy
+        FROM ({_logreg_report(0.01)}) r,
+             (SELECT unnest(range(1, 5)) AS seq, unnest(['split', 'train', 'evaluate', 'register']) AS stage) s,
+             (SELECT unnest([1, 2]) AS start) t"""
     q["train_random_forest"] = _w(f"{MODEL_ROWS},\n{TAGGED}", "SELECT id, true AS same FROM tagged WHERE split = 'test'")
 
+    # 2.4 keyed permutations and splits of exact size
+    draw = lambda seed: f"ORDER BY {hash_unit('id', seed)}, id"
+    q["shuffle_rows"] = mr(f"SELECT id, label, row_number() OVER ({draw(cat.SAMPLE_SEED)}) - 1 AS position FROM model_rows")
+    side = lambda over, n: (f"CASE WHEN row_number() OVER ({over} {draw(SPLIT_SEED)}) <= "
+                            f"CAST(round({n} * {cat.TEST_SIZE}::DOUBLE) AS BIGINT) THEN 'test' ELSE 'train' END AS split")
+    q["split_random"] = mr(f"SELECT id, {side('', 'count(*) OVER ()')} FROM model_rows")
+    q["split_rand"] = mr(f"SELECT id, label, {side('PARTITION BY label', 'count(*) OVER (PARTITION BY label)')} FROM model_rows")
+
     # 2.2 projection, filter, schema
     q["cast_numeric"] = _w(DIRTY_EVENTS, "SELECT event_id, TRY_CAST(value AS DOUBLE) AS value_num FROM dirty")
     q["rename_label"] = mr("SELECT id, label AS target FROM model_rows")

@@ -265,7 +265,7 @@ def sketched(raw: DataFrame, probs: Sequence[float], accuracy: int = DEFAULT_ACC
     merged = parts.groupBy("_k").agg(
         F.sum("n").alias("n"), F.sum("n_all").alias("n_all"), F.min("mn").alias("mn"), F.max("mx").alias("mx"),
         F.kll_merge_agg_double("sketch", size).alias("sketch"))
-    ranks = F.array(*[F.lit(p) for p in sketch_probabilities(probs, accuracy)])
+    ranks = F.lit(sketch_probabilities(probs, accuracy))
     return merged.select("_k", "n", "n_all", "mn", "mx",
                          F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("approx"))
 

@@ -105,7 +105,7 @@ def exact_split_column(df: DataFrame, key: str, test_size: float = 0.2, seed: in
                        by: tuple[str, ...] = (), name: str = "split") -> DataFrame:
     """``df`` with a split column: ``round(n * test_size)`` rows are ``test``, in each group of ``by`` if given."""
     placed = positions(df, key, seed, by, "__position")
-    sizes = df.groupBy(*by).agg(F.round(F.count("*") * F.lit(float(test_size))).cast("long").alias("__tests"))
+    sizes = placed.groupBy(*by).agg(F.round(F.count("*") * F.lit(float(test_size))).cast("long").alias("__tests"))
     if by:
         sizes = sizes.withColumnsRenamed({c: f"__by_{c}" for c in by})
         joined = placed.join(sizes, [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by])

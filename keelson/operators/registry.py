@@ -166,6 +166,16 @@ def production_run(spark: SparkSession, path: str, model_name: str) -> str | Non
     return found and found[0]
 
 
+def production_model(spark: SparkSession, versions_path: str, runs_path: str, model_name: str) -> tuple[int, str]:
+    """Version and model path of the Production version."""
+    version = versions_table(spark, versions_path).read().where(
+        (F.col("name") == model_name) & (F.col("stage") == PRODUCTION)).select("version", "run_id")
+    found = version.join(runs_table(spark, runs_path).read().select("run_id", "model_path"), "run_id").first()
+    if found is None:
+        raise LookupError(f"model {model_name!r} has no Production version")
+    return found["version"], found["model_path"]
+
+
 def retrain_decision(drift: DataFrame, enabled: bool = True) -> DataFrame:
     """One row: ``any_drift, retrain_enabled, decision`` from a drift report."""
     any_drift = F.coalesce(F.bool_or("drift"), F.lit(False))

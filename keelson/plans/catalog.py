@@ -37,7 +37,7 @@ from keelson.plans.fixtures import (
 )
 from keelson.session import scratch_path
 from keelson.sources import files
-from keelson.streaming import score_requests, score_stream
+from keelson.streaming import baseline_profile, drift_stream, score_requests, score_stream, serve_production, window_drift
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,12 @@ SMALL_LR_GRID = {"maxIter": [50], "regParam": [0.0, 0.01], "elasticNetParam": [0
 SMALL_RF_GRID = {"numTrees": [10], "maxDepth": [5]}
 SEARCH_GRIDS = {"logreg": train.LR_GRID, "random_forest": train.RF_GRID}
 RUN_MODS = [2, 3, 4, 5, 6, 7]
+# The served model before and after a promotion, and the drift stream's windows.
+SERVED_REG = [0.01, 0.1]
+RESENT_EVERY = 20
+DRIFT_BASELINE_END = "2024-01-11"
+DRIFT_WINDOW = "5 days"
+DRIFT_COLUMNS = ["value", "user_id"]
 
 
 def query(name: str):
@@ -539,6 +545,37 @@ def q_score_requests(spark, sf):
     return _rounded(spark.read.parquet(sink), ["probability"])
 
 
+def _finished(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@query("score_production")
+def q_score_production(spark, sf):
+    """Every order as a request. Even ids come first, then another version is promoted and the odd ones come,
+    with a part of the even ones sent again: those keep their first score."""
+    names = ["sink", "ckpt", "in", "runs", "versions"]
+    sink, ckpt, source, runs, versions = (scratch_path(spark, f"serve-{n}") for n in names)
+    rows = model_rows(spark, sf, with_label=False)
+    sent = rows.withColumn("sent_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod("id", F.lit(3600))))
+    again = F.pmod("id", F.lit(RESENT_EVERY)) == 0
+    even = F.pmod("id", F.lit(2)) == 0
+    later = sent.withColumn("sent_at", F.col("sent_at") + F.expr("INTERVAL 30 MINUTES"))
+    waves = [sent.where(even), sent.where(~even).unionByName(later.where(even & again))]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in sent.schema.fields])
+    for i, (reg, wave) in enumerate(zip(SERVED_REG, waves)):
+        model, _, _ = fitted_classifier(spark, sf, maxIter=50, regParam=reg)
+        path = files.save_model(model, scratch_path(spark, "serve-model"))
+        run = f"{EXPERIMENT}-{i}"
+        registry.run_log(spark.createDataFrame(
+            [(run, None, EXPERIMENT, run, {"regParam": str(reg)}, {}, i, path)], registry.RUN_SCHEMA), runs)
+        registry.promote(spark, versions, MODEL_NAME, run)
+        wave.write.mode("append").parquet(source)
+        _finished(serve_production(spark, versions, runs, MODEL_NAME, source, schema, sink, ckpt, delay="2 hours"))
+    return _rounded(spark.read.parquet(sink).select("id", "version", "prediction", "probability"), ["probability"])
+
+
 @query("baseline_mod")
 def q_baseline_mod(spark, sf):
     return score.baseline_mod(model_rows(spark, sf), MOD_K)
@@ -624,6 +661,22 @@ def q_drift_summary(spark, sf):
     return _rounded(drift.drift_summary(drift.drift_report_long(base, cur)), ["max_psi"], 8)
 
 
+@query("drift_stream")
+def q_drift_stream(spark, sf):
+    """The events arrive in micro-batches and are compared, by windows of five days, with the stored profile of
+    the first ten days."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("ts", *DRIFT_COLUMNS)
+    first = events.where(F.col("ts") < F.lit(DRIFT_BASELINE_END).cast("timestamp"))
+    names = ["profile", "in", "out", "ckpt"]
+    profile, source, sink, ckpt = (scratch_path(spark, f"drift-{n}") for n in names)
+    baseline_profile(agg.long_form(first, DRIFT_COLUMNS)).write.parquet(profile)
+    events.repartition(4).write.parquet(source)
+    _finished(drift_stream(spark, profile, source, events.schema, "ts", DRIFT_COLUMNS, DRIFT_WINDOW, "60 days", sink, ckpt,
+                           max_files_per_trigger=2))
+    rep = window_drift(spark, sink).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+    return _rounded(_rounded(rep, ["psi"], 8), ["null_share"])
+
+
 # ---------------------------------------------------------------- 2.10 runs, versions, retrain gate
 
 def _flat_runs(runs: DataFrame) -> DataFrame:

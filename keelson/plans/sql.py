@@ -385,6 +385,11 @@ def oracle_sql() -> dict[str, str]:
     q["score_stream"] = q["score_batch"]
     q["evaluate_model"] = _logreg_report(0.01)
     q["train_single"] = _logreg_report(0.1)
+    served = "\nUNION ALL ".join(
+        f"SELECT id, CAST({i} AS INTEGER) AS version, prediction, round(probability, 6) AS probability "
+        f"FROM (WITH RECURSIVE {_logreg_ctes(reg)} SELECT * FROM model_scored) WHERE id % 2 = {i - 1}"
+        for i, reg in enumerate(cat.SERVED_REG, 1))
+    q["score_production"] = served
     q["retrain_chain"] = f"""
         SELECT CAST(start AS INTEGER) AS start, CAST(seq AS INTEGER) AS seq, stage, start = 1 AS ran, 1 AS version, f1, accuracy
         FROM ({_logreg_report(0.01)}) r,
@@ -510,6 +515,18 @@ FROM report""")
     q["drift_summary"] = _w(DRIFT_CTES, """SELECT count(*) AS n_features, count(*) FILTER (WHERE drift) AS n_drifted,
        round(max(psi), 8) AS max_psi, coalesce(bool_or(drift), false) AS any_drift FROM report""")
 
+    start = "strftime(time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d')"
+    arrived = " UNION ALL ".join(
+        f"SELECT {start} || '|{c}' AS feature, CAST({c} AS DOUBLE) AS x, ts FROM events" for c in cat.DRIFT_COLUMNS)
+    first = " UNION ALL ".join(
+        f"SELECT w.s || '|{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM events, (SELECT DISTINCT {start} AS s FROM events) w "
+        f"WHERE ts < TIMESTAMP '{cat.DRIFT_BASELINE_END}'" for c in cat.DRIFT_COLUMNS)
+    q["drift_stream"] = _w(_drift_ctes(first, f"SELECT feature, x FROM ({arrived})"), """
+SELECT split_part(r.feature, '|', 1) AS window_start, split_part(r.feature, '|', 2) AS feature,
+       CAST(t.tot AS BIGINT) AS n, CAST(t.all_n AS BIGINT) AS n_all, round(psi, 8) AS psi, drift,
+       round(null_share_current, 6) AS null_share
+FROM report r JOIN cur_tot t ON r.feature = t.feature""")
+
     # 2.10 runs, versions, retrain gate
     q["run_log"] = _w(RUNS_CTES, "SELECT run_id, parent_run_id, experiment, name, seq, round(f1, 6) AS f1, "
                                  "round(accuracy, 6) AS accuracy FROM runs")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from keelson.functions import hash_unit
 from keelson.operators import aggregate as agg
-from keelson.operators import chain, clean, drift, features, forest, metrics, registry, sample, score, train
+from keelson.operators import chain, clean, drift, features, forest, index_table, metrics, registry, sample, score, train
 from keelson.plans.fixtures import (
     CATEGORICAL,
     EVENTS_CONTRACT,
@@ -36,7 +36,7 @@ from keelson.plans.fixtures import (
     request_rows,
 )
 from keelson.session import scratch_path
-from keelson.sources import files
+from keelson.sources import files, inference
 from keelson.streaming import baseline_profile, drift_stream, score_requests, score_stream, serve_production, window_drift
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,7 @@ RUN_MODS = [2, 3, 4, 5, 6, 7]
 # The served model before and after a promotion, and the drift stream's windows.
 SERVED_REG = [0.01, 0.1]
 RESENT_EVERY = 20
+INDEX_NULL_EVERY = 23
 DRIFT_BASELINE_END = "2024-01-11"
 DRIFT_WINDOW = "5 days"
 DRIFT_COLUMNS = ["value", "user_id"]
@@ -195,6 +196,17 @@ def q_scan_csv(spark, sf):
     return files.scan_csv(spark, path, schema=schema)
 
 
+@query("csv_evidence")
+def q_csv_evidence(spark, sf):
+    """Types of the dirty events, written as CSV, with the counts that they rest on."""
+    path = scratch_path(spark, "evidence")
+    dirty = dirty_events(spark, sf)
+    marked = dirty.withColumns({"day": F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("event_id", F.lit(400)).cast("int")),
+                                "even": F.pmod("event_id", F.lit(2)) == 0})
+    marked.write.option("header", True).csv(path)
+    return inference.csv_evidence(spark, path)
+
+
 @query("write_csv_predictions")
 def q_write_csv_predictions(spark, sf):
     path = files.write_csv_predictions(score.baseline_mod(model_rows(spark, sf), MOD_K),
@@ -362,6 +374,15 @@ def q_string_index(spark, sf):
     return out.select("id", *CATEGORICAL, *INDEXED)
 
 
+@query("string_index_table")
+def q_string_index_table(spark, sf):
+    """The customers of all orders indexed through a table; nulls by formula, few values broadcast."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    key = F.when(F.pmod("o_orderkey", F.lit(INDEX_NULL_EVERY)) != 0, F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    rows = orders.select(F.col("o_orderkey").alias("id"), key.alias("customer"))
+    return index_table.apply_index(rows, "customer", index_table.index_table(rows, "customer"), heavy=100)
+
+
 @query("one_hot")
 def q_one_hot(spark, sf):
     out = features.one_hot(model_rows(spark, sf), CATEGORICAL)

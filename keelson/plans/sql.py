@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from keelson.plans import catalog as cat
 from keelson.plans.fixtures import FEATURES, FOLD_SEED, SPLIT_SEED
+from keelson.sources import inference
 
 
 def hash_unit(key: str, seed) -> str:
@@ -527,6 +528,26 @@ SELECT split_part(r.feature, '|', 1) AS window_start, split_part(r.feature, '|',
        round(null_share_current, 6) AS null_share
 FROM report r JOIN cur_tot t ON r.feature = t.feature""")
 
+    customer = f"CASE WHEN o_orderkey % {cat.INDEX_NULL_EVERY} <> 0 THEN 'c' || CAST(o_custkey AS VARCHAR) END"
+    q["string_index_table"] = f"""WITH r AS (SELECT o_orderkey AS id, {customer} AS customer FROM orders),
+i AS (SELECT customer, row_number() OVER (ORDER BY count(*) DESC, customer) - 1 AS place FROM r WHERE customer IS NOT NULL GROUP BY customer)
+SELECT r.id, r.customer, CAST(coalesce(i.place, (SELECT count(*) FROM i)) AS DOUBLE) AS customer_index
+FROM r LEFT JOIN i ON r.customer = i.customer"""
+    texts = {"event_id": "CAST(event_id AS VARCHAR)", "event_type": "CASE WHEN event_id % 17 <> 0 THEN event_type END",
+             "value": "CASE WHEN event_id % 13 = 0 THEN 'bad' ELSE CAST(value AS VARCHAR) END",
+             "user_id": "CAST(user_id AS VARCHAR)",
+             "day": "CAST(DATE '2024-01-01' + CAST(event_id % 400 AS INTEGER) AS VARCHAR)",
+             "even": "CAST(event_id % 2 = 0 AS VARCHAR)"}
+    long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {e} AS x FROM events" for c, e in texts.items())
+    q["csv_evidence"] = f"""WITH x AS ({long}), c AS (
+  SELECT "column", count(x) AS n, count(*) FILTER (WHERE regexp_matches(x, '{inference.LONG}')) AS n_long,
+         count(*) FILTER (WHERE regexp_matches(x, '{inference.DOUBLE}')) AS n_double,
+         count(*) FILTER (WHERE regexp_matches(x, '{inference.BOOLEAN}')) AS n_boolean,
+         count(*) FILTER (WHERE regexp_matches(x, '{inference.DATE}') AND TRY_CAST(x AS DATE) IS NOT NULL) AS n_date
+  FROM x GROUP BY "column")
+SELECT *, CAST(0 AS BIGINT) AS n_corrupt, CASE WHEN n = 0 THEN 'string' WHEN n_long = n THEN 'long' WHEN n_double = n THEN 'double'
+       WHEN n_boolean = n THEN 'boolean' WHEN n_date = n THEN 'date' ELSE 'string' END AS inferred FROM c"""
+
     # 2.10 runs, versions, retrain gate
     q["run_log"] = _w(RUNS_CTES, "SELECT run_id, parent_run_id, experiment, name, seq, round(f1, 6) AS f1, "
                                  "round(accuracy, 6) AS accuracy FROM runs")

@@ -1,12 +1,16 @@
 """Quality classifier: nearest-neighbour voting among latent-semantic vectors.
 
-Terms of a text are trigrams of its characters' classes (letters by case,
-digits, white space, every ASCII mark by itself, anything else) hashed to
-``TERMS`` columns, and repeats of a word within the next ``LAGS`` words. A
+Terms of a text are of two kinds. Its wording: words (A-Z lower-cased) and, for
+scripts without spaces, pairs of non-ASCII characters, hashed to ``WORDS`` columns.
+Its shape: trigrams of its characters' classes (letters by case, digits, white
+space, every ASCII mark by itself, anything else) hashed to ``TERMS`` columns, and
+repeats of a word within the next ``LAGS`` words. Both are weighted by their rarity (TF-IDF) and
+scaled to unit length before they are put together (the
+wording ``WORDING`` times). A
 bounded sample of labelled texts (``sample`` rows, chosen by a hash of the id)
 gives the term weights and the latent-semantic projection (truncated SVD of
 the weighted matrix, from its Gram matrix). The sample stays in the tasks: the
-driver sees the summed ``TERMS x TERMS`` matrix and the projected vectors. These
+driver sees the summed Gram matrix (a column a term) and the projected vectors. These
 are broadcast: ``sample * RANK`` floats, whatever the corpus. Every document is projected and its exact
 cosines to all labelled vectors are taken as blocked matrix products; the
 ``NEIGHBOURS`` nearest vote with their similarity as weight.
@@ -32,6 +36,10 @@ from keelson.llm.scratch import stored
 SAMPLE = 6000
 TERMS = 2048
 LAGS = 8
+WORDS = 2048
+WORDING = 1.0
+SHAPE = TERMS + LAGS  # columns before the words
+WIDE = SHAPE + WORDS
 RANK = 64
 NEIGHBOURS = 31
 BLOCK_ROWS = 512
@@ -49,10 +57,32 @@ _CLASS[_MARKS] = 7 + np.arange(len(_MARKS))
 _SPAN = 7 + len(_MARKS)
 
 
+def _wide_pairs(buf: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and rows of the pairs of neighbouring non-ASCII characters of one text."""
+    lead = np.flatnonzero(buf >= 0xC0)  # first bytes of characters of several bytes
+    if len(lead) < 2:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size = 2 + (buf[lead] >= 0xE0) + (buf[lead] >= 0xF0)
+    code = np.zeros(len(lead), np.uint64)
+    for i in range(4):
+        there = size > i
+        code[there] = (code[there] << np.uint64(8)) | buf[lead[there] + i].astype(np.uint64)
+    near = np.flatnonzero((lead[:-1] + size[:-1] == lead[1:]) & (row[lead[:-1]] == row[lead[1:]]))
+    return tb.combine([code[near], code[near + 1]], 61), row[lead[near]]
+
+
+def unit_rows(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted rows of unit length, made of a shape part and a wording part of fixed shares."""
+    x = np.sqrt(counts) * weights
+    for part, share in ((slice(0, SHAPE), 1.0), (slice(SHAPE, WIDE), WORDING)):
+        x[:, part] *= share / np.maximum(np.linalg.norm(x[:, part], axis=1, keepdims=True), 1e-12)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
 def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Counts of every term for each row (``TERMS + LAGS`` columns)."""
+    """Counts of every term for each row (``WIDE`` columns: shape, repeats, words)."""
     rows = len(offs) - 1
-    wide = TERMS + LAGS
+    wide = WIDE
     row = tb.row_of(offs)
     c = _CLASS[buf]
     out = np.zeros(rows * wide, np.float32)
@@ -64,6 +94,10 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     starts, ends, first = tb.word_spans(buf, offs, tb.SPACELESS)
     h = tb.word_hashes(buf, starts, ends)
     word_row = tb.row_of(first)
+    low = tb.word_hashes(tb.LOWER[buf], starts, ends)
+    out += np.bincount(word_row * wide + SHAPE + (low % np.uint64(WORDS)).astype(np.int64), minlength=rows * wide)
+    pair, pair_row = _wide_pairs(buf, row)
+    out += np.bincount(pair_row * wide + SHAPE + (pair % np.uint64(WORDS)).astype(np.int64), minlength=rows * wide)
     for lag in range(1, LAGS + 1):
         again = np.flatnonzero((h[lag:] == h[:-lag]) & (word_row[lag:] == word_row[:-lag]))
         out += np.bincount(word_row[again] * wide + TERMS + lag - 1, minlength=rows * wide)
@@ -81,8 +115,7 @@ class Model:
     prior: float
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        x = np.sqrt(counts) * self.weights
-        x = x @ self.projection
+        x = unit_rows(counts, self.weights) @ self.projection
         return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -128,7 +161,7 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     rows = texts.join(F.broadcast(wanted), "key").select("key", "label", "text")
     counted = stored(_counted(rows, "key"), "quality-sample").coalesce(FIT_TASKS)
-    wide = TERMS + LAGS
+    wide = WIDE
     n, seen = 0, np.zeros(wide, np.int64)
     for r in counted.select("terms").mapInArrow(tb.task(_frequencies), "n bigint, seen binary").collect():
         n, seen = n + r["n"], seen + np.frombuffer(r["seen"], np.int64)
@@ -154,7 +187,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], at: int = 0) -> Iterator[tuple[pa
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a task, and for each term how many of them have it."""
-    n, seen = 0, np.zeros(TERMS + LAGS, np.int64)
+    n, seen = 0, np.zeros(WIDE, np.int64)
     for part, x in _blocks(batches):
         n, seen = n + part.num_rows, seen + (x > 0).sum(0)
     yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([seen.tobytes()], pa.binary())], ["n", "seen"])
@@ -167,9 +200,7 @@ def _gram(counted: DataFrame, weights: np.ndarray) -> np.ndarray:
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = np.zeros((wide, wide))
         for _, x in _blocks(batches):
-            unit = np.sqrt(x) * weights
-            unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
-            unit = np.rint(unit * UNIT).astype(np.float64)
+            unit = np.rint(unit_rows(x, weights) * UNIT).astype(np.float64)
             gram += unit.T @ unit
         for at in range(0, wide, GRAM_ROWS):
             block = gram[at : at + GRAM_ROWS].tobytes()

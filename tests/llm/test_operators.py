@@ -240,6 +240,26 @@ def test_quality(spark, awkward, empty):
     assert {r.score for r in quality.score(awkward, none).collect()} == {0.5}
 
 
+def test_quality_sees_wording(spark):
+    """Texts of one shape, in two scripts, where the label is in the words alone."""
+    rng = np.random.default_rng(5)
+    good, bad = [f"{a}{b}{c}a" for a in "bdfg" for b in "aeio" for c in "lmnr"], [f"{a}{b}{c}a" for a in "hkpt" for b in "aeio" for c in "svwz"]
+    hanzi = [chr(0x4E00 + i) for i in range(400)]
+    rows = []
+    for i in range(800):
+        label = i % 2
+        if i % 4 < 2:
+            text = " ".join(rng.choice(good if label else bad, 40))
+        else:
+            text = "".join(rng.choice(hanzi[:200] if label else hanzi[200:], 60))
+        rows.append((i, text, float(label)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label double").cache()
+    learned = docs.filter("doc_id < 600").select("doc_id", "label")
+    model = quality.fit(docs.select("doc_id", "text"), learned)
+    held = by_id(quality.score(docs.filter("doc_id >= 600").select("doc_id", "text"), model))
+    assert np.mean([(held[i].score >= 0.5) == (label == 1) for i, _, label in rows[600:]]) > 0.95
+
+
 def test_quality_sample_is_summed_in_tasks(spark):
     assert quality.SAMPLE >= 6000 and quality.TERMS >= 2048
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(700)
@@ -247,8 +267,7 @@ def test_quality_sample_is_summed_in_tasks(spark):
     counted = quality._counted(rows, "key").cache()
     x = np.stack([np.frombuffer(r.terms, np.float32) for r in counted.collect()])
     weights = np.linspace(1, 3, x.shape[1]).astype(np.float32)
-    unit = np.sqrt(x) * weights
-    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
+    unit = quality.unit_rows(x, weights)
     one, many = (quality._gram(counted.repartition(n), weights) for n in (1, 5))
     assert (one == many).all()  # the same sum however the rows are dealt
     assert np.allclose(one, unit.T @ unit, atol=1e-3)

@@ -1,13 +1,12 @@
 """Quality classifier: nearest-neighbour voting among latent-semantic vectors.
 
 Terms of a text are of two kinds. Its wording: words (A-Z lower-cased) and, for
-scripts without spaces, pairs of non-ASCII characters, hashed to ``WORDS`` columns.
-Its shape: trigrams of its characters' classes (letters by case, digits, white
-space, every ASCII mark by itself, anything else) hashed to ``TERMS`` columns, and
-repeats of a word within the next ``LAGS`` words. Both are weighted by their rarity (TF-IDF) and
-scaled to unit length before they are put together (the
-wording ``WORDING`` times). A
-bounded sample of labelled texts (``sample`` rows, chosen by a hash of the id)
+scripts without spaces, characters of three bytes or more and their pairs, hashed
+to ``WORDS`` columns. Its shape: trigrams of its characters' classes (letters by
+case, digits, white space, every ASCII mark by itself, anything else) hashed to
+``TERMS`` columns, and repeats of a word within the next ``LAGS`` words. Both are
+weighted by their rarity (TF-IDF) and scaled to unit length before they are put
+together (the wording ``WORDING`` times). A bounded sample of labelled texts (``sample`` rows, chosen by a hash of the id)
 gives the term weights and the latent-semantic projection (truncated SVD of
 the weighted matrix, from its Gram matrix). The sample stays in the tasks: the
 driver sees the summed Gram matrix (a column a term) and the projected vectors. These
@@ -41,6 +40,8 @@ WORDING = 1.0
 SHAPE = TERMS + LAGS  # columns before the words
 WIDE = SHAPE + WORDS
 RANK = 64
+SPARE = 64  # columns beside the wanted ones in the subspace iteration, and its turns at most
+MAX_TURNS = 100
 NEIGHBOURS = 31
 BLOCK_ROWS = 512
 THRESHOLD = 0.3
@@ -57,18 +58,32 @@ _CLASS[_MARKS] = 7 + np.arange(len(_MARKS))
 _SPAN = 7 + len(_MARKS)
 
 
-def _wide_pairs(buf: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and rows of the pairs of neighbouring non-ASCII characters of one text."""
-    lead = np.flatnonzero(buf >= 0xC0)  # first bytes of characters of several bytes
-    if len(lead) < 2:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    size = 2 + (buf[lead] >= 0xE0) + (buf[lead] >= 0xF0)
+def _characters(buf: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and rows of the characters of three bytes or more, and of pairs of neighbouring ones of one text."""
+    lead = np.flatnonzero(buf >= 0xE0)  # their first bytes
+    size = 3 + (buf[lead] >= 0xF0)
     code = np.zeros(len(lead), np.uint64)
     for i in range(4):
         there = size > i
         code[there] = (code[there] << np.uint64(8)) | buf[lead[there] + i].astype(np.uint64)
     near = np.flatnonzero((lead[:-1] + size[:-1] == lead[1:]) & (row[lead[:-1]] == row[lead[1:]]))
-    return tb.combine([code[near], code[near + 1]], 61), row[lead[near]]
+    pairs = tb.combine([code[near], code[near + 1]], 61) if len(near) else code[:0]
+    return np.concatenate((tb.mix(code) if len(code) else code, pairs)), np.concatenate((row[lead], row[lead[near]]))
+
+
+def _leading(gram: np.ndarray, rank: int) -> np.ndarray:
+    """The ``rank`` leading eigenvectors, by subspace iteration: its memory is the matrix and a few columns."""
+    width = min(len(gram), rank + SPARE)
+    basis = np.linalg.qr(np.random.default_rng(RANK).standard_normal((len(gram), width)).astype(np.float32))[0]
+    before = np.zeros(width)
+    for _ in range(MAX_TURNS):
+        basis, r = np.linalg.qr(gram @ basis)
+        now = np.sort(np.abs(np.diag(r)))[::-1][:rank]
+        if np.allclose(now, before[:rank], rtol=1e-5, atol=1e-6):
+            break
+        before = now
+    inner = np.linalg.eigh(basis.T @ (gram @ basis))[1][:, ::-1][:, :rank]
+    return basis @ inner
 
 
 def unit_rows(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -96,8 +111,8 @@ def term_counts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     word_row = tb.row_of(first)
     low = tb.word_hashes(tb.LOWER[buf], starts, ends)
     out += np.bincount(word_row * wide + SHAPE + (low % np.uint64(WORDS)).astype(np.int64), minlength=rows * wide)
-    pair, pair_row = _wide_pairs(buf, row)
-    out += np.bincount(pair_row * wide + SHAPE + (pair % np.uint64(WORDS)).astype(np.int64), minlength=rows * wide)
+    char, char_row = _characters(buf, row)
+    out += np.bincount(char_row * wide + SHAPE + (char % np.uint64(WORDS)).astype(np.int64), minlength=rows * wide)
     for lag in range(1, LAGS + 1):
         again = np.flatnonzero((h[lag:] == h[:-lag]) & (word_row[lag:] == word_row[:-lag]))
         out += np.bincount(word_row[again] * wide + TERMS + lag - 1, minlength=rows * wide)
@@ -168,7 +183,7 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str
     if not n:
         return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     weights = np.log((1 + n) / (1 + seen)).astype(np.float32) + 1
-    vectors = np.linalg.eigh(_gram(counted, weights))[1][:, ::-1][:, : min(RANK, n)]
+    vectors = _leading(_gram(counted, weights), min(RANK, n))
     model = Model(weights, np.ascontiguousarray(vectors), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     del vectors
     labels, model.vectors = _projected(counted, model)

@@ -4,8 +4,11 @@ Markup is stripped into lines: a block element or a line break begins a new
 line, character references are decoded, white space is collapsed. A line counts
 the length of its text, link text outside headings not included, times a weight:
 ``ARTICLE_WEIGHT`` inside an article or main element, ``NAMED_WEIGHT`` inside an
-element whose class, id or role is a name of page furniture as a whole, nothing
-inside a furniture element (see the fixed lists below). The counts of ``WINDOW``
+element whose class, id or role is a name of page furniture (as a whole; outside an
+article also as a part between hyphens or underscores), nothing
+inside a furniture element (see the fixed lists below; a form counts as one unless it
+holds most of the page's text). On a page without article, a single long line behind
+the container that holds ``MOST`` of the long lines' text, in another one, counts nothing. The counts of ``WINDOW``
 successive lines are summed over sliding windows. On every page, inside an article
 too, the text surges where the windows rise above next to nothing and dives where
 they fall back to it. Between a surge and its dive lies a stretch; those with a
@@ -25,7 +28,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +42,20 @@ SHARE = 0.15
 NOTHING = 20.0  # a window below this is a dive
 ARTICLE_WEIGHT = 16.0
 NAMED_WEIGHT = 0.1
+MOST = 0.8
 
 # Fixed lists. Elements whose text is not text; elements and names of page furniture;
 # elements without content; elements that do not begin a line.
 RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object")
-FURNITURE = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "header"}
+FURNITURE = {"nav", "footer", "aside", "button", "select", "menu", "dialog", "head", "header"}
 FURNITURE_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
     "comments", "consent", "cookie", "cookies", "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar",
     "navigation", "newsletter", "notice", "popup", "promo", "promotion", "related", "replies", "share", "sharing", "sidebar",
     "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+# Beside these, header as a part of a name is a text's own header.
+TEXT_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu"}
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
@@ -74,6 +80,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
+_PART = re.compile("[-_]+")
+
 
 @dataclass(frozen=True)
 class State:
@@ -83,6 +91,7 @@ class State:
     article: bool = False
     heading: bool = False
     container: int = 0
+    form: int = 0  # the outermost open form, 0 if none
 
 
 @dataclass(frozen=True)
@@ -106,6 +115,9 @@ def _furniture(name: str, rest: str, in_article: bool) -> float:
         return 0.0
     for kind, *values in _ATTRIBUTE.findall(rest) if "=" in rest else ():
         names = "".join(values).lower().split()
+        if kind.lower() != "role" and not in_article:
+            parts = {part for n in names for part in _PART.split(n)}
+            names += parts - {"header"} if parts & TEXT_NAMES else parts
         if FURNITURE_ROLES.intersection(names) if kind.lower() == "role" else FURNITURE_NAMES.intersection(names):
             # The page itself may be styled for a sidebar or a banner.
             return 1.0 if name in ("html", "body", "article", "main") else NAMED_WEIGHT
@@ -117,7 +129,7 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
     lines: list[Line] = []
     parts: list[tuple[str, bool]] = []  # text, whether it is link text
     stack: list[tuple[str, State]] = []
-    state, links, parents = State(), 0, [0]
+    state, links, parents, forms = State(), 0, [0], 0
 
     def end_line() -> None:
         if parts:
@@ -172,11 +184,13 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
             if name not in INLINE and name not in LINE and name not in ("html", "body"):
                 parents.append(container)
                 container = len(parents) - 1
+            forms += name == "form"
             new = State(
                 min(state.furniture, _furniture(name, token["rest"], state.article)),
                 state.article or name in ("article", "main"),
                 state.heading or name in HEADING,
                 container,
+                state.form or (forms if name == "form" else 0),
             )
             if new != state:
                 end_line()
@@ -186,7 +200,43 @@ def page_lines(page: str) -> tuple[list[Line], list[int]]:
     if at < len(page):
         parts.append((page[at:], links > 0))
     end_line()
-    return lines, parents
+    return _without_forms(lines) if forms else lines, parents
+
+
+def _without_forms(lines: list[Line]) -> list[Line]:
+    """The lines of forms count nothing, but for a form that holds most of the page's text."""
+    held: dict[int, int] = {}
+    for line in lines:
+        if line.state.furniture:
+            held[line.state.form] = held.get(line.state.form, 0) + len(line.text) - line.linked
+    whole = {f for f, n in held.items() if 2 * n > sum(held.values())} | {0}
+    return [line if line.state.form in whole else replace(line, state=replace(line.state, furniture=0.0)) for line in lines]
+
+
+def _behind(lines: list[Line], parents: list[int], length: np.ndarray, least: float) -> list[int]:
+    """Single long lines that follow the container of nearly all long lines in another one; none beside an article."""
+    long = [i for i in range(len(lines)) if length[i] >= least]
+    if any(line.state.article for line in lines):
+        return []
+    held: dict[int, float] = {}
+    around: dict[int, list[int]] = {}
+    for i in long:
+        c = lines[i].state.container
+        around[i] = [c]
+        while c:
+            c = parents[c]
+            around[i].append(c)
+        for c in around[i]:
+            held[c] = held.get(c, 0.0) + length[i]
+    total = sum(length[i] for i in long)
+    home = max((c for c, n in held.items() if n >= MOST * total), default=0)  # numbered from the outside in
+    inside = [i for i in long if home in around[i]]
+    if not home or len(inside) < 2:
+        return []
+    out = [i for i in long if i > inside[-1]]
+    # Alone: no other long line outside the home lies in its own container.
+    alone = {i for i in out if sum(lines[i].state.container in around[j] for j in long) == 1}
+    return [i for i in out if i in alone and length[i] < 0.5 * held[home]]
 
 
 def main_text(page: str) -> str:
@@ -197,6 +247,8 @@ def main_text(page: str) -> str:
         return ""
     sums = np.convolve(length, np.ones(WINDOW))  # of the lines i - WINDOW + 1 to i
     least = SHARE * sums.max()
+    length[_behind(lines, parents, length, least)] = 0
+    sums = np.convolve(length, np.ones(WINDOW))
     # A line is live if a window that holds it is not next to nothing.
     live = np.flatnonzero([sums[i : i + WINDOW].max() >= min(NOTHING, least) for i in range(len(lines))])
     out = []

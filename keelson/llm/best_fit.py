@@ -33,7 +33,7 @@ from keelson.llm.scratch import stored
 from keelson.llm.textbytes import chunks, task
 from keelson.llm.word_tokens import word_encoder
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def pieces(

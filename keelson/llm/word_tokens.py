@@ -4,19 +4,33 @@ Nothing in such a tokenizer (normaliser, splitting pattern, merges) reaches
 across white space, so a text's ids are its words' ids in order. The words of
 a chunk are found and grouped with numpy; equal hashes are confirmed byte by
 byte, and only one word of each group goes to the tokenizer.
+
+A word like ``Maison,`` is pieces to such a tokenizer (``maison`` and ``,``), and
+there are fewer different pieces than words. Where the normaliser and the
+splitting pattern are known ones, words of ASCII and Latin letters are
+lower-cased and split here, and only pieces not seen lately go to the model.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 
 import numpy as np
+import pyarrow as pa
+import regex
 
-from keelson.llm.textbytes import SPACELESS, word_hashes, word_spans
+from keelson.llm.textbytes import SPACELESS, U64, mix, word_spans
 
 #: Words in each of the two generations that a worker remembers.
 CACHE_WORDS = 300_000
+#: Pieces of words that a worker remembers.
+CACHE_PIECES = 300_000
+
+#: Characters that every Unicode version lower-cases, composes and classes alike; \n parts words.
+_NOT_PLAIN = re.compile("[^\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]").search
 
 
 @functools.lru_cache(maxsize=2)
@@ -40,6 +54,7 @@ class WordEncoder:
         self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values() if t.special]
         self._known: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
+        self._pieces = Pieces.of(self._tokenizer, json.loads(spec))
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each of these different words."""
@@ -51,7 +66,11 @@ class WordEncoder:
             known.update((w, old[w]) for w in new if w in old)
             new = [w for w in new if w not in old]
         for at in range(0, len(new), 64 * 256):
-            self._learn(new[at : at + 64 * 256])
+            part = new[at : at + 64 * 256]
+            if self._pieces:
+                part = self._pieces.learn(part, known)
+            if part:
+                self._learn(part)
         return [known[w] for w in words]
 
     def _learn(self, words: list[bytes]) -> None:
@@ -78,7 +97,7 @@ class WordEncoder:
         starts, ends, first = word_spans(buf, offs, SPACELESS)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        _, shown, group = np.unique(word_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        shown, group = _grouped(_block_hashes(buf, starts, ends))
         shown, group = _confirmed(buf, starts, ends, shown, group)
         raw = buf.tobytes()
         coded = self._ids_of([raw[a:b] for a, b in zip(starts[shown].tolist(), ends[shown].tolist())])
@@ -93,16 +112,110 @@ class WordEncoder:
         return flat[at], word_place[first]
 
 
+class Pieces:
+    """Ids of plain words by their pieces, for tokenizers that lower-case, split by a pattern and mark a piece's end."""
+
+    NORMALIZERS = [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]
+    BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+
+    def __init__(self, model, pattern: str, end: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self._split = regex.compile(pattern).findall
+        self._model = Tokenizer(model)
+        self._model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self._model.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith(end)]] = True
+        self._ids: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, tokenizer, spec: dict) -> Pieces | None:
+        """None where the tokenizer's steps are others."""
+        normalizer, splitter, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec["model"]
+        steps = splitter.get("pretokenizers", [])
+        known = (
+            model["type"] == "BPE" and model.get("end_of_word_suffix") and not model.get("dropout")
+            and normalizer.get("type") == "Sequence" and normalizer["normalizers"] == cls.NORMALIZERS
+            and [p["type"] for p in steps] == ["Split", "ByteLevel"] and cls.BYTES.items() <= steps[1].items()
+            and "Regex" in steps[0]["pattern"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+        )
+        return cls(tokenizer.model, steps[0]["pattern"]["Regex"], model["end_of_word_suffix"]) if known else None
+
+    def learn(self, words: list[bytes], into: dict[bytes, bytes]) -> list[bytes]:
+        """Put the ids of the plain words into ``into``; the others are returned."""
+        other = []
+        text = b"\n".join(words).decode()
+        if _NOT_PLAIN(text):
+            other = [w for w in words if _NOT_PLAIN(w.decode())]
+            without = set(other)
+            words = [w for w in words if w not in without]
+            text = b"\n".join(words).decode()
+        if not words:
+            return other
+        split = [[w] if w.isalpha() else self._split(w) for w in text.lower().split("\n")]
+        if len(self._ids) > CACHE_PIECES:
+            self._ids = {}
+        new = [*set().union(*split).difference(self._ids)]
+        for at in range(0, len(new), 256):
+            self._encode(new[at : at + 256])
+        ids = self._ids.__getitem__
+        into.update(zip(words, [ids(p[0]) if len(p) == 1 else b"".join(map(ids, p)) for p in split]))
+        return other
+
+    def _encode(self, pieces: list[str]) -> None:
+        ids = np.array(self._model.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        stop = np.flatnonzero(self._ends[ids]) + 1
+        if len(stop) == len(pieces) and stop[-1] == len(ids):
+            flat, stop = ids.tobytes(), (4 * stop).tolist()
+            self._ids.update(zip(pieces, (flat[a:b] for a, b in zip([0, *stop], stop))))
+        else:  # a token in the middle of a piece looks like an end
+            for p in pieces:
+                self._ids[p] = np.array(self._model.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _eight(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on (zeros behind the end), as one number."""
+    return np.ndarray(len(buf) + 1, "<u8", np.append(buf, np.zeros(8, np.uint8)), strides=(1,))
+
+
+def _block_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time."""
+    eight, lens = _eight(buf), ends - starts
+    hashes = mix(lens)
+    rest, at = np.arange(len(lens)), 0
+    while len(rest):
+        left = lens[rest] - at
+        block = eight[starts[rest] + at] << (8 * np.maximum(8 - left, 0)).astype(U64)
+        hashes[rest] = mix(hashes[rest] ^ block)
+        rest, at = rest[left > 8], at + 8
+    return hashes
+
+
+def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place where each different hash is seen first, and for each hash which of them it is."""
+    group = pa.array(hashes).dictionary_encode().indices.to_numpy()
+    shown = np.zeros(int(group.max()) + 1, np.int64)
+    shown[group[::-1]] = np.arange(len(group))[::-1]
+    return shown, group
+
+
 def _confirmed(buf, starts, ends, shown, group):
     """The groups without words that share a hash only; those become groups of their own."""
     lens = ends - starts
     model = shown[group]
     same = lens == lens[model]
-    first = np.cumsum(lens) - lens
-    at = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(first - starts, lens)
-    back = np.repeat(starts[model] - starts, lens)
-    other = np.minimum(at + back, len(buf) - 1)
-    same &= np.add.reduceat((buf[at] != buf[other]).astype(np.int32), first) == 0
+    eight = _eight(buf)
+    rest, at = np.flatnonzero(same & (model != np.arange(len(model)))), 0
+    while len(rest):
+        left = lens[rest] - at
+        differ = eight[starts[rest] + at] ^ eight[starts[model[rest]] + at]
+        differ <<= (8 * np.maximum(8 - left, 0)).astype(U64)
+        same[rest[differ != 0]] = False
+        rest, at = rest[(differ == 0) & (left > 8)], at + 8
     odd = np.flatnonzero(~same)
     if len(odd):
         group = group.copy()

@@ -127,3 +127,36 @@ def test_words_with_one_hash_are_told_apart():
     shown, group = _confirmed(buf, starts, ends, np.array([0]), np.zeros(5, np.int64))
     words = [bytes(buf[starts[s] : ends[s]]) for s in shown]
     assert [words[g] for g in group] == [b"aa", b"bb", b"aa", b"cc", b"bbb"]
+
+
+def test_plain_words_go_by_their_pieces(plain):
+    import pyarrow as pa
+
+    from keelson.llm.textbytes import text_buffers
+
+    with open(PATH, encoding="utf-8") as f:
+        encoder = WordEncoder(f.read())
+    words = ["Maison,", "l'Été's", "O'Neill'LL", "x2y34z", "</w>", "ÀÖØß×÷ÿ", "İi", "éa", "naïve--naïve", "\x00a", "²b", "<|endoftext|>", "Σας", "a" * 300]
+    sent = []
+    learn = encoder._learn
+    encoder._learn = lambda part: (sent.extend(part), learn(part))
+    text = " ".join(words * 2)
+    ids, _ = encoder.encode(*text_buffers(pa.array([text, text])))
+    assert ids.tolist() == 2 * plain.encode(text, add_special_tokens=False).ids
+    # Only words with other characters than ASCII and Latin letters go to the tokenizer whole.
+    assert {w.decode() for w in sent} == {"ÀÖØß×÷ÿ", "İi", "éa", "\x00a", "²b", "Σας"}
+
+
+def test_long_words_that_share_eight_bytes():
+    from keelson.llm.word_tokens import _block_hashes, _grouped
+
+    text = b"abcdefgh abcdefghi abcdefgh abcdefghij" + b" " + b"z" * 40 + b" " + b"z" * 39 + b"y " + b"z" * 40
+    words = text.split()
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    buf = np.frombuffer(text, np.uint8)
+    shown, group = _grouped(_block_hashes(buf, starts, ends))
+    assert [words[shown[g]] for g in group] == words and len(shown) == 5
+    # Of one group, whatever the hash: the bytes behind the eighth decide.
+    shown, group = _confirmed(buf, starts, ends, np.array([0, 4]), np.array([0, 0, 0, 0, 1, 1, 1]))
+    assert [words[shown[g]] for g in group] == words

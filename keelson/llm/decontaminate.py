@@ -3,7 +3,7 @@
 The benchmark is the stated query set: its phrases (windows of ``window``
 words; an item of fewer words is one phrase) are prepared once and sent to all
 tasks in blocks of at most ``BLOCK_BYTES`` of text. A task cuts its documents
-into shards of a few megabytes. Of a shard it indexes every run of words that
+into shards of a megabyte. Of a shard it indexes every run of words that
 the benchmark knows, if the run is as long as the shortest phrase (an
 occurrence cannot hold any other word), searches all phrases backward through
 the wavelet ranks, locates the occurrences by sampled suffix positions and
@@ -28,7 +28,8 @@ from keelson.llm import textbytes as tb
 from keelson.llm.fmindex import FMIndex
 
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+#: Text of a shard; a worker takes about 50 bytes for each byte of it.
+SHARD_BYTES = 1 << 20
 WINDOW = 10
 
 

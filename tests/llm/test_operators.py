@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from keelson.llm import (
     suffix_automaton,
     suffix_dedup,
 )
+from keelson.llm import textbytes as tb
 from tests.conftest import MEDIUM, SMALL
 from tests.llm.conftest import WORDS, lower
 
@@ -367,3 +369,20 @@ def test_keyset(spark):
     drop = spark.range(100, 300).select(F.col("id").alias("k"))
     left = [r.k for r in keyset.without(rows, "k", drop).collect()]
     assert sorted(left, key=lambda k: k or 0) == [None, *range(1, 100), *range(300, 2000)]
+
+
+def test_a_search_shard_takes_little_memory():
+    import tracemalloc
+
+    words = [f"w{i % 701}" for i in range(12_000)]
+    phrases = decontaminate.Phrases([("a", " ".join(words[:800]))], 10)
+    texts = pa.array([" ".join(words)] * 90)  # about 5 MB, every word known
+    tracemalloc.start()
+    try:
+        for _, _, raw, offs in tb.chunks(texts, decontaminate.SHARD_BYTES):
+            starts, ends, first = tb.word_spans(raw, offs, tb.ALNUM)
+            hit, _ = phrases.find(tb.word_hashes(raw, starts, ends), first)
+            assert hit.all()
+        assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    finally:
+        tracemalloc.stop()

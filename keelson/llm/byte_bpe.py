@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import weakref
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -152,7 +153,7 @@ class _Pieces(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary = weakref.proxy(vocabulary)  # no cycle: both go at once with the broadcast
         self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
@@ -174,6 +175,7 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary):
         self.split = regex.compile(vocabulary.pattern).findall
+        self.vocabulary = vocabulary
         self.pieces = vocabulary.pieces()
         self.tokens = vocabulary.tokens
 

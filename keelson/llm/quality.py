@@ -44,9 +44,12 @@ SPARE = 64  # columns beside the wanted ones in the subspace iteration, and its
 MAX_TURNS = 100
 NEIGHBOURS = 31
 BLOCK_ROWS = 512
+# Texts counted at once: a count takes about 70 bytes for each byte of text and 20 for each row and term.
+COUNT_BYTES = 1 << 18
+COUNT_ROWS = 128
 THRESHOLD = 0.3
 FIT_TASKS = 6  # tasks that sum the sample, of bounded size
-GRAM_ROWS = 128  # rows of the Gram matrix sent as one
+GRAM_ROWS = 128  # rows of the Gram matrix summed and sent as one, and rows of the sample added at once
 # Unit vectors are rounded to multiples of 1 / UNIT, so that sums of their products are exact in any order.
 UNIT = float(1 << 18)
 
@@ -154,7 +157,7 @@ def _counted(rows: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, offs in tb.chunks(batch.column(2)):
+            for lo, hi, buf, offs in tb.chunks(batch.column(2), COUNT_BYTES, COUNT_ROWS):
                 counts = term_counts(buf, offs)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -192,11 +195,11 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str
     return model
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], at: int = 0) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Parts of ``BLOCK_ROWS`` rows at most, and the counts in their column ``at``."""
+def _blocks(batches: Iterator[pa.RecordBatch], at: int = 0, rows: int = BLOCK_ROWS) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Parts of ``rows`` rows at most, and the counts in their column ``at``."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, BLOCK_ROWS):
-            part = batch.slice(lo, BLOCK_ROWS)
+        for lo in range(0, batch.num_rows, rows):
+            part = batch.slice(lo, rows)
             yield part, np.frombuffer(b"".join(part.column(at).to_pylist()), np.float32).reshape(part.num_rows, -1)
 
 
@@ -209,17 +212,22 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _gram(counted: DataFrame, weights: np.ndarray) -> np.ndarray:
-    """The Gram matrix of the weighted unit rows, summed in tasks by blocks of its rows."""
+    """The Gram matrix of the weighted unit rows, summed in tasks by blocks of its rows.
+
+    A block goes from the diagonal on: the matrix is symmetric to the last bit, as the sums are exact.
+    """
     wide = len(weights)
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram = np.zeros((wide, wide))
-        for _, x in _blocks(batches):
+        blocks = {at: np.zeros((min(GRAM_ROWS, wide - at), wide - at)) for at in range(0, wide, GRAM_ROWS)}
+        for _, x in _blocks(batches, rows=GRAM_ROWS):
             unit = np.rint(unit_rows(x, weights) * UNIT).astype(np.float64)
-            gram += unit.T @ unit
-        for at in range(0, wide, GRAM_ROWS):
-            block = gram[at : at + GRAM_ROWS].tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([block], pa.binary())], ["at", "block"])
+            for at, block in blocks.items():
+                block += unit[:, at : at + GRAM_ROWS].T @ unit[:, at:]
+        while blocks:
+            at, block = blocks.popitem()
+            columns = [pa.array([at], pa.int32()), pa.array([block.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "block"])
 
     def total(group: pa.Table) -> pa.Table:
         block = sum(np.frombuffer(b.as_py(), np.float64) for b in group.column("block"))
@@ -230,7 +238,9 @@ def _gram(counted: DataFrame, weights: np.ndarray) -> np.ndarray:
     parts = counted.select("terms").mapInArrow(tb.task(products), schema)
     gram = np.zeros((wide, wide), np.float32)
     for r in parts.groupBy("at").applyInArrow(tb.group(total), schema).coalesce(FIT_TASKS).toLocalIterator():
-        gram[r["at"] : r["at"] + GRAM_ROWS] = np.frombuffer(r["block"], np.float32).reshape(-1, wide)
+        at, end = r["at"], r["at"] + GRAM_ROWS
+        block = np.frombuffer(r["block"], np.float32).reshape(-1, wide - at)
+        gram[at:end, at:], gram[at:, at:end] = block, block.T
     return gram
 
 
@@ -257,7 +267,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, offs in tb.chunks(batch.column(1)):
+            for lo, hi, buf, offs in tb.chunks(batch.column(1), COUNT_BYTES, COUNT_ROWS):
                 scores = shared.value.score(term_counts(buf, offs))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(scores)], ["doc_id", "score"])
 
@@ -271,7 +281,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, offs in tb.chunks(batch.column(at)):
+            for lo, hi, buf, offs in tb.chunks(batch.column(at), COUNT_BYTES, COUNT_ROWS):
                 good = shared.value.score(term_counts(buf, offs)) >= threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(good))
 

@@ -86,9 +86,13 @@ def give_back() -> None:
 
 
 def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
-    """``run`` for mapInArrow; the worker, which Spark keeps, gives freed memory back when it ends."""
+    """``run`` for mapInArrow; the worker, which Spark keeps, gives freed memory back when it begins and ends.
+
+    At the beginning that is what Spark has just let go: the broadcasts of an earlier stage.
+    """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         try:
             yield from run(batches)
         finally:
@@ -109,16 +113,16 @@ def group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]
     return wrapped
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of consecutive rows.
 
-    A chunk has about ``limit`` bytes or one text, and ``CHUNK_ROWS`` rows at most.
+    A chunk has about ``limit`` bytes or one text, and ``rows`` rows at most.
     """
     raw, offs = text_buffers(column)
     lo, n = 0, len(offs) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, lo + CHUNK_ROWS, n)
+        hi = min(hi, lo + rows, n)
         yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
 

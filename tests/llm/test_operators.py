@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from keelson.llm import (
     byte_bpe,
@@ -275,6 +276,65 @@ def test_quality_sample_is_summed_in_tasks(spark):
     assert np.allclose(one, unit.T @ unit, atol=1e-3)
 
 
+class Captured:
+    """Stands for a DataFrame and keeps the function given to mapInArrow."""
+
+    schema = StructType([StructField("key", LongType())])
+
+    def select(self, *_):
+        return self
+
+    groupBy = applyInArrow = coalesce = select
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+    def toLocalIterator(self):
+        return iter(())
+
+    def peak(self, batch):
+        """Bytes that a task takes at most for this batch."""
+        import tracemalloc
+
+        tracemalloc.start()
+        try:
+            rows = sum(out.num_rows for out in self.run(iter([batch])))
+            return rows, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+
+def test_quality_tasks_take_little_memory():
+    rng = np.random.default_rng(7)
+    texts = [" ".join(map(str, rng.integers(0, 10_000, 200))) for _ in range(2100)]  # 2 MB
+    batch = pa.record_batch([pa.array(range(2100)), pa.array([1.0] * 2100), pa.array(texts)], ["key", "label", "text"])
+    rows, most = quality._counted(Captured(), "key").peak(batch)
+    assert rows == 2100 and most < 64 << 20
+    counts = rng.integers(0, 3, (300, quality.WIDE)).astype(np.float32)
+    frame = Captured()
+    quality._gram(frame, np.ones(quality.WIDE, np.float32))
+    rows, most = frame.peak(pa.record_batch([pa.array([x.tobytes() for x in counts], pa.binary())], ["terms"]))
+    assert rows == -(-quality.WIDE // quality.GRAM_ROWS) and most < 150 << 20
+
+
+def test_a_vocabulary_goes_with_its_last_user():
+    """A worker lets go of the broadcast of an earlier stage at once, not at the next collection of cycles."""
+    import gc
+    import weakref
+
+    vocabulary = byte_bpe.Vocabulary({bytes([i]): i for i in range(256)}, r"\S+|\s+")
+    codec, left = byte_bpe.Codec(vocabulary), weakref.ref(vocabulary)
+    gc.disable()
+    try:
+        del vocabulary
+        assert codec.decode(codec.encode("abc de")) == b"abc de"
+        del codec
+        assert left() is None
+    finally:
+        gc.enable()
+
+
 def test_html():
     page = (
         "<html><head><title>T</title><script>var a='</p>';</script></head><body><header>Top</header><nav><ul><li><a>Home</a></ul></nav>"

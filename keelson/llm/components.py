@@ -3,7 +3,9 @@
 Each round hooks every node to its smallest neighbour, follows the hooks to
 their ends, and replaces the links by links between those ends. Links inside a
 component vanish, so the table shrinks fast; a hub costs one aggregate row a
-task. Nothing is collected but the row counts that end the rounds.
+task. Nothing is collected but the row counts that end the rounds, and every
+join is a sort-merge join (``by_merge``): the many small joins of the rounds
+would else each leave a broadcast table with the driver.
 """
 
 from __future__ import annotations
@@ -14,11 +16,20 @@ from pyspark.sql import functions as F
 from keelson.llm.scratch import stored
 
 
+def by_merge(right: DataFrame) -> DataFrame:
+    """``right`` of a join that goes by shuffles, however small it is.
+
+    The driver builds each broadcast table in pages of some megabytes and keeps
+    it until its garbage is collected, mostly after the last round.
+    """
+    return right.hint("merge")
+
+
 def _relabel(links: DataFrame, ends: DataFrame) -> DataFrame:
     """Links between the ends of their nodes, each once, none to itself."""
     u = ends.select(F.col("node").alias("u"), F.col("root").alias("ru"))
     v = ends.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-    both = links.join(u, "u").join(v, "v").filter("ru != rv")
+    both = links.join(by_merge(u), "u").join(by_merge(v), "v").filter("ru != rv")
     return both.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct()
 
 
@@ -27,7 +38,7 @@ def _follow(hooks: DataFrame) -> DataFrame:
     while True:
         up = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
         jumped = stored(
-            hooks.join(up, "root").select("node", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")),
+            hooks.join(by_merge(up), "root").select("node", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")),
             "hooks",
         )
         hooks = jumped.select("node", "root")
@@ -50,7 +61,7 @@ def components(links: DataFrame) -> DataFrame:
         else:
             up = roots.select(F.col("node").alias("root"), F.col("root").alias("above"))
             labels = stored(
-                labels.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root")), "labels"
+                labels.join(by_merge(up), "root", "left").select("node", F.coalesce("above", "root").alias("root")), "labels"
             )
         links = stored(_relabel(links, roots), "links")
         if not links.limit(1).count():

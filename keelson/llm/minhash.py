@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import keyset
 from keelson.llm import textbytes as tb
-from keelson.llm.components import components
+from keelson.llm.components import by_merge, components
 from keelson.llm.scratch import stored
 
 COORDINATES = 128
@@ -205,7 +205,7 @@ def _sizes_allow(percent: int) -> Column:
 
 def _rooted(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``members`` with the ``root`` of each node's component, itself where it has no link."""
-    return members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return members.join(by_merge(labels), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
@@ -352,15 +352,15 @@ def near_duplicates(
     pairs = plain.unionByName(odd).distinct()
     more = _linked(pairs, sets, percent)
     rooted = (
-        more.join(roots.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left")
-        .join(roots.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left")
+        more.join(by_merge(roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))), "u", "left")
+        .join(by_merge(roots.select(F.col("node").alias("v"), F.col("root").alias("rv"))), "v", "left")
         .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
     )
     merged = components(rooted).select(F.col("node").alias("root"), F.col("root").alias("top"))
     final = (
-        classes.join(roots, "node", "left")
+        classes.join(by_merge(roots), "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
-        .join(merged, "root", "left")
+        .join(by_merge(merged), "root", "left")
         .select("s1", "s2", F.coalesce("top", "root").alias("class_component"))
     )
     linked = signed.select("doc_id", "n_shingles", "s1", "s2").join(final, ["s1", "s2"], "left")

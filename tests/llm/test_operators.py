@@ -138,6 +138,22 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
 
 
+def test_component_joins_leave_no_broadcast_with_the_driver(spark, monkeypatch):
+    plans = []
+
+    def planned(df, name, stored=components.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(components, "stored", planned)
+    links = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(20, 21), (20, 22)], "u long, v long")
+    labels = components.components(links)
+    assert {r.node: r.root for r in labels.collect()} == {**dict.fromkeys(range(13), 0), **dict.fromkeys(range(20, 23), 20)}
+    plans.append(minhash._rooted(links.withColumnRenamed("u", "node"), labels)._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_fm_index():
     rng = np.random.default_rng(0)
     for _ in range(50):

@@ -3,7 +3,8 @@
 Each round hooks every node to its smallest neighbour, follows the hooks to
 their ends, and replaces the links by links between those ends. Links inside a
 component vanish, so the table shrinks fast; a hub costs one aggregate row a
-task. Nothing is collected but the row counts that end the rounds, and every
+task. Links that are all hooks need no further round. Nothing is collected but
+the row counts that end the rounds, and every
 join is a sort-merge join (``by_merge``): the many small joins of the rounds
 would else each leave a broadcast table with the driver.
 """
@@ -34,13 +35,12 @@ def _relabel(links: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def _follow(hooks: DataFrame) -> DataFrame:
-    """``node, root`` with every root its own root."""
+    """``node, root`` with every root its own root. A step goes three hooks up, and tells by the last if that was enough."""
     while True:
-        up = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        jumped = stored(
-            hooks.join(by_merge(up), "root").select("node", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")),
-            "hooks",
-        )
+        once = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        twice = hooks.select(F.col("node").alias("above"), F.col("root").alias("top"))
+        up = hooks.join(by_merge(once), "root").join(by_merge(twice), "above")
+        jumped = stored(up.select("node", F.col("top").alias("root"), (F.col("top") != F.col("above")).alias("moved")), "hooks")
         hooks = jumped.select("node", "root")
         if not jumped.filter("moved").limit(1).count():
             return hooks
@@ -48,9 +48,9 @@ def _follow(hooks: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links (u, v)``: the smallest node reachable from it."""
-    links = stored(links.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+    links = stored(links.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), "links")
     labels = None
-    while True:
+    while links.limit(1).count():
         ends = links.select(F.col("u").alias("node"), F.col("v").alias("near")).unionByName(
             links.select(F.col("v").alias("node"), F.col("u").alias("near"))
         )
@@ -63,6 +63,8 @@ def components(links: DataFrame) -> DataFrame:
             labels = stored(
                 labels.join(by_merge(up), "root", "left").select("node", F.coalesce("above", "root").alias("root")), "labels"
             )
-        links = stored(_relabel(links, roots), "links")
-        if not links.limit(1).count():
+        # Each node that has a smaller neighbour is the larger end of one hook.
+        if roots.filter("node != root").count() == links.distinct().count():
             return labels
+        links = stored(_relabel(links, roots), "links")
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")) if labels is None else labels

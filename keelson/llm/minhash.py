@@ -47,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelson.llm import keyset
 from keelson.llm import textbytes as tb
@@ -59,6 +60,7 @@ MAX_DIFFERENT = 40
 TURNS = 2
 RARE = 16
 BLOCKS = 64
+_CLASS = ("node", "n_shingles", "b1", "b2")
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _U = np.uint64
 
@@ -166,8 +168,8 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """``node, items``: the full shingle sets of the documents named in ``ids (node)``."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    wanted = ids.select(F.col("node").alias("doc_id")).distinct()
-    some = keyset.maybe_in(docs, "doc_id", keyset.build(wanted, "doc_id")).join(wanted, "doc_id")
+    wanted = ids.select(F.col("node").alias("doc_id"))
+    some = keyset.maybe_in(docs, "doc_id", keyset.build(wanted, "doc_id")).join(wanted.distinct(), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,12 +187,12 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` whose full sets reach the similarity."""
+    """The pairs ``(u, v, ...)`` whose full sets reach the similarity."""
     a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    joined = pairs.join(a, "u").join(b, "v")
-    return joined.filter(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v")
+    joined = pairs.join(b, "v").join(a, "u")
+    return joined.filter(100 * both >= percent * (F.size("a") + F.size("b") - both)).select(*pairs.columns)
 
 
 def _different() -> Column:
@@ -208,43 +210,65 @@ def _rooted(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(by_merge(labels), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _mixed(placed: DataFrame) -> DataFrame:
-    """``band, main`` of the buckets that hold several components; ``main`` has most of the bucket's classes."""
-    sizes = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"))
-    return main.filter("roots > 1").select("band", "main")
+def _raised(members: DataFrame, tops: DataFrame) -> DataFrame:
+    """``members`` whose components are joined to larger ones, as ``tops (node, root)`` names them."""
+    above = tops.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    return members.join(by_merge(above), "root", "left").withColumn("root", F.coalesce("above", "root")).drop("above")
 
 
-def _closest(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """``u, v``: each class outside its buckets' main components, and the closest of the members drawn from those."""
-    inside = placed.join(_mixed(placed), "band")
-    kept = ("node", "n_shingles", "b1", "b2")
-    drawn = (
-        inside.filter("root = main")
-        .groupBy("band")
-        .agg(F.min_by(F.struct(*kept), F.xxhash64("node", "band", F.lit(turn))).alias("x"))
-        .select("band", *(F.col(f"x.{c}").alias(f"x_{c}") for c in kept))
+def _mixed(members: DataFrame, **drawn: Column) -> DataFrame:
+    """The classes by the buckets (``band``) that hold several components.
+
+    ``main`` is the component with most of the bucket's classes; ``drawn``
+    are aggregates over that component's classes in the bucket. The buckets
+    are dealt out once, for the sums and for the classes they go back to.
+    """
+    placed = members.select(*_CLASS, "root", F.explode("bands").alias("band")).repartition("band")
+    sizes = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in drawn.items()))
+    main = sizes.groupBy("band").agg(
+        F.count(F.lit(1)).alias("roots"), F.max_by(F.struct("root", *drawn), F.struct("n", "root")).alias("main")
+    )
+    several = main.filter("roots > 1").select("band", F.col("main.root").alias("main"), *(f"main.{k}" for k in drawn))
+    return placed.join(by_merge(several), "band")
+
+
+def _closest(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``u, v, ru, rv``: each class outside its buckets' main components, the closest of the members drawn from those, and their roots."""
+    inside = _mixed(members, x=F.min_by(F.struct(*_CLASS), F.xxhash64("node", "band", F.lit(turn))))
+    tried = inside.filter("root != main").select("node", "root", "main", *_CLASS[1:], *(F.col(f"x.{c}").alias(f"x_{c}") for c in _CLASS))
+    near = (
+        tried.filter(_sizes_allow(percent) & (_different() <= MAX_DIFFERENT))
+        .groupBy("node")
+        .agg(F.min_by(F.struct("x_node", "main", "root"), F.struct(_different().alias("different"), "x_node")).alias("near"))
+    )
+    return near.select(
+        F.col("near.x_node").alias("u"), F.col("node").alias("v"), F.col("near.main").alias("ru"), F.col("near.root").alias("rv")
     )
-    tried = inside.filter("root != main").join(drawn, "band").filter(_sizes_allow(percent) & (_different() <= MAX_DIFFERENT))
-    near = tried.groupBy("node").agg(F.min_by("x_node", F.struct(_different().alias("different"), "x_node")).alias("near"))
-    return near.select(F.col("near").alias("u"), F.col("node").alias("v"))
+
+
+def _joined_roots(linked: DataFrame) -> DataFrame:
+    """``linked (u, v, ru, rv)`` as links between the components of its ends."""
+    return linked.select(F.col("ru").alias("u"), F.col("rv").alias("v"))
 
 
 def _blocks(sets: DataFrame) -> DataFrame:
-    """``node, blocks`` from ``node, items, rare_items``: how many of a node's common shingles fall in each hash block."""
-    id_type = sets.schema["node"].dataType.simpleString()
+    """``sets`` with ``blocks`` instead of ``items, rare_items``: how many of a node's common shingles fall in each hash block."""
+    rest = sets.drop("items", "rare_items").schema
+    names = rest.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = []
-            for items, rare in zip(batch.column(1), batch.column(2), strict=True):
+            for items, rare in zip(batch.column("items"), batch.column("rare_items"), strict=True):
                 n = np.bincount(items.values.to_numpy().view(_U) % _U(BLOCKS), minlength=BLOCKS)
                 if rare.is_valid:
                     n -= np.bincount(rare.values.to_numpy().view(_U) % _U(BLOCKS), minlength=BLOCKS)
                 counts.append(n.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.list_(pa.int32()))], ["node", "blocks"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(counts, pa.list_(pa.int32()))], [*names, "blocks"]
+            )
 
-    return sets.select("node", "items", "rare_items").mapInArrow(tb.task(run), f"node {id_type}, blocks array<int>")
+    return sets.mapInArrow(tb.task(run), T.StructType([*rest.fields, T.StructField("blocks", T.ArrayType(T.IntegerType()))]))
 
 
 def near_duplicates(
@@ -259,49 +283,57 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = stored(_signatures(rows, words), "signatures")
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
-    first = (
-        known.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        .groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("node"), *(F.min(c).alias(c) for c in ("n_shingles", "b1", "b2")), F.any_value("bands").alias("bands"))
+    classes = stored(
+        known.groupBy("s1", "s2").agg(
+            F.min("doc_id").alias("node"), *(F.min(c).alias(c) for c in _CLASS[1:]), F.any_value("bands").alias("bands")
+        ),
+        "classes",
     )
-    placed = first.select("node", "n_shingles", "b1", "b2", F.explode("bands").alias("band"))
+    placed = classes.select(*_CLASS, F.explode("bands").alias("band"))
     shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1").drop("n")
     shared = stored(shared, "buckets")
-    members = stored(keyset.maybe_in(placed, "band", keyset.build(shared, "band")).join(shared, "band"), "members")
-
-    tries = (
-        members.filter("node != pivot")
-        .groupBy("node", "pivot")
-        .count()
-        .groupBy("node")
-        .agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-        .select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+    seated = keyset.maybe_in(placed, "band", keyset.build(shared, "band")).join(shared, "band")
+    other_pivot = F.when(F.col("pivot") != F.col("node"), F.struct(F.size("bands").alias("n"), "pivot"))
+    members = stored(
+        seated.repartition("node")
+        .groupBy(*_CLASS, "pivot")
+        .agg(F.collect_list("band").alias("bands"))
+        .groupBy(*_CLASS)
+        .agg(F.max_by("pivot", other_pivot).alias("pivot"), F.flatten(F.collect_list("bands")).alias("bands")),
+        "members",
     )
+
+    tries = members.filter("pivot IS NOT NULL").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
     sets = stored(_sets(rows, members.select("node"), words), "sets")
-    members = members.drop("pivot")
-    labels = components(_linked(tries, sets, percent))
+    members = stored(_rooted(members.drop("pivot"), components(_linked(tries, sets, percent))), "rooted")
     for turn in range(TURNS):
-        found = _linked(_closest(_rooted(members, labels), turn, percent), sets, percent)
-        # The links so far as one star a component, and the new ones.
-        labels = components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
-
-    roots = labels.select("node", "root")
-    placed = _rooted(members, roots)
-    open_members = stored(placed.join(_mixed(placed), "band"), "open")
-    open_nodes = open_members.drop("band", "main").distinct()
-    items = sets.join(open_nodes.select("node"), "node").select("node", F.explode("items").alias("item"))
+        found = _linked(_closest(members, turn, percent), sets, percent)
+        members = stored(_raised(members, components(_joined_roots(found))), "rooted")
+
+    opened = stored(
+        _mixed(members).groupBy(*_CLASS, "root").agg(F.collect_list(F.struct("band", "main")).alias("seats")), "open"
+    )
+    items = sets.join(opened.select("node"), "node").select("node", F.explode("items").alias("item"))
     holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") <= RARE)
     rare = stored(items.join(holders, "item"), "rare")
-    scarce = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"), F.sum((F.col("held") == 1).cast("long")).alias("alone"))
-    listed = rare.groupBy("node").agg(F.collect_list("item").alias("rare_items"))
-    blocks = _blocks(sets.join(open_nodes.select("node"), "node").join(listed, "node", "left"))
+    scarce = rare.groupBy("node").agg(
+        F.count(F.lit(1)).alias("rare"),
+        F.sum((F.col("held") == 1).cast("long")).alias("alone"),
+        F.collect_list("item").alias("rare_items"),
+        F.collect_list(F.when(F.col("held") > 1, F.col("item"))).alias("rare_shared"),
+    )
     counted = stored(
-        open_nodes.join(scarce, "node", "left").join(blocks, "node").select(
-            *open_nodes.columns,
-            "blocks",
-            (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared"),
-            (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common"),
+        _blocks(
+            opened.join(scarce, "node", "left")
+            .join(sets, "node")
+            .select(
+                *opened.columns,
+                (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared"),
+                (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common"),
+                "rare_shared",
+                "rare_items",
+                "items",
+            )
         ),
         "counted",
     )
@@ -324,24 +356,31 @@ def near_duplicates(
         both = F.aggregate(F.zip_with("blocks", "x_blocks", lambda a, b: F.least(a, b)), F.lit(0), lambda n, k: n + k)
         return (100 + percent) * (both + extra) >= percent * (F.col("n_shingles") + F.col("x_n_shingles"))
 
-    ends = (F.least("node", "x_node").alias("u"), F.greatest("node", "x_node").alias("v"))
+    first = F.col("node") < F.col("x_node")
+    ends = (
+        F.least("node", "x_node").alias("u"),
+        F.greatest("node", "x_node").alias("v"),
+        F.when(first, F.col("root")).otherwise(F.col("x_root")).alias("ru"),
+        F.when(first, F.col("x_root")).otherwise(F.col("root")).alias("rv"),
+    )
+    told = (*_CLASS, "root", "blocks", "shared", "common")
     # Pairs with no rare shingle in common: only the others can be in the intersection.
     able = counted.filter(100 * F.col("common") >= percent * F.col("n_shingles"))
     # A pair that meets in several bands is listed by the first.
-    seats = open_members.groupBy("node").agg(F.collect_set("band").alias("bands"))
-    placed = open_members.select("band", "node", "main").join(able.join(seats, "node"), "node")
+    seats = able.select(*told, F.col("seats.band").alias("bands"), F.explode("seats").alias("seat"))
+    placed = seats.select(*told, "bands", "seat.band", "seat.main")
     first_band = F.array_min(F.array_intersect("bands", "x_bands")) == F.col("band")
     plain = (
         other(placed.filter("root != main"))
         .join(placed, "band")
         .filter(((F.col("root") == F.col("main")) | (F.col("x_node") < F.col("node"))) & may_link("common"))
-        .filter(enough(F.lit(0)))
         .filter(first_band)
+        .filter(enough(F.lit(0)))
         .select(*ends)
     )
     # Pairs with a rare shingle in common: at most RARE classes hold one.
     able = counted.filter(100 * F.col("shared") >= percent * F.col("n_shingles"))
-    listed = rare.filter("held > 1").select("item", "node").join(able, "node")
+    listed = able.select(*told, F.explode("rare_shared").alias("item"))
     odd = (
         other(listed)
         .join(listed, "item")
@@ -350,18 +389,11 @@ def near_duplicates(
         .select(*ends)
     )
     pairs = plain.unionByName(odd).distinct()
-    more = _linked(pairs, sets, percent)
-    rooted = (
-        more.join(by_merge(roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))), "u", "left")
-        .join(by_merge(roots.select(F.col("node").alias("v"), F.col("root").alias("rv"))), "v", "left")
-        .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
-    )
-    merged = components(rooted).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    members = _raised(members, components(_joined_roots(_linked(pairs, sets, percent))))
     final = (
-        classes.join(by_merge(roots), "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-        .join(by_merge(merged), "root", "left")
-        .select("s1", "s2", F.coalesce("top", "root").alias("class_component"))
+        classes.select("s1", "s2", "node")
+        .join(by_merge(members.select("node", "root").dropDuplicates(["node"])), "node", "left")
+        .select("s1", "s2", F.coalesce("root", "node").alias("class_component"))
     )
     linked = signed.select("doc_id", "n_shingles", "s1", "s2").join(final, ["s1", "s2"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_component")).otherwise(F.col("doc_id"))

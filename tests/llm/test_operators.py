@@ -154,6 +154,43 @@ def test_component_joins_leave_no_broadcast_with_the_driver(spark, monkeypatch):
     assert not any("Broadcast" in p for p in plans)
 
 
+def test_components_of_a_forest_end_after_one_round(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(components, "stored", lambda df, name, stored=components.stored: names.append(name) or stored(df, name))
+
+    def found(links):
+        names.clear()
+        return {r.node: r.root for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
+
+    tree = [(0, 3), (3, 0), (3, 7), (7, 9), (1, 5), (5, 6), (0, 3), (8, 8)]
+    assert found(tree) == {0: 0, 3: 0, 7: 0, 9: 0, 1: 1, 5: 1, 6: 1}
+    assert names.count("links") == 1
+    # 4 hooks to 1, and its link to 2 joins two trees.
+    assert found([(1, 4), (2, 4), (2, 6), (6, 9)]) == {1: 1, 4: 1, 2: 1, 6: 1, 9: 1}
+    assert names.count("links") > 1
+    assert found([]) == found([(5, 5)]) == {}
+
+
+def test_near_duplicates_deals_its_tables_out_few_times(spark, monkeypatch):
+    """Each shuffle is a round of tasks, however small its table is."""
+    plans = []
+
+    def planned(df, name, stored=minhash.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "stored", planned)
+    rows, words = [], [f"v{i}" for i in range(60)]
+    for k in range(12):
+        rows += [(k, " ".join(words)), (100 + k, " ".join(words))]
+        words = [*words[:-1], f"new{k}"] if k % 2 else [f"new{k}", *words[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows, 3, 85).items()}
+    assert sum(p.count("Exchange hashpartitioning") for p in plans) <= 40
+
+
 def test_fm_index():
     rng = np.random.default_rng(0)
     for _ in range(50):

@@ -14,9 +14,10 @@ Scoring: ``p(w | u) = (n(u, w) + MU * p1(w)) / (c(u) + MU)`` with the count
 count unless a probe errs) and the exact add-one estimate ``p1``.
 
 Words and filter are broadcast if together they are at most
-``BROADCAST_BYTES``; beyond that the distinct pairs to be scored go, packed, to
-the slices of the same filter, are probed there, and their levels are joined to
-the tokens: the same scores. Nothing is cut off at any size.
+``BROADCAST_BYTES``; beyond that the rows are numbered and cut into blocks of
+``BLOCK_BYTES``, the distinct words and pairs of a block go, packed, to their
+parts, and the counts and levels found there come back, packed in the same
+order, to the block's rows: the same scores. Nothing is cut off at any size.
 
 Defined results: a null text is empty (the end token only); without training
 rows all counts are 0. Rows that repeat an id are scored each for itself.
@@ -41,6 +42,8 @@ PROBES = 4
 MU = 200.0
 BROADCAST_BYTES = 384 << 20
 FLUSH = 3_000_000
+BLOCK_BYTES = 16 << 20
+BLOCK_ROWS = 1 << 20
 _END, _BEGIN = tb.randoms(2, 4242)
 _PART_SEED = np.uint64(0x2545F4914F6CDD1D)
 
@@ -92,14 +95,19 @@ def _added(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.add.reduceat(n, new)
 
 
+def _dealt(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts hashes by part, within a part as they came, and where each part begins in it."""
+    part = part_of(h, parts)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
 def _partial_counts(docs: DataFrame, parts: int) -> DataFrame:
     """``part, kind, hashes, counts``: packed counts of one task. Kind 0 words, 1 pairs."""
 
     def packed(kind: int, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         h, n = np.unique(np.concatenate(found), return_counts=True)
-        part = part_of(h, parts)
-        order = np.argsort(part, kind="stable")
-        cut = np.searchsorted(part[order], np.arange(parts + 1))
+        order, cut = _dealt(h, parts)
         h, n = h[order], n[order].astype(np.int64)
         some = np.flatnonzero(np.diff(cut))
         for lo in range(0, len(some), 64):
@@ -225,6 +233,32 @@ def _collected(slices: DataFrame, parts: int) -> Model:
     return Model(flat_words[order], flat_counts, flat_bits, np.cumsum(sizes) - sizes, sizes, n)
 
 
+SCORES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+def _scored(
+    ids: pa.Array, off: np.ndarray, c: np.ndarray, ends: int, levels: np.ndarray, n_tokens: int, n_words: int, mu: float
+) -> pa.RecordBatch:
+    """The scores of rows with token offsets ``off`` from the counts and pair levels of their tokens; ``ends`` counts end tokens."""
+    context = np.empty_like(c)
+    context[1:] = c[:-1]
+    context[off[:-1]] = ends  # as many beginnings as ends
+    n = np.minimum(low_end(levels), np.minimum(c, context))
+    p = (c + 1.0) / (n_tokens + n_words + 1.0)
+    base, score = np.log10(p), np.log10((n + mu * p) / (context + mu))
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            pa.array(np.diff(off), pa.int64()),
+            pa.array(np.add.reduceat((c > 0).astype(np.int64), off[:-1])),
+            pa.array(np.full(len(ids), n_tokens), pa.int64()),
+            pa.array(np.add.reduceat(base, off[:-1])),
+            pa.array(np.add.reduceat(score, off[:-1])),
+        ],
+        ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    )
+
+
 def _by_broadcast(rows: DataFrame, model: Model, mu: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -234,102 +268,150 @@ def _by_broadcast(rows: DataFrame, model: Model, mu: float) -> DataFrame:
             for lo, hi, raw, offs in tb.chunks(batch.column(1)):
                 seq, before, off = tokens(raw, offs)
                 known = m.word_counts(np.concatenate((seq, [_END])))
-                c, ends = known[:-1], known[-1]
-                context = np.empty_like(c)
-                context[1:] = c[:-1]
-                context[off[:-1]] = ends  # as many beginnings as ends
-                n = np.minimum(low_end(m.pair_levels(pair_hash(before, seq))), np.minimum(c, context))
-                p = (c + 1.0) / (m.n_tokens + len(m.words) + 1.0)
-                base, score = np.log10(p), np.log10((n + mu * p) / (context + mu))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo),
-                        pa.array(np.diff(off), pa.int64()),
-                        pa.array(np.add.reduceat((c > 0).astype(np.int64), off[:-1])),
-                        pa.array(np.full(hi - lo, m.n_tokens), pa.int64()),
-                        pa.array(np.add.reduceat(base, off[:-1])),
-                        pa.array(np.add.reduceat(score, off[:-1])),
-                    ],
-                    ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                levels = m.pair_levels(pair_hash(before, seq))
+                yield _scored(batch.column(0).slice(lo, hi - lo), off, known[:-1], known[-1], levels, m.n_tokens, len(m.words), mu)
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        tb.task(run),
-        f"doc_id {id_type}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
-    )
+    return rows.mapInArrow(tb.task(run), f"doc_id {id_type}, {SCORES}")
 
 
-def _word_counts(slices: DataFrame) -> DataFrame:
-    """``h, n``: total counts of words, a row each."""
+def _blocks(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``doc_id, text, row, block``: rows numbered, consecutive ones in blocks of at most ``block_bytes`` or one text; written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size, held = -1, 0, 0
         for batch in batches:
-            for hashes, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(hashes, np.int64)), pa.array(np.frombuffer(counts, np.int64))], ["h", "n"]
-                )
+            number = batch.column(2).to_numpy()
+            blocks = np.empty(len(number), np.int64)
+            _, offs = tb.text_buffers(batch.column(1))
+            for i, n in enumerate(np.diff(offs).tolist()):
+                if block < 0 or size + n > block_bytes or held == BLOCK_ROWS:
+                    block, size, held = int(number[i]), 0, 0
+                size, held = size + n, held + 1
+                blocks[i] = block
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], ["doc_id", "text", "row", "block"])
+
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    blocks = numbered.mapInArrow(tb.task(run), f"doc_id {id_type}, text string, row bigint, block bigint")
+    return stored(blocks, "rows", compression="zstd", clean=True)
+
+
+def _grams(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token hashes, the hashes of the pairs they end, and token offsets by row."""
+    seqs, pairs, counts = [], [], [np.zeros(1, np.int64)]
+    for _, _, raw, offs in tb.chunks(texts):
+        seq, before, off = tokens(raw, offs)
+        seqs.append(seq)
+        pairs.append(pair_hash(before, seq))
+        counts.append(np.diff(off))
+    return np.concatenate(seqs), np.concatenate(pairs), np.cumsum(np.concatenate(counts))
+
+
+def _asked(keyed: DataFrame, parts: int) -> DataFrame:
+    """``part, block, first, words, pairs``: the distinct n-grams of each block, packed, for the part that knows them.
+
+    A block that two tasks read makes two pieces, named by their ``first`` row.
+    """
+
+    def packed(block: int, first: int, texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        seq, pairs, _ = _grams(pa.chunked_array(texts))
+        h, cuts = [], []
+        for found in (seq, pairs):
+            distinct = np.unique(found)
+            order, cut = _dealt(distinct, parts)
+            h.append(distinct[order])
+            cuts.append(cut)
+        some = np.flatnonzero(np.diff(cuts[0]) + np.diff(cuts[1]))
+        for lo in range(0, len(some), 64):
+            group = some[lo : lo + 64]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(group, pa.int32()),
+                    pa.array(np.full(len(group), block), pa.int64()),
+                    pa.array(np.full(len(group), first), pa.int64()),
+                    *(pa.array([x[cut[p] : cut[p + 1]].tobytes() for p in group], pa.binary()) for x, cut in zip(h, cuts, strict=True)),
+                ],
+                ["part", "block", "first", "words", "pairs"],
+            )
 
-    return slices.select("words", "counts").mapInArrow(tb.task(run), "h bigint, n bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, first, texts = -1, -1, []
+        for batch in batches:
+            blocks = batch.column(2).to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if hi > lo and blocks[lo] != block:
+                    if texts:
+                        yield from packed(block, first, texts)
+                    block, first, texts = int(blocks[lo]), batch.column(1)[lo].as_py(), []
+                if hi > lo:
+                    texts.append(batch.column(0).slice(lo, hi - lo))
+        if texts:
+            yield from packed(block, first, texts)
+
+    return keyed.select("text", "row", "block").mapInArrow(
+        tb.task(run), "part int, block bigint, first bigint, words binary, pairs binary"
+    )
 
 
-def _pair_levels(rows: DataFrame, slices: DataFrame, parts: int) -> DataFrame:
-    """``h, level``: the pairs of ``rows`` that the filter holds, each once, probed where their slice is."""
-    asked = _partial_counts(rows.select("text"), parts).filter("kind = 1").select("part", "hashes")
+def _answers(asked: DataFrame, slices: DataFrame) -> DataFrame:
+    """``block, first, part, counts, levels``: what a part knows of the n-grams that each piece asks for, in its order."""
 
-    def probe(wanted: pa.Table, held: pa.Table) -> pa.Table:
-        h, level = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if wanted.num_rows and held.num_rows:
-            h = np.unique(np.frombuffer(b"".join(wanted["hashes"].to_pylist()), np.uint64))
+    def look_up(wanted: pa.Table, held: pa.Table) -> pa.Table:
+        h = [[np.frombuffer(x, np.uint64) for x in wanted[kind].to_pylist()] for kind in ("words", "pairs")]
+        ends = [np.cumsum([0, *map(len, x)]) for x in h]
+        words, pairs = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in h)
+        counts, level = np.zeros(len(words), np.int64), np.zeros(len(pairs), np.uint8)
+        if len(ends[0]) > 1 and held.num_rows:
             bits = np.frombuffer(held["filter"][0].as_py(), np.uint8)
+            known, n = (np.frombuffer(held[c][0].as_py(), t) for c, t in (("words", np.uint64), ("counts", np.int64)))
             one = np.zeros(1, np.int64)
-            level = Model(h[:0], one[:0], bits, one, one + 8 * len(bits), 0).pair_levels(h)
+            model = Model(known, n, bits, one, one + 8 * len(bits), 0)
+            counts, level = model.word_counts(words), model.pair_levels(pairs).astype(np.uint8)  # levels are at most 64
+        found = [
+            pa.array([x[lo:hi].tobytes() for lo, hi in zip(end, end[1:], strict=False)], pa.binary())
+            for x, end in ((counts, ends[0]), (level, ends[1]))
+        ]
         tb.give_back()
-        return pa.table({"h": pa.array(h[level > 0].view(np.int64)), "level": pa.array(level[level > 0])})
-
-    pairs = asked.groupBy("part").cogroup(slices.select("part", "filter").groupBy("part"))
-    return pairs.applyInArrow(probe, "h bigint, level bigint")
-
-
-def _by_join(rows: DataFrame, slices: DataFrame, parts: int, total: int, distinct: int, mu: float) -> DataFrame:
-    """The same scores from shuffled joins on the n-grams, for models too large to broadcast."""
-    keyed = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+        return pa.table([wanted["block"], wanted["first"], wanted["part"], *found], ["block", "first", "part", "counts", "levels"])
+
+    pairs = asked.groupBy("part").cogroup(slices.select("part", "words", "counts", "filter").groupBy("part"))
+    return pairs.applyInArrow(look_up, "block bigint, first bigint, part int, counts binary, levels binary")
+
+
+def _by_parts(keyed: DataFrame, slices: DataFrame, parts: int, total: int, distinct: int, mu: float) -> DataFrame:
+    """The same scores for models too large to broadcast: each part is asked once for what a block of rows needs."""
+    answers = stored(_answers(_asked(keyed, parts), slices), "answers", compression="zstd", clean=True)
+    id_type = keyed.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def known(found: np.ndarray, answer: np.ndarray) -> np.ndarray:
+        """The answers, which are by part, for every item of ``found``."""
+        seen, back = np.unique(found, return_inverse=True)
+        values = np.empty(len(seen), np.int64)
+        values[_dealt(seen, parts)[0]] = answer
+        return values[back]
+
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
+        texts, told = texts.sort_by("row"), told.sort_by([("first", "ascending"), ("part", "ascending")])
+        first = told["first"].to_numpy()
+        new = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
+        begin = [*np.searchsorted(texts["row"].to_numpy(), first[new]).tolist(), texts.num_rows]
+        out = []
+        for k, (lo, hi) in enumerate(zip(begin, begin[1:], strict=False)):
+            mine = told.slice(new[k], (new[k + 1] if k + 1 < len(new) else len(first)) - new[k])
+            counts, levels = (np.frombuffer(b"".join(mine[c].to_pylist()), t) for c, t in (("counts", np.int64), ("levels", np.uint8)))
+            piece = texts.slice(lo, hi - lo)
+            seq, pairs, off = _grams(piece["text"])
+            c = known(seq, counts)
+            ids = piece["doc_id"].combine_chunks()
+            out.append(_scored(ids, off, c, c[-1], known(pairs, levels), total, distinct, mu))  # the last token is an end
+        tb.give_back()
+        return pa.Table.from_batches(out).select(names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, raw, offs in tb.chunks(batch.column(1)):
-                seq, before, off = tokens(raw, offs)
-                before = np.where(before == _BEGIN, _END, before)  # as many beginnings as ends
-                pair = pair_hash(np.where(np.isin(np.arange(len(seq)), off[:-1]), _BEGIN, before), seq)
-                row = np.repeat(batch.column(0).to_numpy()[lo:hi], np.diff(off))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), *(pa.array(x.view(np.int64)) for x in (seq, before, pair))], ["row", "w", "u", "p"]
-                )
-
-    each = keyed.select("row", "text").mapInArrow(tb.task(run), "row bigint, w bigint, u bigint, p bigint")
-    events = each.groupBy("row", "w", "u", "p").agg(F.count(F.lit(1)).alias("times"))
-    words, pairs = stored(_word_counts(slices), "words"), stored(_pair_levels(keyed, slices, parts), "pairs")
-
-    def named(df: DataFrame, key: str, value: str) -> DataFrame:
-        return df.toDF(key, value)
-
-    read = (
-        events.join(named(words, "w", "c"), "w", "left")
-        .join(named(words, "u", "cu"), "u", "left")
-        .join(named(pairs, "p", "level"), "p", "left")
-        .fillna(0, ["c", "cu", "level"])
-    )
-    seen = F.when(F.col("level") > 0, F.pow(F.lit(2.0), F.col("level") - 1.0)).otherwise(0.0)
-    base = (F.col("c") + 1.0) / F.lit(total + distinct + 1.0)
-    score = (F.least(seen, "c", "cu") + mu * base) / (F.col("cu") + mu)
-    sums = read.groupBy("row").agg(
-        F.sum("times").alias("n_tokens"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * F.log10(base)).alias("base_score"),
-        F.sum(F.col("times") * F.log10(score)).alias("score"),
-    )
-    out = keyed.select("row", "doc_id").join(sums, "row")
-    return out.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
+    both = keyed.groupBy("block").cogroup(answers.groupBy("block"))
+    return both.applyInArrow(run, f"doc_id {id_type}, {SCORES}")
 
 
 def score(
@@ -344,7 +426,7 @@ def score(
     learn = training.select(F.col(text_col).cast("string").alias("text"))
     parts = max(8, 2 * learn.rdd.getNumPartitions())
     partial = _partial_counts(learn, parts)
-    slices = stored(_slices(partial), "filter")
+    slices = stored(_slices(partial), "filter", clean=True)
     size = slices.agg(
         F.coalesce(F.sum(F.length("words") + F.length("counts") + F.length("filter")), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
@@ -353,4 +435,4 @@ def score(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if size["bytes"] <= broadcast_bytes:
         return _by_broadcast(rows, _collected(slices, parts), mu)
-    return _by_join(rows, slices, parts, size["tokens"], size["words"], mu)
+    return _by_parts(_blocks(rows), slices, parts, size["tokens"], size["words"], mu)

@@ -270,6 +270,37 @@ def test_language_model_scores_are_the_same_at_any_size(awkward, small):
         assert [r[2] for r in whole] == pytest.approx([r[2] for r in joined], rel=1e-9)
 
 
+def test_language_model_blocks_give_the_very_same_scores(spark, awkward, small):
+    for docs in (awkward, small):
+        rows = docs.select("doc_id", "text")
+        partial = lm_score._partial_counts(docs.filter(queries.id_remainder(7) != 2).select("text"), 8)
+        slices = lm_score.stored(lm_score._slices(partial), "filter").persist()
+        model = lm_score._collected(slices, 8)
+        listed = lambda df: sorted((str(r.doc_id), *r[1:]) for r in df.collect())
+        want = listed(lm_score._by_broadcast(rows, model, lm_score.MU))
+        numbered = lm_score._blocks(rows, 1 << 30)
+        # One block in the hands of several tasks; a block for each text; one for all.
+        pieces = numbered.withColumn("block", F.lit(7).cast("long")).repartitionByRange(3, "row").sortWithinPartitions("row")
+        for keyed in (pieces, lm_score._blocks(rows, 1), numbered):
+            assert listed(lm_score._by_parts(keyed, slices, 8, model.n_tokens, len(model.words), lm_score.MU)) == want
+
+
+def test_language_model_shuffles_no_more_than_its_texts(spark, small):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+
+    def shuffled() -> dict[str, int]:
+        found = files()
+        each = (found.apply(i) for i in range(found.size()))
+        return {f.getName(): f.length() for f in each if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+    before = shuffled()
+    scores = lm_score.score(small, small.filter(queries.id_remainder(7) != 2), broadcast_bytes=0)
+    rows = scores.collect()
+    left = sum(n for name, n in shuffled().items() if name not in before)
+    assert len(rows) == small.count()
+    assert left < small.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
 def test_language_id(awkward, small, empty):
     learned = language_id.model(language_id.learn(small.filter(queries.id_remainder(3) != 1)))
     held = by_id(language_id.predict(small, learned).filter(queries.id_remainder(3) == 1))

@@ -1,5 +1,7 @@
 """The shared trainers of the model search against Spark's own fits, point by point."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -123,3 +125,50 @@ def test_forests_keep_node_ids_and_grow_the_same_trees(prepared):
     plain = RandomForestClassifier(numTrees=6, maxDepth=9, seed=train.SEED).fit(prepared)
     tree_lines = lambda m: m.toDebugString.split("\n")[1:]
     assert tree_lines(own.fit(prepared)) == tree_lines(plain)
+
+
+def test_large_forests_grow_one_at_a_time(prepared, monkeypatch):
+    growing, most, lock, classifier = [], [], threading.Lock(), train.classifier
+
+    class Watched:
+        def __init__(self, *args, **params):
+            self.own = classifier(*args, **{**params, "maxDepth": 1})
+
+        def fit(self, rows):
+            with lock:
+                growing.append(1)
+                most.append(len(growing))
+            try:
+                return self.own.fit(rows)
+            finally:
+                with lock:
+                    growing.pop()
+
+    monkeypatch.setattr(train, "classifier", Watched)
+    monkeypatch.setattr(train, "GROWING_NODES", 100_000, raising=False)
+    found = train.cross_validate(prepared, "random_forest", {"numTrees": [100], "maxDepth": [15]})
+    assert len(most) == train.FOLDS and max(most) == 1 and 0 < found.means[0] < 1
+
+
+def test_a_forest_written_in_parts_has_the_same_nodes(spark, prepared, monkeypatch):
+    rows, held_out = prepared.where("fold != 1"), prepared.where("fold = 1")
+    model = train.classifier("random_forest", numTrees=7, maxDepth=7).fit(rows)
+    listed = lambda: sorted(map(repr, forest.forest_nodes(spark, model).collect()))
+    points = [(7, 7), (3, 4), (1, 7)]
+    whole, counts = listed(), forest.evaluate(model, held_out, points)
+    monkeypatch.setattr(forest, "PART_NODES", 100)
+    assert len(list(forest._parts(model))) > 2
+    assert listed() == whole and forest.evaluate(model, held_out, points).tolist() == counts.tolist()
+
+
+def test_rows_go_to_the_leaves_that_the_model_says(spark, prepared):
+    model = train.classifier("random_forest", numTrees=5, maxDepth=8).fit(prepared).setLeafCol("leaf")
+    nodes = forest.NodeArrays(forest.forest_nodes(spark, model))
+    odd = [Vectors.dense([float(v), 6.5, 3000.0, c, c]) for v in (-1, 150, 1e9) for c in (0.0, 2.0, 7.0, -1.0, 1.5)]
+    for table in (prepared.limit(500), spark.createDataFrame([(x,) for x in odd], ["features"])):
+        said = model.transform(table).select("features", "leaf").collect()
+        at = forest.leaves_of(nodes, np.array([r["features"].toArray() for r in said]))
+        # Spark numbers the leaves of a tree from left to right.
+        number = np.cumsum(nodes.left < 0) - 1
+        first = number[[np.flatnonzero((np.arange(len(number)) >= b) & (nodes.left < 0))[0] for b in nodes.begin[:-1]]]
+        assert (number[at] - first == np.array([r["leaf"].toArray() for r in said])).all()
